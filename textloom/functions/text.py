@@ -131,6 +131,21 @@ def ngrams(words: Column | str, n: int = 2) -> Column:
     )
 
 
+def numbered(items: Column | str) -> Column:
+    """``array<struct<total, at, item>>``: each item with the length of the array and its
+    place from 0. Unfolding this expression, rather than a named array column, keeps
+    the optimizer from evaluating the array a second time for a filter on its size."""
+    return bind(
+        _col(items),
+        lambda array: F.transform(
+            array,
+            lambda item, at: F.struct(
+                F.size(array).alias("total"), at.alias("at"), item.alias("item")
+            ),
+        ),
+    )
+
+
 def char_trigrams(text: Column | str) -> Column:
     """Overlapping character trigrams of the lower-cased text, one space on each side.
 

@@ -20,7 +20,7 @@ SCORE_DIGITS = 9
 def query_vectors(
     index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``(qid, term, qw)``: unit vectors of ``queries(qid, text)``.
+    """``(qid, term, qw, df)``: unit vectors of ``queries(qid, text)``.
 
     Terms outside the vocabulary of the index are ignored.
     """
@@ -28,10 +28,10 @@ def query_vectors(
     if fits_broadcast(terms, limit):
         terms = F.broadcast(terms)
     weighted = index.stats.join(terms, "term").select(
-        "qid", "term", (F.col("tf") * smooth_idf(index.n_docs, F.col("df"))).alias("_raw")
+        "qid", "term", "df", (F.col("tf") * smooth_idf(index.n_docs, F.col("df"))).alias("_raw")
     )
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("qid")))
-    return weighted.select("qid", "term", (F.col("_raw") / length).alias("qw"))
+    return weighted.select("qid", "term", (F.col("_raw") / length).alias("qw"), "df")
 
 
 def document_norms(index: Index) -> DataFrame:
@@ -48,29 +48,33 @@ def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES)
     """``(qid, doc_id, probability)``: cosine of query and document, where above 0.
 
     Only postings of query terms are moved, once, by document; the pairs of query and
-    document are then formed and summed without another shuffle.
+    document are then formed and summed without another shuffle. Query tables too
+    large to broadcast meet the postings in a join salted for frequent terms.
     """
     vectors = materialize(query_vectors(index, queries, limit), "query-vectors")
-    small = fits_broadcast(vectors, limit)
-    terms = vectors.select("term").distinct()
-    idf = materialize(
-        index.stats.join(F.broadcast(terms) if small else terms, "term", "left_semi").select(
-            "term", "df", smooth_idf(index.n_docs, F.col("df")).alias("idf")
-        ),
-        "query-terms",
+    # Both sides of the product carry the idf: the query in qw, the document through this.
+    weights = vectors.select(
+        "qid",
+        "term",
+        (F.col("qw") * smooth_idf(index.n_docs, F.col("df"))).alias("_pair"),
     )
-    weights = vectors.join(F.broadcast(idf) if small else idf, "term").select(
-        "qid", "term", (F.col("qw") * F.col("idf")).alias("_pair")
-    )
-    if small:
+    if fits_broadcast(vectors, limit):
         held = (
-            index.postings.join(F.broadcast(terms), "term", "left_semi")
+            index.postings.join(
+                F.broadcast(vectors.select("term").distinct()), "term", "left_semi"
+            )
             .repartition("doc_id")
             .join(F.broadcast(weights), "term")
         )
     else:
         held = expanding_join(
-            index.postings, weights, "term", spread="doc_id", counts=idf, count="df", limit=limit
+            index.postings,
+            weights,
+            "term",
+            spread="doc_id",
+            counts=vectors.select("term", "df").distinct(),
+            count="df",
+            limit=limit,
         )
     dots = held.groupBy("doc_id", "qid").agg(
         F.sum(F.col("tf") * F.col("_pair")).alias("_dot")

@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from textloom.functions.text import (
     ngrams,
     normalize_letters,
+    numbered,
     remove_stop_words,
     split_sentences,
     tokenize_words,
@@ -59,18 +60,9 @@ def sentence_frequencies(corpus: DataFrame, units: Column) -> DataFrame:
     orders words by their first occurrence in the document."""
     parts = (
         sentence_arrays(corpus)
+        .select("doc_id", F.inline(numbered("sentences")).alias("n_sentences", "i", "sentence"))
         .select(
-            "doc_id",
-            F.size("sentences").alias("n_sentences"),
-            F.posexplode("sentences").alias("i", "sentence"),
-        )
-        .select("doc_id", "n_sentences", "i", units.alias("units"))
-        .select(
-            "doc_id",
-            "n_sentences",
-            "i",
-            F.size("units").alias("total"),
-            F.posexplode("units").alias("at", "word"),
+            "doc_id", "n_sentences", "i", F.inline(numbered(units)).alias("total", "at", "word")
         )
     )
     return (
@@ -126,11 +118,7 @@ def sentence_weights(corpus: DataFrame) -> DataFrame:
     )
     counted = (
         sentence_arrays(corpus)
-        .select(
-            "doc_id",
-            F.size("sentences").alias("s"),
-            F.posexplode("sentences").alias("i", "sentence"),
-        )
+        .select("doc_id", F.inline(numbered("sentences")).alias("s", "i", "sentence"))
         .select("doc_id", "s", "i", F.inline_outer(occurrences))
         .groupBy("doc_id", "s", "i", "word")
         .agg(F.sum("c").alias("c"), F.sum("o").alias("o"))
@@ -229,7 +217,7 @@ def document_analysis(
             "doc_id",
             F.struct(
                 "rank",
-                F.format_string("%s --- %.6f\n", "word", "weight").alias("line"),
+                F.format_string(f"%s --- %.{WEIGHT_DIGITS}f\n", "word", "weight").alias("line"),
             ).alias("entry"),
         )
         .groupBy("doc_id")

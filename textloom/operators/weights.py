@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.functions.text import term_counts, tokenize_alnum
+from textloom.functions.text import bind, term_counts, tokenize_alnum
 from textloom.operators.index import Index
 from textloom.operators.joins import lookup_join
 from textloom.operators.order import ROWS_PER_BLOCK, running_position, with_blocks
@@ -103,25 +103,28 @@ def document_terms(corpus: DataFrame, stop_words: Sequence[str], text: str = "te
         F.transform(tokenize_alnum(text, stop_words), lambda word: F.lower(word)),
         lambda word: F.length(word) >= 2,
     )
-    counted = corpus.select("doc_id", term_counts(terms).alias("_counts")).select(
-        "doc_id",
-        F.sort_array(
-            F.transform(
-                "_counts", lambda c: F.struct((-c["tf"]).alias("_tf"), c["term"].alias("term"))
-            )
-        ).alias("_ordered"),
-        F.sqrt(
-            F.aggregate(
-                "_counts",
-                F.lit(0).cast("long"),
-                lambda total, c: total + c["tf"] * c["tf"],
-                lambda total: total.cast("double"),
-            )
-        ).alias("_length"),
-    )
-    return counted.select("doc_id", "_length", F.posexplode("_ordered").alias("_at", "_c")).select(
+
+    def by_weight(counts: Column) -> Column:
+        squares = F.aggregate(
+            counts, F.lit(0).cast("long"), lambda total, c: total + c["tf"] * c["tf"]
+        )
+        return bind(
+            F.sqrt(squares.cast("double")),
+            lambda length: F.sort_array(
+                F.transform(
+                    counts,
+                    lambda c: F.struct(
+                        (-c["tf"]).alias("minus"), c["term"].alias("term"), (c["tf"] / length).alias("w")
+                    ),
+                )
+            ),
+        )
+
+    return corpus.select(
+        "doc_id", F.posexplode(bind(term_counts(terms), by_weight)).alias("_at", "_entry")
+    ).select(
         "doc_id",
         (F.col("_at") + 1).alias("rank"),
-        F.col("_c.term").alias("term"),
-        (-F.col("_c._tf") / F.col("_length")).alias("w"),
+        F.col("_entry.term").alias("term"),
+        F.col("_entry.w").alias("w"),
     )

@@ -1,7 +1,8 @@
 """Every operator bound to the given tables: ``name -> (spark, folder) -> DataFrame``.
 
-Each query reads its whole tables. Scores are rounded, and word lists joined into
-one string, so that results compare by value.
+Each query reads its whole tables. Weights are rounded, and word lists joined into
+one string, so that results compare by value; where an operator rounds its scores
+itself, they are not rounded again.
 """
 
 from __future__ import annotations
@@ -239,12 +240,11 @@ def tfidf_ngram(spark, sf):
 
 
 def ranked_search(spark, sf):
-    return _rounded(search.ranked_search(_index(spark, sf), QUERY), "probability")
+    return search.ranked_search(_index(spark, sf), QUERY)
 
 
 def search_top_k(spark, sf):
-    best = search.search_top_k(_index(spark, sf), _queries(spark, sf), TOP_K)
-    return _rounded(best, "probability")
+    return search.search_top_k(_index(spark, sf), _queries(spark, sf), TOP_K)
 
 
 def search_results(spark, sf):
@@ -345,7 +345,7 @@ def language_report(spark, sf):
 
 
 def sentence_weights(spark, sf):
-    return _rounded(summarize.sentence_weights(_documents(spark, sf)), "weight")
+    return summarize.sentence_weights(_documents(spark, sf))
 
 
 def summary(spark, sf):
@@ -353,11 +353,11 @@ def summary(spark, sf):
 
 
 def keywords(spark, sf):
-    return _rounded(summarize.keywords(_documents(spark, sf)), "weight")
+    return summarize.keywords(_documents(spark, sf))
 
 
 def keyphrases(spark, sf):
-    return _rounded(summarize.keyphrases(_documents(spark, sf)), "weight")
+    return summarize.keyphrases(_documents(spark, sf))
 
 
 def document_analysis(spark, sf):

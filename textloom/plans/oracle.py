@@ -295,14 +295,14 @@ KEYWORD_ROWS = f"""
                          min(i) AS i, arg_min(place, i) AS place
                   FROM tf JOIN idf USING (doc_id, word) GROUP BY doc_id, word))
         WHERE r <= {KEYWORDS})"""
-KEYWORD_QUERY = "SELECT doc_id, rank, word, round(weight, 6) + 0.0 AS weight FROM keyword_rows"
+KEYWORD_QUERY = "SELECT doc_id, rank, word, weight FROM keyword_rows"
 
 ANALYSIS = f"""
     {SENTENCE_WEIGHTS},
     {KEYWORD_ROWS},
     summaries AS (SELECT doc_id, list(sentence ORDER BY i) AS summary FROM picked GROUP BY doc_id),
     listed AS (SELECT doc_id, string_agg(
-                   word || ' --- ' || printf('%.6f', weight) || chr(10), '' ORDER BY rank)
+                   word || ' --- ' || printf('%.{WEIGHT_DIGITS}f', weight) || chr(10), '' ORDER BY rank)
                    AS keywords FROM keyword_rows GROUP BY doc_id),
     analysis AS (SELECT documents.doc_id, coalesce(summary, []) AS summary,
                         coalesce(keywords, '') AS keywords
@@ -413,16 +413,17 @@ ORACLES = {
         FROM tf JOIN idf USING (doc_id, word)""",
     "ranked_search": f"""
         WITH {ONE_QUERY}, {SCORES}
-        SELECT doc_id, round(probability, 6) + 0.0 AS probability FROM scores""",
+        SELECT doc_id, probability FROM scores""",
     "search_top_k": f"""
         WITH q AS (SELECT item_id AS qid, text FROM benchmark), {SCORES}
-        SELECT qid, rank::INTEGER AS rank, doc_id, round(probability, 6) + 0.0 AS probability
+        SELECT qid, rank::INTEGER AS rank, doc_id, probability
         FROM (SELECT *, row_number() OVER (
                   PARTITION BY qid ORDER BY probability DESC, doc_id) AS rank FROM scores)
         WHERE rank <= {catalog.TOP_K}""",
     "search_results": f"""
         WITH {ONE_QUERY}, {SCORES}
-        SELECT doc_id, {line('text', 2)} AS title, round(probability, 4) AS probability
+        SELECT doc_id, {line('text', 2)} AS title,
+               round(probability::DECIMAL(18, 9), 4)::DOUBLE AS probability
         FROM scores JOIN documents USING (doc_id)""",
     "boolean_search": f"""
         SELECT doc_id, ((list_contains(t, 'the') AND list_contains(t, 'and')
@@ -448,7 +449,7 @@ ORACLES = {
     "language_report": f"""
         WITH {REPORT} SELECT doc_id, freq_result, short_result, model_result FROM report""",
     "sentence_weights": f"""
-        WITH {SENTENCE_WEIGHTS} SELECT doc_id, i, round(weight, 6) + 0.0 AS weight FROM weighted""",
+        WITH {SENTENCE_WEIGHTS} SELECT doc_id, i, weight FROM weighted""",
     "summary": f"WITH {SENTENCE_WEIGHTS} SELECT doc_id, i, sentence FROM picked",
     "keywords": f"""
         WITH {sentence_tf("ws")}, {KEYWORD_ROWS} {KEYWORD_QUERY}""",
