@@ -39,11 +39,8 @@ def read_folder(
 ) -> DataFrame:
     """Every file below ``path`` as ``(doc_id, path, text)``; the id is a hash of the path,
     so it is the same in every run and unique over sub-folders."""
-    files = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .text(path)
+    files = spark.read.text(
+        path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive
     )
     return files.select(
         F.xxhash64(F.col("_metadata.file_path")).alias("doc_id"),
