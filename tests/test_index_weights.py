@@ -158,6 +158,13 @@ def test_lookup_join_beyond_the_broadcast_limit(skewed, rows_of):
     assert rows_of(found.select("doc_id", "term", "v"), "doc_id") == plain
 
 
+def test_drop_listed(spark, skewed, rows_of):
+    rows, _ = skewed
+    stop = spark.createDataFrame([("hot",), ("k2",), ("hot",)], "term string")
+    left = joins.drop_listed(rows, stop, "term")
+    assert left.count() == rows.where("term IS NULL OR term NOT IN ('hot', 'k2')").count()
+
+
 def test_expanding_join_beyond_the_broadcast_limit(skewed, rows_of):
     rows, table = skewed
     table = table.unionByName(table.withColumn("v", F.col("v") + 1000))

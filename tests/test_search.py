@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
-from textloom.operators import boolean, evaluate, index, search
+from textloom.operators import boolean, evaluate, index, search, weights
 
 TEXTS = (
     "http://a\n First title \nred fox red hen",
@@ -45,6 +45,15 @@ def test_by_hand(built):
     assert found[0] == pytest.approx(cosine, abs=1e-8)
 
 
+def test_saved_index_with_norms(spark, built, rows_of, tmp_path):
+    weights.with_norms(built).save(str(tmp_path / "index"))
+    again = index.Index.load(spark, str(tmp_path / "index"), norms=True)
+    for query in ("blue fox", "hen title"):
+        assert rows_of(search.ranked_search(again, query)) == rows_of(
+            search.ranked_search(built, query)
+        )
+
+
 def test_nothing_to_find(built):
     for query in ("", "zz yy", "a ! b"):
         assert search.ranked_search(built, query).count() == 0

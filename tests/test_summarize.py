@@ -139,10 +139,16 @@ def test_document_analysis(corpus, split):
 
 def test_one_shuffle_of_the_texts(corpus):
     """Everything after the first exchange is keyed by document and stays in place."""
-    plan = sm.sentence_weights(corpus)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    plan = sm.keywords(corpus)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    for df in (sm.sentence_weights(corpus), sm.keywords(corpus), sm.tfidf_sentence(corpus)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_one_long_sentence(corpus_of, rows_of):
+    """The cost per word does not grow with the sentence."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(17_000)]
+    corpus = corpus_of(" ".join(words + words) + ".", "short one.")
+    assert sm.keywords(corpus).count() == 12
+    assert rows_of(sm.summary(corpus).select("doc_id", "i"), "doc_id") == [(0, 0), (1, 0)]
 
 
 def test_other_units(corpus_of, rows_of):

@@ -1,8 +1,8 @@
 """Text functions: Column in, Column out.
 
 All of them are built-in expressions, evaluated row by row without a shuffle. The
-patterns are written for Java regular expressions but keep to syntax that RE2 reads
-the same way, so the DuckDB twins in ``plans.oracle`` use these very constants.
+patterns are written for Java regular expressions but, except for ALNUM, keep to syntax
+that RE2 reads the same way, so the twins in ``plans.oracle`` use these very constants.
 """
 
 from __future__ import annotations
@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]+"
 TERM = r"[\p{L}\p{N}_]{2,}"
-ALNUM = r"^[\p{L}\p{N}]+$"
 # Fixed value: letters kept by the summariser and the language detector.
 ALPHABET = "a-zа-яё"
 # Characters Python takes for white space, as the inside of a character class.
 SPACE = r"\t-\r\x{1C}-\x{20}\x{85}\p{Z}"
 NON_SPACE = rf"[^{SPACE}]+"
+# A word with white space or nothing on both sides that is wholly alphanumeric.
+ALNUM = rf"(?<![^{SPACE}])[\p{{L}}\p{{N}}]++(?![^{SPACE}])"
 EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+\z"
 # A sentence ends with . ! or ?, any closing marks, and white space.
 SENTENCE_END = rf"([.!?][\"')\]}}]*)[{SPACE}]+"
@@ -29,9 +30,7 @@ MARK = "\u0001"
 FINAL_PERIOD = rf"([^.])\.([\"')\]}}>»”’]*)([{SPACE}]+|\z)"
 SEPARATORS = r"[\[\](){}<>«»“”„‘’`\"?!;@#$%&*]|--|\.\.+|''"
 SOFT_SEPARATORS = r"[:,]([^\p{Nd}]|\z)"
-CONTRACTION_TAILS = (
-    rf"([^'{SPACE}])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|')([{SPACE}]|\z)"
-)
+CONTRACTION_TAILS = rf"('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|')([{SPACE}]|\z)"
 # Words the same tokenizer cuts in two after the third letter.
 CUT_WORDS = ("cannot", "gimme", "gonna", "gotta", "lemme", "wanna")
 
@@ -95,8 +94,8 @@ def tokenize_alnum(text: Column | str, stop_words: Iterable[str]) -> Column:
     spaced = F.regexp_replace(_col(text), FINAL_PERIOD, "$1 $2 ")
     spaced = F.regexp_replace(spaced, SEPARATORS, " ")
     spaced = F.regexp_replace(spaced, SOFT_SEPARATORS, " $1")
-    spaced = F.regexp_replace(spaced, CONTRACTION_TAILS, "$1 ")
-    whole = F.filter(split_words(spaced), lambda word: word.rlike(ALNUM))
+    spaced = F.regexp_replace(spaced, CONTRACTION_TAILS, " ")
+    whole = find_all(spaced, ALNUM)
     cut = F.flatten(
         F.transform(
             whole,
@@ -180,9 +179,7 @@ def term_counts(tokens: Column | str) -> Column:
 
     def runs(ordered: Column) -> Column:
         def pair(starts: Column) -> Column:
-            ends = F.concat(
-                F.slice(starts, 2, F.size(starts)), F.array(F.size(ordered) + 1)
-            )
+            ends = F.slice(F.concat(starts, F.array(F.size(ordered) + 1)), 2, F.size(starts))
             return F.zip_with(
                 starts,
                 ends,
@@ -191,12 +188,9 @@ def term_counts(tokens: Column | str) -> Column:
                 ),
             )
 
-        return F.when(F.size(ordered) > 0, bind(_run_starts(ordered, lambda t: t), pair))
+        return bind(_run_starts(ordered, lambda token: token), pair)
 
-    return F.coalesce(
-        bind(F.sort_array(_col(tokens)), runs),
-        F.array().cast("array<struct<term:string,tf:bigint>>"),
-    )
+    return bind(F.sort_array(_col(tokens)), runs)
 
 
 def first_forms(terms: Column | str, words: Column | str) -> Column:

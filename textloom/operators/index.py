@@ -98,6 +98,7 @@ class Index:
     postings: DataFrame  # doc_id, term, tf
     stats: DataFrame  # term, df
     n_docs: int
+    norms: DataFrame | None = None  # doc_id, norm
 
     def save(self, path: str) -> None:
         """Write the index below ``path``. Postings are ranged by term, then document, so
@@ -108,15 +109,19 @@ class Index:
         self.stats.repartitionByRange("term").sortWithinPartitions("term").withColumn(
             "n_docs", F.lit(self.n_docs)
         ).write.parquet(f"{path}/stats")
+        if self.norms is not None:
+            self.norms.write.parquet(f"{path}/norms")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> Index:
+    def load(spark: SparkSession, path: str, norms: bool = False) -> Index:
+        """The index saved below ``path``, with its norms if they were saved too."""
         stats = spark.read.parquet(f"{path}/stats")
         first = stats.select("n_docs").first()
         return Index(
             spark.read.parquet(f"{path}/postings"),
             stats.drop("n_docs"),
             first["n_docs"] if first else 0,
+            spark.read.parquet(f"{path}/norms") if norms else None,
         )
 
 

@@ -38,6 +38,12 @@ def hot_keys(counts: DataFrame, key: str, count: str, hot: int = HOT_KEYS) -> Da
     return counts.where(F.col(count) > total / hot).select(key)
 
 
+def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not in the table ``listed``, such as a stop list."""
+    listed = listed.select(key).distinct()
+    return rows.join(F.broadcast(listed) if fits_broadcast(listed) else listed, key, "left_anti")
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -52,11 +58,13 @@ def lookup_join(
     A table measured to be small is broadcast, so the rows are not shuffled at all.
     Otherwise the rows of hot keys (fewer than ``hot`` of them) and of null keys meet
     a broadcast of just those entries, and only the rest is shuffled by key.
-    ``counts`` may give the number of rows per key where it is known already.
+    ``counts`` may give the number of rows per key where it is known already; otherwise
+    the rows are written once and counted, since this way reads them several times.
     """
     if fits_broadcast(table, limit):
         return rows.join(F.broadcast(table), key, "left")
     if counts is None:
+        rows = materialize(rows, "rows")
         counts = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
         count = "n"
     heavy = hot_keys(counts.where(F.col(key).isNotNull()), key, count, hot)
@@ -92,6 +100,7 @@ def expanding_join(
     if fits_broadcast(table, limit):
         return rows.join(F.broadcast(table), key)
     if counts is None:
+        rows = materialize(rows, "rows")
         counts = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
         count = "n"
     heavy = F.broadcast(

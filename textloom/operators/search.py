@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from textloom.functions.text import line, tokenize_terms
 from textloom.operators.index import Index, term_frequency
 from textloom.operators.joins import BROADCAST_BYTES, expanding_join, fits_broadcast
-from textloom.operators.weights import smooth_idf, with_document_frequency
+from textloom.operators.weights import document_norms, smooth_idf
 from textloom.session import materialize
 
 # Sums of doubles depend on the order of addition in their last digits; scores that
@@ -34,16 +34,6 @@ def query_vectors(
     return weighted.select("qid", "term", (F.col("_raw") / length).alias("qw"), "df")
 
 
-def document_norms(index: Index) -> DataFrame:
-    """``(doc_id, norm)``: the length of each document's weighted vector."""
-    raw = F.col("tf") * smooth_idf(index.n_docs, F.col("df"))
-    return (
-        with_document_frequency(index)
-        .groupBy("doc_id")
-        .agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
-    )
-
-
 def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``(qid, doc_id, probability)``: cosine of query and document, where above 0.
 
@@ -80,7 +70,7 @@ def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES)
         F.sum(F.col("tf") * F.col("_pair")).alias("_dot")
     )
     return (
-        dots.join(document_norms(index), "doc_id")
+        dots.join(document_norms(index) if index.norms is None else index.norms, "doc_id")
         .select(
             "qid",
             "doc_id",

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import Window
 
 from textloom.functions.text import bind, term_counts, tokenize_alnum
 from textloom.operators.index import Index
-from textloom.operators.joins import lookup_join
+from textloom.operators.joins import fits_broadcast, lookup_join
 from textloom.operators.order import ROWS_PER_BLOCK, running_position, with_blocks
 from textloom.session import materialize
 
@@ -45,7 +46,11 @@ def tfidf_arrival(
     placed = running_position(
         with_blocks(corpus.select("doc_id"), "doc_id", rows_per_block), [], "doc_id", "n"
     )
-    arrived = placed.join(corpus, "doc_id").select(
+    # Ids and places only: where they fit, the texts need not be shuffled.
+    placed = materialize(placed, "places")
+    if fits_broadcast(placed):
+        placed = F.broadcast(placed)
+    arrived = corpus.join(placed, "doc_id").select(
         "doc_id", "n", "_block", F.inline(term_counts(tokens))
     )
     counted = running_position(materialize(arrived, "arrivals"), ["term"], "doc_id", "df")
@@ -81,6 +86,21 @@ def tfidf_log10_smooth(corpus: DataFrame, tokens: Column, terms: Sequence[str])
     )
 
 
+def document_norms(index: Index) -> DataFrame:
+    """``(doc_id, norm)``: the length of each document's weighted vector."""
+    raw = F.col("tf") * smooth_idf(index.n_docs, F.col("df"))
+    return (
+        with_document_frequency(index)
+        .groupBy("doc_id")
+        .agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
+    )
+
+
+def with_norms(index: Index) -> Index:
+    """The index with its vector lengths written down, for many searches."""
+    return replace(index, norms=materialize(document_norms(index), "norms"))
+
+
 def tfidf_l2(index: Index) -> DataFrame:
     """tf * (ln((1 + N) / (1 + df)) + 1), each document scaled to length 1."""
     weighted = with_document_frequency(index).select(

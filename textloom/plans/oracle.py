@@ -59,8 +59,8 @@ SIGNIFICANT = keep(PIECES, f"NOT ({among('x', SUMMARY_STOP_WORDS)})")
 _spaced = replace("text", tx.FINAL_PERIOD, r"'\1 \2 '")
 _spaced = replace(_spaced, tx.SEPARATORS, "' '")
 _spaced = replace(_spaced, tx.SOFT_SEPARATORS, r"' \1'")
-_spaced = replace(_spaced, tx.CONTRACTION_TAILS, r"'\1 '")
-_whole = keep(find(_spaced, tx.NON_SPACE), f"regexp_matches(x, {lit(tx.ALNUM)})")
+_spaced = replace(_spaced, tx.CONTRACTION_TAILS, "' '")
+_whole = keep(find(_spaced, tx.NON_SPACE), "regexp_full_match(x, '[\\p{L}\\p{N}]+')")
 _cut = (
     f"flatten(list_transform({_whole}, lambda x: CASE WHEN {among('lower(x)', tx.CUT_WORDS)} "
     "THEN [substring(x, 1, 3), substring(x, 4, 3)] ELSE [x] END))"
