@@ -1,8 +1,8 @@
 """Text functions: Column in, Column out.
 
 All of them are built-in expressions, evaluated row by row without a shuffle. The
-patterns are written for Java regular expressions but, except for ALNUM, keep to syntax
-that RE2 reads the same way, so the twins in ``plans.oracle`` use these very constants.
+patterns are written for Java regular expressions but, except for ALNUM and CUTS, keep to
+syntax that RE2 reads the same way, so the twins in ``plans.oracle`` use these constants.
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ SOFT_SEPARATORS = r"[:,]([^\p{Nd}]|\z)"
 CONTRACTION_TAILS = rf"('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|')([{SPACE}]|\z)"
 # Words the same tokenizer cuts in two after the third letter.
 CUT_WORDS = ("cannot", "gimme", "gonna", "gotta", "lemme", "wanna")
+CUTS = (
+    rf"(?<![^{SPACE}])(?i:("
+    + "|".join(f"{word[:3]}(?={word[3:]}(?![^{SPACE}]))" for word in CUT_WORDS)
+    + "))"
+)
 
 Tokens = Callable[[Column], Column]
 
@@ -94,18 +99,9 @@ def tokenize_alnum(text: Column | str, stop_words: Iterable[str]) -> Column:
     spaced = F.regexp_replace(_col(text), FINAL_PERIOD, "$1 $2 ")
     spaced = F.regexp_replace(spaced, SEPARATORS, " ")
     spaced = F.regexp_replace(spaced, SOFT_SEPARATORS, " $1")
-    spaced = F.regexp_replace(spaced, CONTRACTION_TAILS, " ")
-    whole = find_all(spaced, ALNUM)
-    cut = F.flatten(
-        F.transform(
-            whole,
-            lambda word: F.when(
-                F.lower(word).isin(list(CUT_WORDS)),
-                F.array(F.substring(word, 1, 3), F.substring(word, 4, 3)),
-            ).otherwise(F.array(word)),
-        )
-    )
-    return remove_stop_words(cut, stop_words)
+    spaced = F.regexp_replace(spaced, "(?=['nN])" + CONTRACTION_TAILS, " ")
+    spaced = F.regexp_replace(spaced, CUTS, "$1 ")
+    return remove_stop_words(find_all(spaced, ALNUM), stop_words)
 
 
 def split_sentences(text: Column | str) -> Column:
@@ -200,12 +196,11 @@ def first_forms(terms: Column | str, words: Column | str) -> Column:
     Terms and forms are sorted together, so a term stands right before its earliest form.
     """
     forms = F.transform(
-        _col(words),
-        lambda word, i: F.struct(
-            F.lower(word).alias("term"), (i + 1).alias("place"), word.alias("form")
+        F.filter(_col(words), lambda word: F.lower(word) != word),
+        lambda form, i: F.struct(
+            F.lower(form).alias("term"), (i + 1).alias("place"), form.alias("form")
         ),
     )
-    forms = F.filter(forms, lambda form: form["term"] != form["form"])
     heads = F.transform(
         F.array_distinct(_col(terms)),
         lambda term: F.struct(term.alias("term"), F.lit(0).alias("place"), term.alias("form")),
