@@ -37,46 +37,36 @@ def query_vectors(
 def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``(qid, doc_id, probability)``: cosine of query and document, where above 0.
 
-    Only postings of query terms are moved, once, by document; the pairs of query and
-    document are then formed and summed without another shuffle. Query tables too
-    large to broadcast meet the postings in a join salted for frequent terms.
+    Only postings of query terms are moved, once, by document, to meet the document's
+    norm. Then the pairs of query and document are formed and summed in place. Query
+    tables too large to broadcast meet the postings in a join salted for frequent terms.
     """
     vectors = materialize(query_vectors(index, queries, limit), "query-vectors")
-    # Both sides of the product carry the idf: the query in qw, the document through this.
-    weights = vectors.select(
-        "qid",
-        "term",
-        (F.col("qw") * smooth_idf(index.n_docs, F.col("df"))).alias("_pair"),
+    small = fits_broadcast(vectors, limit)
+    terms = vectors.select("term", "df").distinct()
+    norms = document_norms(index) if index.norms is None else index.norms
+    held = (
+        index.postings.join(F.broadcast(terms) if small else terms, "term", "left_semi")
+        .repartition("doc_id")
+        .join(norms, "doc_id")
+        .select("doc_id", "term", (F.col("tf") / F.col("norm")).alias("_part"))
     )
-    if fits_broadcast(vectors, limit):
-        held = (
-            index.postings.join(
-                F.broadcast(vectors.select("term").distinct()), "term", "left_semi"
-            )
-            .repartition("doc_id")
-            .join(F.broadcast(weights), "term")
-        )
+    # Both sides of the product carry the idf: the query in qw, the document through this.
+    idf = smooth_idf(index.n_docs, F.col("df"))
+    weights = vectors.select("qid", "term", (F.col("qw") * idf).alias("_pair"))
+    if small:
+        pairs = held.join(F.broadcast(weights), "term")
     else:
-        held = expanding_join(
-            index.postings,
-            weights,
-            "term",
-            spread="doc_id",
-            counts=vectors.select("term", "df").distinct(),
-            count="df",
-            limit=limit,
+        pairs = expanding_join(
+            held, weights, "term", spread="doc_id", counts=terms, count="df", limit=limit
         )
-    dots = held.groupBy("doc_id", "qid").agg(
-        F.sum(F.col("tf") * F.col("_pair")).alias("_dot")
-    )
     return (
-        dots.join(document_norms(index) if index.norms is None else index.norms, "doc_id")
-        .select(
-            "qid",
-            "doc_id",
-            F.round(F.col("_dot") / F.col("norm"), SCORE_DIGITS).alias("probability"),
+        pairs.groupBy("doc_id", "qid")
+        .agg(
+            F.round(F.sum(F.col("_part") * F.col("_pair")), SCORE_DIGITS).alias("probability")
         )
         .where(F.col("probability") > 0)
+        .select("qid", "doc_id", "probability")
     )
 
 
