@@ -111,9 +111,12 @@ def test_boolean_batch(spark, corpus, rows_of):
     postings = corpus.select(
         "doc_id", F.explode(F.array_distinct(tx.tokenize_terms("text"))).alias("term")
     )
-    found = rows_of(boolean.boolean_search_batch(corpus, postings, clauses), "qid", "doc_id")
     expected = {1: [0, 2], 2: [2, 3], 4: [0, 1, 4], 5: [0, 1, 2, 3, 4]}
-    assert found == [(q, d) for q, docs in expected.items() for d in docs]
+    for limit in (1 << 20, 0):
+        found = boolean.boolean_search_batch(corpus, postings, clauses, limit)
+        assert rows_of(found, "qid", "doc_id") == [
+            (q, d) for q, docs in expected.items() for d in docs
+        ]
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.joins import fits_broadcast
+from textloom.operators.joins import BROADCAST_BYTES, expanding_join, fits_broadcast
+from textloom.session import materialize
 
 # Stands in for a term that every document holds; real terms are never empty.
 EVERYWHERE = ""
@@ -31,7 +32,7 @@ def boolean_search(
 
 
 def boolean_search_batch(
-    corpus: DataFrame, postings: DataFrame, clauses: DataFrame
+    corpus: DataFrame, postings: DataFrame, clauses: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``(qid, doc_id)`` of all matches of many queries in disjunctive normal form.
 
@@ -59,14 +60,17 @@ def boolean_search_batch(
         F.count_if(~F.col("negated")).alias("needed")
     )
     literals = literals.join(needed, ["qid", "clause"])
-    if fits_broadcast(clauses):
-        literals = F.broadcast(literals)
     held = postings.select("doc_id", "term").unionByName(
         corpus.select("doc_id", F.lit(EVERYWHERE).alias("term"))
     )
+    if fits_broadcast(clauses, limit):
+        # At most one literal per clause was added, so this stays in proportion.
+        met = held.join(F.broadcast(literals), "term")
+    else:
+        literals = materialize(literals, "literals")
+        met = expanding_join(held, literals, "term", spread="doc_id", limit=limit)
     return (
-        held.join(literals, "term")
-        .groupBy("qid", "doc_id", "clause", "needed")
+        met.groupBy("qid", "doc_id", "clause", "needed")
         .agg(
             F.count_if(~F.col("negated")).alias("_met"),
             F.count_if(F.col("negated")).alias("_broken"),

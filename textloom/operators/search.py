@@ -8,7 +8,12 @@ from pyspark.sql import Window
 
 from textloom.functions.text import line, tokenize_terms
 from textloom.operators.index import Index, term_frequency
-from textloom.operators.joins import BROADCAST_BYTES, expanding_join, fits_broadcast
+from textloom.operators.joins import (
+    BROADCAST_BYTES,
+    expanding_join,
+    fits_broadcast,
+    lookup_join,
+)
 from textloom.operators.weights import document_norms, smooth_idf
 from textloom.session import materialize
 
@@ -26,8 +31,10 @@ def query_vectors(
     """
     terms = term_frequency(queries, tokenize_terms("text"), doc="qid")
     if fits_broadcast(terms, limit):
-        terms = F.broadcast(terms)
-    weighted = index.stats.join(terms, "term").select(
+        known = index.stats.join(F.broadcast(terms), "term")
+    else:
+        known = lookup_join(terms, index.stats, "term", limit=limit).where("df IS NOT NULL")
+    weighted = known.select(
         "qid", "term", "df", (F.col("tf") * smooth_idf(index.n_docs, F.col("df"))).alias("_raw")
     )
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("qid")))
@@ -45,9 +52,14 @@ def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES)
     small = fits_broadcast(vectors, limit)
     terms = vectors.select("term", "df").distinct()
     norms = document_norms(index) if index.norms is None else index.norms
+    if small:
+        held = index.postings.join(F.broadcast(terms), "term", "left_semi")
+    else:
+        held = lookup_join(
+            index.postings, terms, "term", counts=index.stats, count="df", limit=limit
+        ).where("df IS NOT NULL")
     held = (
-        index.postings.join(F.broadcast(terms) if small else terms, "term", "left_semi")
-        .repartition("doc_id")
+        held.repartition("doc_id")
         .join(norms, "doc_id")
         .select("doc_id", "term", (F.col("tf") / F.col("norm")).alias("_part"))
     )
