@@ -5,6 +5,8 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from textloom.plans.catalog import QUERIES
+from textloom.plans.oracle import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,10 +17,12 @@ def twins():
 
 
 def test_every_query_has_a_twin():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_equal(spark, twins, name):
     ours = queries()[name](spark, FOLDER).toPandas()
     twin = twins.execute(oracle_sql()[name]).df()
