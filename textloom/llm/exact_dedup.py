@@ -8,6 +8,9 @@ kept in the state: on a hit the full bytes are read again and compared.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +19,12 @@ from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize, scratch_path
 
 ROWS_PER_SALT = 1_000
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: take disk as it is needed, not megabytes for each in advance.
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+}
 
 ARRIVALS = T.StructType(
     [
@@ -29,6 +36,22 @@ ARRIVALS = T.StructType(
 )
 
 
+@contextmanager
+def _on_disk(spark: SparkSession) -> Iterator[None]:
+    """Within it, streams of this session keep their state on disk."""
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def arrivals(docs: DataFrame) -> DataFrame:
     """Digest, length, id and place of every row; a null text counts as an empty one."""
     text = F.coalesce("text", F.lit(""))
@@ -47,10 +70,7 @@ def absorb(stream: DataFrame, checkpoint: str) -> None:
     aggregation without a watermark, so nothing in it expires; copies are combined before
     the shuffle, so a content held by a third of the rows is a few rows there.
     """
-    spark = stream.sparkSession
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
+    with _on_disk(stream.sparkSession):
         (
             stream.groupBy("digest", "n_bytes")
             .agg(F.max(F.struct("doc_id", "file")), F.count(F.lit(1)))
@@ -61,11 +81,6 @@ def absorb(stream: DataFrame, checkpoint: str) -> None:
             .start()
             .awaitTermination()
         )
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
 
 
 def state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -134,9 +149,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     arrivals(docs).write.parquet(f"{folder}/arrivals")
     arrived = spark.read.schema(ARRIVALS).parquet(f"{folder}/arrivals")
     absorb(spark.readStream.schema(ARRIVALS).parquet(f"{folder}/arrivals"), f"{folder}/state")
-    groups = state(spark, f"{folder}/state").drop("file")
-
-    repeated = materialize(groups.where("group_size > 1"), "repeated-digests")
+    with _on_disk(spark):
+        groups = state(spark, f"{folder}/state").drop("file")
+        repeated = materialize(groups.where("group_size > 1"), "repeated-digests")
     hits = materialize(
         _meet(arrived.select("doc_id", "digest", "n_bytes"), repeated, ["digest", "n_bytes"]), "digest-hits"
     )
