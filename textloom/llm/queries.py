@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
-from textloom.llm import exact_dedup
+import public_tokenizers
+
+from textloom.llm import bpe, exact_dedup, token_count
+
+TOKEN_LIMIT = 512
+
+
+def _file(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
 
 
 def _documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op2_bpe_round_trip(spark, sf):
+    """Every document encoded and decoded again."""
+    ranks = _file("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(_documents(spark, sf), ranks, public_tokenizers.PATTERN)
+
+
 def op7_exact_dedup(spark, sf):
     """Every document with the row of its text that stays."""
     return exact_dedup.exact_duplicates(_documents(spark, sf))
 
 
+def op10_token_count(spark, sf):
+    """Every document's tokens, and whether they are too many for one context."""
+    return token_count.token_counts(
+        _documents(spark, sf), _file("byte_bpe_50k.json"), public_tokenizers.PATTERN, TOKEN_LIMIT
+    )
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op7_exact_dedup,)
+    for query in (op2_bpe_round_trip, op7_exact_dedup, op10_token_count)
 }
