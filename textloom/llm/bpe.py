@@ -16,6 +16,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from textloom.llm.pretokens import Memo, few_collections, splitter
 
 STATES = 1 << 18  # states held at once; beyond it the table starts anew
-PAIRS = 1 << 18  # answers held about which tokens follow one another
-MEMO = 1 << 19  # pre-tokens whose output is held
+PAIRS = 1 << 19  # answers held about which tokens follow one another
+MEMO = 1 << 20  # pre-tokens whose output is held
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -272,7 +273,7 @@ class Codec:
         return tuple(self.transducer.encode(piece.encode()))
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in map(self._of.__getitem__, self.split(text)) for i in ids]
+        return list(chain.from_iterable(map(self._of.__getitem__, self.split(text))))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.transducer.token_of.__getitem__, ids))

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, token_count
+from textloom.llm import bpe, exact_dedup, packing, token_count, topk_search, url_filter
+from textloom.llm.url_filter import Rule
 
 TOKEN_LIMIT = 512
+RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
 
 
 def _file(name: str) -> bytes:
@@ -24,11 +35,28 @@ def op2_bpe_round_trip(spark, sf):
     return bpe.round_trip(_documents(spark, sf), ranks, public_tokenizers.PATTERN)
 
 
+def op5_top_k_search(spark, sf):
+    """The 20 best candidates of every query vector."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return topk_search.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op6_packing(spark, sf):
+    """Every document's pieces in sequences of 2048 tokens."""
+    make = partial(packing.word_encoder, _file("word_bpe_49k.json"))
+    return packing.packed(_documents(spark, sf), make).drop("ids")
+
+
 def op7_exact_dedup(spark, sf):
     """Every document with the row of its text that stays."""
     return exact_dedup.exact_duplicates(_documents(spark, sf))
 
 
+def op9_url_filter(spark, sf):
+    """Every page's rule and verdict."""
+    return url_filter.url_verdicts(spark.read.parquet(f"{sf}/pages.parquet"), RULES)
+
+
 def op10_token_count(spark, sf):
     """Every document's tokens, and whether they are too many for one context."""
     return token_count.token_counts(
@@ -38,5 +66,8 @@ def op10_token_count(spark, sf):
 
 QUERIES = {
     query.__name__: query
-    for query in (op2_bpe_round_trip, op7_exact_dedup, op10_token_count)
+    for query in (
+        op2_bpe_round_trip, op5_top_k_search, op6_packing, op7_exact_dedup, op9_url_filter,
+        op10_token_count,
+    )
 }
