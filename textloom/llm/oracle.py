@@ -2,7 +2,55 @@
 
 from __future__ import annotations
 
+from textloom.llm.license_scan import SIMILARITY, TEMPLATES, WORDS
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_NOTICES = ", ".join(f"({_text(name)}, {_text(notice)})" for name, notice in TEMPLATES.items())
+_RUN = " || ' ' || ".join(f"words[i + {k}]" for k in range(WORDS))
+
 ORACLES = {
+    "op4_license_scan": f"""
+        WITH notices(license, notice) AS (VALUES {_NOTICES}),
+        texts AS (
+            SELECT NULL::BIGINT AS doc_id, license, notice AS t FROM notices
+            UNION ALL
+            SELECT DISTINCT doc_id, NULL, coalesce(text, '') FROM documents WHERE doc_id IS NOT NULL
+        ),
+        cut AS (
+            SELECT doc_id, license,
+                   list_filter(regexp_split_to_array(lower(t), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w != '') AS words
+            FROM texts
+        ),
+        places AS (
+            SELECT doc_id, license, words, unnest(range(1, len(words) - {WORDS} + 2)) AS i FROM cut
+        ),
+        runs AS (SELECT doc_id, license, i - 1 AS pos, {_RUN} AS run FROM places),
+        templates AS (
+            SELECT license, count(DISTINCT run) AS n, count(*) AS span FROM runs WHERE license IS NOT NULL GROUP BY license
+        ),
+        hits AS (
+            SELECT DISTINCT r.doc_id, t.license, r.pos, r.run
+            FROM runs r JOIN runs t ON r.run = t.run AND t.license IS NOT NULL AND r.license IS NULL
+        ),
+        stretches AS (
+            SELECT a.doc_id, a.license, a.pos, count(DISTINCT b.run) AS matched
+            FROM hits a
+            JOIN templates t USING (license)
+            JOIN hits b ON a.doc_id = b.doc_id AND a.license = b.license AND b.pos >= a.pos AND b.pos < a.pos + t.span
+            GROUP BY a.doc_id, a.license, a.pos
+        ),
+        best AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY matched DESC, pos) AS place FROM stretches
+        )
+        SELECT doc_id, license, pos::INT AS first_word, matched::INT AS matched, n::INT AS template_shingles,
+               matched::DOUBLE / n AS containment
+        FROM best JOIN templates USING (license)
+        WHERE place = 1 AND matched >= n * {SIMILARITY}
+    """,
     "op7_exact_dedup": """
         WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id,

@@ -7,7 +7,16 @@ from functools import partial
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, packing, token_count, topk_search, url_filter
+from textloom.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    token_count,
+    topk_search,
+    url_filter,
+)
 from textloom.llm.url_filter import Rule
 
 TOKEN_LIMIT = 512
@@ -35,6 +44,19 @@ def op2_bpe_round_trip(spark, sf):
     return bpe.round_trip(_documents(spark, sf), ranks, public_tokenizers.PATTERN)
 
 
+def op3_language_id(spark, sf):
+    """Every document's predicted language, learned from the documents that are not held out."""
+    docs = _documents(spark, sf)
+    training = language_id.training_texts(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
+    predicted = language_id.languages(docs, training)
+    return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op4_license_scan(spark, sf):
+    """Every license notice that a document holds at least three quarters of."""
+    return license_scan.scan(_documents(spark, sf))
+
+
 def op5_top_k_search(spark, sf):
     """The 20 best candidates of every query vector."""
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
@@ -67,7 +89,7 @@ def op10_token_count(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op2_bpe_round_trip, op5_top_k_search, op6_packing, op7_exact_dedup, op9_url_filter,
-        op10_token_count,
+        op2_bpe_round_trip, op3_language_id, op4_license_scan, op5_top_k_search, op6_packing,
+        op7_exact_dedup, op9_url_filter, op10_token_count,
     )
 }
