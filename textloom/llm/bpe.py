@@ -34,6 +34,7 @@ MANY = 32  # tokens below a trie node that are not looked through
 
 _FOREVER = float("inf")
 _START = -1
+_MEANING = -1  # where a state keeps what it means
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -170,24 +171,23 @@ class Transducer:
         return below is None or any(self._joins(token, tail) for tail in below)
 
     def _forget(self) -> None:
-        self._number: dict[tuple, int] = {}
-        self._states: list[tuple] = []
-        self._step: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._enter((_START, (((), 0),)))
-
-    def _enter(self, state: tuple) -> int:
-        number = self._number.setdefault(state, len(self._states))
-        if number == len(self._states):
-            self._states.append(state)
-        return number
-
-    def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        self._known: dict[tuple, dict] = {}
+        self._start = self._enter((_START, (((), 0),)))
+
+    def _enter(self, meaning: tuple) -> dict:
+        """The state of that meaning: a table from bytes to (next state, emitted tokens)."""
+        state = self._known.get(meaning)
+        if state is None:
+            state = self._known[meaning] = {_MEANING: meaning}
+        return state
+
+    def _advance(self, meaning: tuple, byte: int) -> tuple[dict, tuple[int, ...]]:
         """Work out a transition: the next state, and the tokens that are now certain.
 
-        A state is (last emitted token, hypotheses); a hypothesis is (tokens since then,
+        A state means (last emitted token, hypotheses); a hypothesis is (tokens since then,
         trie node of the bytes after them). The complete prefix is the one at the root.
         """
-        last, hypotheses = self._states[state]
+        last, hypotheses = meaning
         moved, complete = [], None
         for path, node in hypotheses:
             ahead = self._child.get(node << 8 | byte)
@@ -215,19 +215,19 @@ class Transducer:
 
     def encode(self, piece: bytes) -> list[int]:
         """The token ids of one pre-token, read byte by byte."""
-        if len(self._states) > self.limit:
+        if len(self._known) > self.limit:
             self._forget()
         ids: list[int] = []
-        state, step = 0, self._step
+        state = self._start
         for byte in piece:
-            found = step.get(state << 8 | byte)
+            found = state.get(byte)
             if found is None:
-                found = step[state << 8 | byte] = self._advance(state, byte)
+                found = state[byte] = self._advance(state[_MEANING], byte)
             state, emitted = found
             if emitted:
                 ids.extend(emitted)
         # At the end only the hypothesis with no bytes left over is right.
-        ids.extend(self._states[state][1][-1][0])
+        ids.extend(state[_MEANING][1][-1][0])
         return ids
 
 
