@@ -12,7 +12,9 @@ from textloom.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    ngram_join,
     packing,
+    suffix_dedup,
     token_count,
     topk_search,
     url_filter,
@@ -38,6 +40,11 @@ def _documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_ngram_join(spark, sf):
+    """Every document with its set's size and the component of near copies it is in."""
+    return ngram_join.near_duplicates(_documents(spark, sf))
+
+
 def op2_bpe_round_trip(spark, sf):
     """Every document encoded and decoded again."""
     ranks = _file("byte_bpe_multi_50k.tiktoken")
@@ -74,6 +81,11 @@ def op7_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(_documents(spark, sf))
 
 
+def op8_suffix_dedup(spark, sf):
+    """Every document's bytes that are part of a repeated string, counted and cut out."""
+    return suffix_dedup.without_repeats(_documents(spark, sf))
+
+
 def op9_url_filter(spark, sf):
     """Every page's rule and verdict."""
     return url_filter.url_verdicts(spark.read.parquet(f"{sf}/pages.parquet"), RULES)
@@ -89,7 +101,7 @@ def op10_token_count(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op2_bpe_round_trip, op3_language_id, op4_license_scan, op5_top_k_search, op6_packing,
-        op7_exact_dedup, op9_url_filter, op10_token_count,
+        op1_ngram_join, op2_bpe_round_trip, op3_language_id, op4_license_scan, op5_top_k_search,
+        op6_packing, op7_exact_dedup, op8_suffix_dedup, op9_url_filter, op10_token_count,
     )
 }
