@@ -1,21 +1,81 @@
-"""A training corpus from raw documents: each stage works on what its predecessor kept."""
+"""A training corpus from raw documents: each stage works on what its predecessor kept.
+
+A stage takes ``(spark, docs, sf_dir)`` and returns documents with the columns they came with;
+the last one returns the pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
+from functools import partial
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup
+from textloom.llm import exact_dedup, language_id, ngram_join, packing, suffix_dedup
+from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the rows of the given ids; rows with a null id stay."""
+    gone = materialize(ids.select(F.col("doc_id").alias("_gone_id")).where("_gone_id is not null").distinct(), label)
+    listed = F.broadcast(gone) if fits_broadcast(gone) else gone
+    return docs.join(listed, docs["doc_id"] == listed["_gone_id"], "left_anti")
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have a language: without a letter there is none, and they go."""
+    labelled = docs.where(~language_id.held_out()).select("doc_id", "text", "lang")
+    found = language_id.languages(docs, language_id.training_texts(labelled))
+    return _without(docs, found.where(F.col("lang_pred") == language_id.UNKNOWN), "unknown-language")
+
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, that with the largest id."""
     return exact_dedup.without_duplicates(docs)
 
 
-STAGES = [("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id."""
+    return _without(docs, ngram_join.near_duplicates(docs).where("component_id != doc_id"), "near-copies")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated strings. Bytes of a character that was cut in two go as
+    well; a document of which nothing is left goes."""
+    cut = suffix_dedup.without_repeats(docs, with_text=True)
+    kept = materialize(
+        cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut_id"), F.col("kept").alias("_kept")), "cut-texts"
+    )
+    listed = F.broadcast(kept) if fits_broadcast(kept) else kept
+    text = F.when(F.col("_cut_id").isNull(), docs["text"]).otherwise(F.col("_kept"))
+    new = {"text": text, "n_chars": F.when(F.col("_cut_id").isNull(), docs["n_chars"]).otherwise(F.length("_kept").cast("long"))}
+    return (
+        docs.join(listed, docs["doc_id"] == listed["_cut_id"], "left")
+        .where("_cut_id is null or _kept != ''")
+        .select(*[new[name].alias(name) if name in new else docs[name] for name in docs.columns])
+    )
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces of sequences of 2048 tokens."""
+    with open(public_tokenizers.path(VOCABULARY), "rb") as file:
+        make = partial(packing.word_encoder, file.read())
+    return packing.packed(docs, make)
+
+
+STAGES = [
+    ("language", known_language),
+    ("exact copies", exact_copies),
+    ("near copies", near_copies),
+    ("repeated passages", repeated_passages),
+    ("packing", packed),
+]
 
-# Neither language models nor tokenizers have a form in SQL.
+# Neither learned languages nor tokenizers can be put in SQL.
 ORACLE_SQL = None
 
 

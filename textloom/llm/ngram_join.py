@@ -7,9 +7,9 @@ there, and per pair the counts of all fragments are summed. The sum bounds what
 can share, and the pairs that remain are counted exactly.
 
 Linked documents form components, and not all pairs of a large group are ever formed: first,
-each document meets the smallest document of its fragments' groups (a star), and what is linked
-becomes one component. Only pairs of different components are then joined in full, so no link
-between components is lost.
+in a few rounds, each document meets the centres of its groups (stars, other centres in each
+round), and what is linked becomes one component. Only pairs of different components are then
+joined in full, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -34,8 +34,10 @@ FREQUENT = 64  # documents from which a shingle counts as frequent
 FREQUENT_HELD = 1 << 17  # the most frequent ones that go to the end of the order: one megabyte
 OFTEN = 4  # times in a batch of documents from which a shingle is counted
 PER_FRAGMENT = 500_000  # shingles
-MEMO = 1 << 20
-STARS = 2  # star centres that a document is compared with
+MEMO = 1 << 18
+STARS = 2  # star centres that a document is compared with in a round
+ROUNDS = 6  # of stars at most
+CROSS_FRAGMENTS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(1 << 63)
@@ -142,35 +144,38 @@ def _fragments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
         fragment = fragment[order]
         cuts = np.flatnonzero(np.concatenate(([True], fragment[1:] != fragment[:-1]))) if len(fragment) else []
         ends = [*cuts[1:], len(fragment)]
-        rows = [
-            (int(fragment[a]), *(x[order[a:b]].tobytes() for x in (places, docs, sizes))) for a, b in zip(cuts, ends)
-        ]
-        columns = list(zip(*rows)) if rows else [(), (), (), ()]
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        rows = []
+        for a, b in zip(cuts, ends):
+            inside = docs[order[a:b]]
+            runs = np.flatnonzero(np.concatenate(([True], inside[1:] != inside[:-1])))
+            lengths = np.diff(np.concatenate((runs, [len(inside)])))
+            owners = np.stack((inside[runs], sizes[order[a:b]][runs], lengths))
+            rows.append((int(fragment[a]), places[order[a:b]].tobytes(), owners.astype("<i8").tobytes()))
+        columns = list(zip(*rows)) if rows else [(), (), ()]
+        kinds = (pa.int64(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["fragment", "places", "docs", "sizes"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["fragment", "places", "owners"]
         )
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """The shingles of a fragment that two documents at least hold: rows (place, doc_id, n)."""
+def _unfolded(places: list[bytes], owners: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles with their documents and sizes, from rows of a fragment."""
+    runs = np.concatenate([np.frombuffer(o, "<i8").reshape(3, -1) for o in owners], axis=1)
+    return np.frombuffer(b"".join(places), np.int64), np.repeat(runs[0], runs[2]), np.repeat(runs[1], runs[2])
 
-    def whole(name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    places, docs, sizes = whole("places", np.uint64), whole("docs", np.int64), whole("sizes", np.int32)
-    order = np.argsort(places, kind="stable")
-    ordered = places[order]
+def _shared(table: pa.Table) -> pa.Table:
+    """The shingles of a fragment that two documents at least hold: rows (place, doc_id, n)."""
+    places, docs, sizes = _unfolded(*(table.column(c).to_pylist() for c in ("places", "owners")))
+    order = np.lexsort((docs, places))
+    ordered, owner = places[order], docs[order]
+    # Rows that repeat an id hold a shingle once.
+    new = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])))
+    order, ordered = order[new], ordered[new]
     same = np.concatenate(([False], ordered[1:] == ordered[:-1]))
     same[:-1] |= same[1:]
     kept = order[same]
-    return pa.table(
-        {
-            "place": pa.array(places[kept].view(np.int64)),
-            "doc_id": pa.array(docs[kept]),
-            "n": pa.array(sizes[kept].astype(np.int64)),
-        }
-    )
+    return pa.table({"place": pa.array(places[kept]), "doc_id": pa.array(docs[kept]), "n": pa.array(sizes[kept])})
 
 
 def shared_shingles(sets: DataFrame) -> DataFrame:
@@ -182,10 +187,10 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
     held = sets.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     # Prefixes lie in the first quarter of the order's unmarked half, an eighth of it all.
     bits = 5 + max(0, int(np.ceil(np.log2(max(1.0, held / PER_FRAGMENT)))))
-    cut = sets.select("doc_id", "n", "prefix").mapInArrow(
-        partial(_fragments, bits=bits), "fragment long, places binary, docs binary, sizes binary"
+    kind = "fragment long, places binary, owners binary"
+    cut = materialize(
+        sets.select("doc_id", "n", "prefix").mapInArrow(partial(_fragments, bits=bits), kind), "prefix-fragments"
     )
-    cut = materialize(cut, "prefix-fragments")
     common = F.col("fragment") >= (1 << (bits - 1))
     rare = cut.where(~common).groupBy("fragment").applyInArrow(_shared, "place long, doc_id long, n long")
     known = cut.where(common).mapInArrow(_rows, "place long, doc_id long, n long")
@@ -194,26 +199,38 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for places, docs, sizes in zip(*(batch.column(c).to_pylist() for c in ("places", "docs", "sizes"))):
-            columns = (
-                np.frombuffer(places, np.int64), np.frombuffer(docs, np.int64),
-                np.frombuffer(sizes, np.int32).astype(np.int64),
-            )
+        for places, owners in zip(*(batch.column(c).to_pylist() for c in ("places", "owners"))):
+            columns = _unfolded([places], [owners])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["place", "doc_id", "n"])
 
 
-def _alike_in_size(a: str, b: str, percent: int):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(place, doc_id, n, label)`` of the shingles that documents of several components share;
+    one component alone has nothing left to find."""
+    own = shared.join(_few(labels.select(F.col("id").alias("doc_id"), "label")), "doc_id", "left").select(
+        "place", "doc_id", "n", F.coalesce("label", "doc_id").alias("label")
+    )
+    own = materialize(own, "labelled-shingles")
+    mixed = (
+        own.groupBy("place")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low != high")
+        .select("place")
+    )
+    return materialize(own.join(mixed, "place"), "mixed-shingles")
 
 
-def star_pairs(shared: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
-    """``(a, b)``: each document ``b`` with the documents ``a`` that are the smallest of most of
-    its groups (a shingle and a class of sizes)."""
-    grouped = shared.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))))
-    centres = grouped.groupBy("place", "class").agg(F.min(F.struct("n", "doc_id")).alias("centre"))
+def star_pairs(mixed: DataFrame, number: int, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
+    """``(a, b)``: documents ``b`` with the centres ``a`` of most of their groups (a shingle and a
+    class of sizes) that are of another component. Each round has other centres and classes."""
+    scale = float(np.log(100 / percent))
+    sized = F.floor(F.log(F.col("n").cast("double")) / scale + F.lit(0.5 * (number % 2)))
+    grouped = mixed.withColumn("class", sized)
+    drawn = F.struct(F.xxhash64("doc_id", F.lit(number)).alias("draw"), F.col("doc_id"), F.col("label"))
+    centres = grouped.groupBy("place", "class").agg(F.min(drawn).alias("centre"))
     counted = (
         grouped.join(centres, ["place", "class"])
-        .where(F.col("centre.doc_id") != F.col("doc_id"))
+        .where(F.col("centre.label") != F.col("label"))
         .groupBy(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
         .agg(F.count(F.lit(1)).alias("overlap"), F.first("n").alias("n"))
         # A star need not hold every link; these are the likely ones.
@@ -266,29 +283,19 @@ def order_key(docs: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> bytes:
     return np.concatenate((docs, sizes, labels)).astype(np.int64).tobytes()
 
 
-def cross_pairs(shared: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(a, b)``: all pairs of different components that can still be alike.
 
-    Shingles whose documents are all of one component are done with. For the others partial
-    overlaps are counted fragment by fragment and summed per pair; as the rest of
-    the smaller prefix's set is all that could be shared besides, few pairs remain.
+    Partial overlaps are counted fragment by fragment and summed per pair; as the rest of the set
+    whose prefix ends first is all that could be shared besides, few pairs remain.
     """
-    labelled = shared.join(labels.select(F.col("id").alias("doc_id"), "label"), "doc_id", "left").withColumn(
-        "label", F.coalesce("label", "doc_id")
-    )
-    labelled = materialize(labelled, "labelled-shingles")
-    mixed = (
-        labelled.groupBy("place")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held"))
-        .where("low != high")
-        .select("place", F.pmod(F.xxhash64("place"), F.lit(1 << 12)).alias("fragment"))
-    )
+    fragments = max(CROSS_FRAGMENTS, mixed.count() // PER_FRAGMENT)
 
     def cross(table: pa.Table) -> pa.Table:
         return _cross(table, percent)
 
     counted = (
-        labelled.join(mixed, "place")
+        mixed.withColumn("fragment", F.pmod(F.xxhash64("place"), F.lit(fragments)))
         .groupBy("fragment")
         .applyInArrow(cross, "a long, b long, na long, nb long, overlap long")
         .groupBy("a", "b", "na", "nb")
@@ -368,6 +375,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _edges(labels: DataFrame) -> DataFrame:
+    """What components are known already, as one link of each member to the least."""
+    return labels.where("id != label").select(F.col("label").alias("a"), F.col("id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs(doc_id, text, ...)``.
 
@@ -377,6 +389,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeat an id and text are copies of each other; rows with a null id take no part and
     have a null component. No rows give none; other columns are not looked at.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = frequent_shingles(texts.select("text"))
     sets = materialize(texts.mapInArrow(partial(_sets, frequent=frequent, percent=percent), SETS), "shingle-sets")
@@ -386,14 +399,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     single = _few(classes.select(F.col("first_id").alias("doc_id")))
     first = known.join(single, "doc_id", "left_semi")
-    shared = materialize(shared_shingles(first).distinct(), "shared-shingles")
-
-    stars = materialize(star_pairs(shared, percent), "star-pairs")
-    links = materialize(linked(texts, stars, percent), "star-links")
-    labels = components(links)
-    pairs = materialize(cross_pairs(shared, labels, percent), "cross-pairs")
+    shared = materialize(shared_shingles(first), "shared-shingles")
+
+    labels = components(spark.createDataFrame([], "a bigint, b bigint"))
+    for number in range(ROUNDS):
+        mixed = labelled(shared, labels)
+        stars = materialize(star_pairs(mixed, number, percent), "star-pairs")
+        links = materialize(linked(texts, stars, percent), "star-links")
+        if links.isEmpty():
+            break
+        labels = components(_edges(labels).unionByName(links))
+    mixed = labelled(shared, labels)
+    pairs = materialize(cross_pairs(mixed, percent), "cross-pairs")
     more = materialize(linked(texts, pairs, percent), "cross-links")
-    labels = components(links.unionByName(more))
+    labels = components(_edges(labels).unionByName(more))
 
     named = classes.join(
         labels.select(F.col("id").alias("first_id"), "label"), "first_id", "left"

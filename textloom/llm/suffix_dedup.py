@@ -393,7 +393,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return materialize(found.select(columns).unionByName(last.select(columns)), "repeated-starts")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, bytes_out: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], length: int, text_out: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, gone, runs, digests, kept = [], [], [], [], []
         for data, starts in zip(batch.column("raw").to_pylist(), batch.column("starts").to_pylist()):
@@ -410,19 +410,20 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, bytes_out: bool) -> Ite
             gone.append(len(data) - len(rest))
             runs.append(len(spans))
             digests.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest if bytes_out else b"")
+            kept.append(rest.decode("utf-8", "ignore") if text_out else "")
         columns = [pa.array(c, pa.int64()) for c in (sizes, gone, runs)]
         columns = [batch.column("doc_id"), *columns, pa.array(digests, pa.string())]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if bytes_out:
-            columns.append(pa.array(kept, pa.binary()))
+        if text_out:
+            columns.append(pa.array(kept, pa.string()))
             names.append("kept")
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of each row of ``docs(doc_id, text,
-    ...)``, and with ``with_bytes`` also ``kept``, the remaining bytes.
+    ...)``, and with ``with_text`` also ``kept``, the remaining bytes as text, without those of
+    characters that were cut in two.
 
     Every byte is removed that lies in a string of ``length`` bytes which also starts
     anywhere else in the rows, as they came in. Null texts are empty; texts under ``length`` bytes
@@ -431,7 +432,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Fa
     other columns are not looked at.
     """
     starts = _gathered(repeated_starts(docs, length), "starts")
-    work = partial(_cut, length=length, bytes_out=with_bytes)
+    work = partial(_cut, length=length, text_out=with_text)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     rows = _with(_raw(docs), materialize(starts, "document-starts"), "left").select("doc_id", "raw", "starts")
-    return rows.mapInArrow(work, schema + (", kept binary" if with_bytes else ""))
+    return rows.mapInArrow(work, schema + (", kept string" if with_text else ""))
