@@ -36,7 +36,7 @@ OFTEN = 4  # times in a batch of documents from which a shingle is counted
 PER_FRAGMENT = 500_000  # shingles
 MEMO = 1 << 18
 STARS = 2  # star centres that a document is compared with in a round
-ROUNDS = 6  # of stars at most
+ROUNDS = 4  # of stars at most
 CROSS_FRAGMENTS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -197,6 +197,18 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
     return rare.unionByName(known)
 
 
+def one_per_list(shared: DataFrame) -> DataFrame:
+    """``(place, doc_id, n, weight)``: neighbouring shingles of a passage have the same documents;
+    one of them stands for all, with their number as its weight. Lists are told apart by
+    their length and two hashes of their documents."""
+    marks = [F.bit_xor(F.xxhash64("doc_id", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)]
+    lists = shared.groupBy("place").agg(*marks, F.count(F.lit(1)).alias("held"))
+    chosen = lists.groupBy("mark1", "mark2", "held").agg(
+        F.min("place").alias("place"), F.count(F.lit(1)).alias("weight")
+    )
+    return shared.join(_few(materialize(chosen.select("place", "weight"), "shingle-lists")), "place")
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for places, owners in zip(*(batch.column(c).to_pylist() for c in ("places", "owners"))):
@@ -205,34 +217,30 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(place, doc_id, n, label)`` of the shingles that documents of several components share;
-    one component alone has nothing left to find."""
-    own = shared.join(_few(labels.select(F.col("id").alias("doc_id"), "label")), "doc_id", "left").select(
-        "place", "doc_id", "n", F.coalesce("label", "doc_id").alias("label")
-    )
-    own = materialize(own, "labelled-shingles")
-    mixed = (
-        own.groupBy("place")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("place")
-    )
-    return materialize(own.join(mixed, "place"), "mixed-shingles")
+    """``shared`` with the component of each document."""
+    own = _few(labels.select(F.col("id").alias("doc_id"), "label"))
+    return shared.join(own, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
 
+def mixed_only(own: DataFrame) -> DataFrame:
+    """Shingles whose documents are of several components: one component has nothing left to find."""
+    ends = own.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return own.join(_few(materialize(ends.where("low != high").select("place"), "mixed-places")), "place")
 
-def star_pairs(mixed: DataFrame, number: int, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
+
+def star_pairs(own: DataFrame, number: int, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
     """``(a, b)``: documents ``b`` with the centres ``a`` of most of their groups (a shingle and a
     class of sizes) that are of another component. Each round has other centres and classes."""
     scale = float(np.log(100 / percent))
     sized = F.floor(F.log(F.col("n").cast("double")) / scale + F.lit(0.5 * (number % 2)))
-    grouped = mixed.withColumn("class", sized)
+    grouped = own.withColumn("class", sized)
     drawn = F.struct(F.xxhash64("doc_id", F.lit(number)).alias("draw"), F.col("doc_id"), F.col("label"))
     centres = grouped.groupBy("place", "class").agg(F.min(drawn).alias("centre"))
     counted = (
         grouped.join(centres, ["place", "class"])
         .where(F.col("centre.label") != F.col("label"))
         .groupBy(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
-        .agg(F.count(F.lit(1)).alias("overlap"), F.first("n").alias("n"))
+        .agg(F.sum("weight").alias("overlap"), F.first("n").alias("n"))
         # A star need not hold every link; these are the likely ones.
         .where(F.col("overlap") * 400 >= F.col("n") * (100 - percent))
     )
@@ -243,19 +251,14 @@ def star_pairs(mixed: DataFrame, number: int, percent: int = PERCENT, stars: int
 def _cross(table: pa.Table, percent: int) -> pa.Table:
     """Partial overlaps in a group of places: pairs of different components, with their count."""
     place = table.column("place").to_numpy()
-    docs, sizes, labels = (table.column(c).to_numpy() for c in ("doc_id", "n", "label"))
+    docs, sizes, labels, weights = (table.column(c).to_numpy() for c in ("doc_id", "n", "label", "weight"))
     order = np.lexsort((docs, sizes, place))
-    place, docs, sizes, labels = place[order], docs[order], sizes[order], labels[order]
+    place, docs, sizes, labels, weights = (x[order] for x in (place, docs, sizes, labels, weights))
     starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     ends = np.concatenate((starts[1:], [len(place)]))
-    counts: dict[bytes, int] = {}
-    # Neighbouring shingles of one passage have the same documents: form their pairs once.
-    for low, high in zip(starts, ends):
-        key = order_key(docs[low:high], sizes[low:high], labels[low:high])
-        counts[key] = counts.get(key, 0) + 1
     left, right, n_left, n_right, overlap = [], [], [], [], []
-    for key, times in counts.items():
-        own, n, label = np.frombuffer(key, np.int64).reshape(3, -1)
+    for low, high in zip(starts, ends):
+        own, n, label, times = docs[low:high], sizes[low:high], labels[low:high], weights[low]
         reach = np.searchsorted(n * percent, n * 100, side="right")
         for i in range(len(own) - 1):
             others = slice(i + 1, int(reach[i]))
@@ -279,10 +282,6 @@ def _cross(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
-def order_key(docs: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> bytes:
-    return np.concatenate((docs, sizes, labels)).astype(np.int64).tobytes()
-
-
 def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(a, b)``: all pairs of different components that can still be alike.
 
@@ -399,17 +398,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     single = _few(classes.select(F.col("first_id").alias("doc_id")))
     first = known.join(single, "doc_id", "left_semi")
-    shared = materialize(shared_shingles(first), "shared-shingles")
+    shared = materialize(one_per_list(materialize(shared_shingles(first), "shared-shingles")), "shingle-groups")
 
     labels = components(spark.createDataFrame([], "a bigint, b bigint"))
     for number in range(ROUNDS):
-        mixed = labelled(shared, labels)
-        stars = materialize(star_pairs(mixed, number, percent), "star-pairs")
+        stars = materialize(star_pairs(labelled(shared, labels), number, percent), "star-pairs")
         links = materialize(linked(texts, stars, percent), "star-links")
         if links.isEmpty():
             break
         labels = components(_edges(labels).unionByName(links))
-    mixed = labelled(shared, labels)
+    mixed = materialize(mixed_only(labelled(shared, labels)), "mixed-shingles")
     pairs = materialize(cross_pairs(mixed, percent), "cross-pairs")
     more = materialize(linked(texts, pairs, percent), "cross-links")
     labels = components(_edges(labels).unionByName(more))

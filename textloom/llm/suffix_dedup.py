@@ -11,13 +11,15 @@ its anchor, so copies of a string have theirs at the same places; and where the
 at the anchor is not repeated, no string that holds it is. Rounds:
 
 1. every start is led to its anchor, and those whose anchor is repeated stay: the live ones;
-2. full strings are tested at intervals; two repeated ones that touch cover all between them;
-3. the starts left over, at the edges, are led to anchors of strings nearly as long;
+2. full strings around these anchors are tested; two repeated ones that touch cover all
+   between them;
+3. the starts left over, at the edges, are led to anchors of strings nearly as long, twice;
 4. whatever still stays is tested itself.
 
-What a later round tests may have its only copy at a place that is settled already. So the
-strings to be tested mark a bitmap of bounded size, and all live places whose strings
-meet the marks are sorted along with them.
+What the later rounds test may have its only copy at a place that is settled already. So the
+strings to be tested mark a bitmap of bounded size, and live places whose strings meet the
+marks are sorted with them. That a string is repeated shows in two places of it, so
+a task gives no more than two of each.
 """
 
 from __future__ import annotations
@@ -38,18 +40,18 @@ from textloom.session import materialize
 
 LENGTH = 400
 FIRST = 0.5  # share of the length that the first anchors' strings have
-EDGE = 0.92  # the same for the strings at the edges
-STRIDE = 0.32  # between the tests inside, as a share of the length
+EDGES = (0.92, 0.985)  # the same for the strings at the edges, round by round
 PER_BUCKET = 1_000_000
 MARK_BITS = 27  # a bitmap has at most 2 ** 27 bits, 16 megabytes
 SLICE_BITS = 16
+HELD = 1 << 18  # strings whose places a task counts at once
 
 _POSITION = np.uint64((1 << 20) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SIGN = np.uint64(1 << 63)
 
 SUFFIX = "lead long, rest1 long, rest2 long, doc_id long, place long, low long, high long"
-WANTED = "mark long, doc_id long, place long, low long, high long"
+WANTED = "mark long, rest1 long, doc_id long, place long, low long, high long"
 _SORTED = "doc_id long, place long, low long, high long, repeated boolean, edge int, bucket int, lead long, rest1 long, rest2 long"
 
 
@@ -123,7 +125,7 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-# What a round tests in one document: (place, first start, last start, length of the string).
+# What a round tests in one document: (place, first start, last start).
 Tests = Iterator[tuple[int, int, int]]
 
 
@@ -134,12 +136,6 @@ def _led(raw: np.ndarray, spans: list[tuple[int, int]], length: int, gram: int)
             yield from zip(places.tolist(), first.tolist(), last.tolist())
 
 
-def _at_intervals(raw: np.ndarray, spans: list[tuple[int, int]], length: int, gram: int) -> Tests:
-    for low, high in spans:
-        for place in (*range(low, high, gram), high):
-            yield place, place, place
-
-
 def _each(raw: np.ndarray, spans: list[tuple[int, int]], length: int, gram: int) -> Tests:
     for low, high in spans:
         for place in range(low, high + 1):
@@ -203,9 +199,24 @@ def _wanted(
             raw = np.frombuffer(data, np.uint8)
             hashes = gram_hashes(raw, size).view(np.int64)
             for place, low, high in tests(raw, spans, length, step):
-                yield int(hashes[place]), doc, place, low, high
+                yield int(hashes[place]), _key(data[place : place + size])[1], doc, place, low, high
 
-    return _tables(rows(), ["mark", "doc_id", "place", "low", "high"])
+    return _tables(rows(), ["mark", "rest1", "doc_id", "place", "low", "high"])
+
+
+def _around(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Full strings that begin or end with a repeated anchor: copies have them in the same places."""
+
+    def rows():
+        for batch in batches:
+            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
+                data = batch.column("raw")[i].as_py()
+                anchors_of = {span["place"] for span in batch.column("spans")[i].as_py()}
+                ends = {place - length + gram for place in anchors_of}
+                for place in sorted(p for p in anchors_of | ends if 0 <= p <= len(data) - length):
+                    yield *_key(data[place : place + length]), doc, place, place, place
+
+    return _tables(rows(), ["lead", "rest1", "rest2", "doc_id", "place", "low", "high"])
 
 
 def _probes(marks: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,12 +263,20 @@ def _met(
         whole[number * len(part) : (number + 1) * len(part)] = part
 
     def rows():
+        seen: dict[int, int] = {}
         for doc, data, spans in _documents(batches, length):
             raw = np.frombuffer(data, np.uint8)
             for low, high in joined([(low, high + length - size) for low, high in spans]):
-                first, second = _probes(gram_hashes(raw[low : high + size], size), bits)
-                for place in (np.flatnonzero(whole[first] & whole[second]) + low).tolist():
-                    yield *_key(data[place : place + size]), doc, place, place, place
+                hashes = gram_hashes(raw[low : high + size], size).view(np.int64)
+                first, second = _probes(hashes, bits)
+                meeting = np.flatnonzero(whole[first] & whole[second])
+                for place, mark in zip((meeting + low).tolist(), hashes[meeting].tolist()):
+                    times = seen[mark] = seen.get(mark, 0) + 1
+                    if times <= 2:
+                        lead, rest1, rest2 = _key(data[place : place + size])
+                        yield lead, rest1, rest2, doc, place, mark, mark
+            if len(seen) > HELD:
+                seen.clear()
 
     return _tables(rows(), ["lead", "rest1", "rest2", "doc_id", "place", "low", "high"])
 
@@ -307,7 +326,7 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(suffixes: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """``(doc_id, place, low, high)`` of the suffixes that equal another one.
+    """``(doc_id, place, low, high, rest1)`` of the suffixes that equal another one.
 
     The splitters are sampled from all suffixes; they cut by the whole row, so a string that
     begins everywhere is spread over several buckets, and each bucket stays near its size.
@@ -325,34 +344,38 @@ def repeated(suffixes: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
         "bucket", "edge", ((key == F.lag(key).over(order)) | (key == F.lead(key).over(order))).alias("same")
     ).where("same").select("bucket", "edge")
     across = edges.join(F.broadcast(beside), ["bucket", "edge"])
-    columns = ["doc_id", "place", "low", "high"]
+    columns = ["doc_id", "place", "low", "high", "rest1"]
     return found.where("repeated").select(columns).unionByName(across.select(columns))
 
 
+def _few(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _with(raw: DataFrame, per_document: DataFrame, how: str = "inner") -> DataFrame:
-    small = F.broadcast(per_document) if fits_broadcast(per_document) else per_document
-    return raw.join(small, "doc_id", how)
+    return raw.join(_few(per_document), "doc_id", how)
 
 
-def _gathered(found: DataFrame, name: str) -> DataFrame:
+def _gathered(found: DataFrame, name: str, *columns: str) -> DataFrame:
     """The spans of each document in one row, which no more than its text bounds."""
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias(name))
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct(*(columns or ("low", "high")))).alias(name))
 
 
 def _open_spans(rows: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Starts that tests at intervals left open: between two neighbours that are not both repeated."""
+    """Live starts that the tests left open: those not between two repeated strings that touch."""
     for batch in rows:
         ids, out = [], []
         for row in batch.to_pylist():
-            good = {place["low"] for place in row["found"] or ()}
+            good = np.unique([place["low"] for place in row["found"] or ()]).astype(np.int64)
             spans = []
             for low, high in joined([(s["low"], s["high"]) for s in row["spans"]]):
-                stops = [*range(low, high, row["step"]), high]
-                spans += [
-                    {"low": a + 1, "high": b - 1}
-                    for a, b in zip(stops, stops[1:])
-                    if b - a > 1 and not (a in good and b in good and b - a <= length)
-                ]
+                inside = good[np.searchsorted(good, low) : np.searchsorted(good, high, side="right")].tolist()
+                if not inside:
+                    spans.append({"low": low, "high": high})
+                    continue
+                pairs = [(low - 1, inside[0]), (inside[-1], high + 1)]
+                pairs += [(a, b) for a, b in zip(inside, inside[1:]) if b - a > length]
+                spans += [{"low": a + 1, "high": b - 1} for a, b in pairs if b - a > 1]
             if spans:
                 ids.append(row["doc_id"])
                 out.append(spans)
@@ -368,27 +391,29 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = "array<struct<low:bigint,high:bigint>>"
     gram = max(1, int(FIRST * length))
     first = materialize(raw.mapInArrow(partial(_suffixes, length=length, gram=gram), SUFFIX), "anchor-suffixes")
-    live = materialize(_gathered(repeated(first), "spans"), "live-starts")
+    led = repeated(first)
+    live = materialize(_gathered(led, "spans", "place", "low", "high"), "live-starts")
+    around = _with(raw, live).mapInArrow(partial(_around, length=length, gram=gram), SUFFIX)
+    found = materialize(repeated(materialize(around, "full-suffixes")), "found-around")
 
-    def tested(open_starts: DataFrame, tests: Callable[..., Tests], step: int, size: int) -> DataFrame:
+    def tested(open_starts: DataFrame, tests: Callable[..., Tests], size: int) -> DataFrame:
         """``(doc_id, low, high)``: which of the wanted strings of ``size`` bytes are repeated."""
-        work = partial(_wanted, tests=tests, length=length, step=step, size=size)
+        work = partial(_wanted, tests=tests, length=length, step=size, size=size)
         wanted = materialize(_with(raw, open_starts).mapInArrow(work, WANTED), "wanted-strings")
         bits, bitmap = marked(wanted)
         sent = docs.sparkSession.sparkContext.broadcast(bitmap)
         meet = partial(_met, bitmap=sent, bits=bits, length=length, size=size)
         places = repeated(materialize(_with(raw, live).mapInArrow(meet, SUFFIX), "live-suffixes"))
-        return wanted.drop("mark").join(places.select("doc_id", "place"), ["doc_id", "place"], "left_semi")
+        known = materialize(places.select(F.col("low").alias("mark"), "rest1").distinct(), "repeated-strings")
+        return wanted.join(_few(known), ["mark", "rest1"], "left_semi").select("doc_id", "low", "high")
 
-    step = max(1, int(STRIDE * length))
-    found = materialize(tested(live, _at_intervals, step, length), "found-inside")
-    state = live.join(_gathered(found, "found"), "doc_id", "left").withColumn("step", F.lit(step))
+    state = live.join(_gathered(found, "found"), "doc_id", "left")
     edges = materialize(
         state.mapInArrow(partial(_open_spans, length=length), f"doc_id long, spans {spans}"), "open-starts"
     )
-    gram = max(1, int(EDGE * length))
-    edges = materialize(_gathered(tested(edges, _led, gram, gram), "spans"), "edge-starts")
-    last = tested(edges, _each, length, length)
+    for share in EDGES:
+        edges = materialize(_gathered(tested(edges, _led, max(1, int(share * length))), "spans"), "edge-starts")
+    last = tested(edges, _each, length)
     columns = ["doc_id", "low", "high"]
     return materialize(found.select(columns).unionByName(last.select(columns)), "repeated-starts")
 
