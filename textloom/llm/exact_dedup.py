@@ -31,7 +31,7 @@ ARRIVALS = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("n_bytes", T.LongType()),
-        T.StructField("file", T.StringType()),
+        T.StructField("place", T.LongType()),
     ]
 )
 
@@ -53,13 +53,14 @@ def _on_disk(spark: SparkSession) -> Iterator[None]:
 
 
 def arrivals(docs: DataFrame) -> DataFrame:
-    """Digest, length, id and place of every row; a null text counts as an empty one."""
+    """Digest, length, id and place (partition and row in it) of every row; a null text counts as
+    an empty one."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
         F.octet_length(text).cast("long").alias("n_bytes"),
-        F.input_file_name().alias("file"),
+        F.monotonically_increasing_id().alias("place"),
     )
 
 
@@ -73,7 +74,7 @@ def absorb(stream: DataFrame, checkpoint: str) -> None:
     with _on_disk(stream.sparkSession):
         (
             stream.groupBy("digest", "n_bytes")
-            .agg(F.max(F.struct("doc_id", "file")), F.count(F.lit(1)))
+            .agg(F.max(F.struct("doc_id", "place")), F.count(F.lit(1)))
             .writeStream.format("noop")
             .outputMode("update")
             .option("checkpointLocation", checkpoint)
@@ -84,12 +85,12 @@ def absorb(stream: DataFrame, checkpoint: str) -> None:
 
 
 def state(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """``(digest, n_bytes, keep_id, file, group_size)``: the keyed state as a table."""
+    """``(digest, n_bytes, keep_id, place, group_size)``: the keyed state as a table."""
     return spark.read.format("statestore").load(checkpoint).select(
         "key.digest",
         "key.n_bytes",
         F.col("value.max.doc_id").alias("keep_id"),
-        F.col("value.max.file").alias("file"),
+        F.col("value.max.place").alias("place"),
         F.col("value.count").alias("group_size"),
     )
 
@@ -150,7 +151,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     arrived = spark.read.schema(ARRIVALS).parquet(f"{folder}/arrivals")
     absorb(spark.readStream.schema(ARRIVALS).parquet(f"{folder}/arrivals"), f"{folder}/state")
     with _on_disk(spark):
-        groups = state(spark, f"{folder}/state").drop("file")
+        groups = state(spark, f"{folder}/state").drop("place")
         repeated = materialize(groups.where("group_size > 1"), "repeated-digests")
     hits = materialize(
         _meet(arrived.select("doc_id", "digest", "n_bytes"), repeated, ["digest", "n_bytes"]), "digest-hits"

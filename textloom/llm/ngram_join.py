@@ -36,7 +36,7 @@ OFTEN = 4  # times in a batch of documents from which a shingle is counted
 PER_FRAGMENT = 500_000  # shingles
 MEMO = 1 << 18
 STARS = 2  # star centres that a document is compared with in a round
-ROUNDS = 4  # of stars at most
+ROUNDS = 6  # of stars at most
 CROSS_FRAGMENTS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -332,7 +332,8 @@ def _few(table: DataFrame) -> DataFrame:
 
 def linked(texts: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of ``pairs(a, b)`` whose whole sets are alike."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct()
+    wanted = ids.union(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
     wanted = materialize(wanted, "compared-ids")
     sets = materialize(
         texts.join(_few(wanted), "doc_id", "left_semi").mapInArrow(_whole_sets, "doc_id long, shingles binary"),
