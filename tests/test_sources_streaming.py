@@ -1,3 +1,4 @@
+import pytest
 import shutil
 
 from pyspark.sql import functions as F
@@ -97,7 +98,8 @@ def test_scratch_follows_the_session(spark, tmp_path):
         def __init__(self, **conf):
             self.conf = conf
 
-    assert session.scratch_dir(Session()) is None
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session())
     named = Session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
     assert session.scratch_dir(named) == "hdfs://shared/tmp"
     assert session.scratch_dir(spark) == session.scratch_dir(spark)

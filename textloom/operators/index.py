@@ -70,11 +70,9 @@ def inverted_index(
     never more than ``n`` of them. A term's blocks in order make up its whole list.
     """
     return (
-        postings.select(
-            F.col(term).alias("term"),
-            F.floor(F.col(doc) / F.lit(ids_per_block)).cast("long").alias("block"),
-            F.col(doc).alias("_doc"),
-        )
+        postings.select(F.col(term).alias("term"), F.col(doc).alias("_doc"))
+        # Whole numbers all the way: doubles would move ids above 2 ** 53 to a neighbouring block.
+        .withColumn("block", F.expr(f"(_doc - pmod(_doc, {ids_per_block}L)) div {ids_per_block}L"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_set("_doc")).alias("doc_ids"))
     )
@@ -106,21 +104,23 @@ class Index:
         self.postings.repartitionByRange("term", "doc_id").sortWithinPartitions(
             "term", "doc_id"
         ).write.parquet(f"{path}/postings")
-        self.stats.repartitionByRange("term").sortWithinPartitions("term").withColumn(
-            "n_docs", F.lit(self.n_docs)
-        ).write.parquet(f"{path}/stats")
+        self.stats.repartitionByRange("term").sortWithinPartitions("term").write.parquet(
+            f"{path}/stats"
+        )
+        self.stats.sparkSession.range(1).select(
+            F.lit(self.n_docs).cast("long").alias("n_docs")
+        ).write.parquet(f"{path}/size")
         if self.norms is not None:
             self.norms.write.parquet(f"{path}/norms")
 
     @staticmethod
     def load(spark: SparkSession, path: str, norms: bool = False) -> Index:
         """The index saved below ``path``, with its norms if they were saved too."""
-        stats = spark.read.parquet(f"{path}/stats")
-        first = stats.select("n_docs").first()
+        size = spark.read.parquet(f"{path}/size")
         return Index(
             spark.read.parquet(f"{path}/postings"),
-            stats.drop("n_docs"),
-            first["n_docs"] if first else 0,
+            spark.read.parquet(f"{path}/stats"),
+            size.first()["n_docs"],
             spark.read.parquet(f"{path}/norms") if norms else None,
         )
 

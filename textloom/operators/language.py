@@ -13,6 +13,7 @@ from textloom.operators.joins import BROADCAST_BYTES, lookup_join
 from textloom.session import materialize
 
 # Fixed value: the longest word the short-word method looks at.
+MAX_LANGUAGES = 500
 SHORT_WORD = 5
 # Scores equal in this many decimals are a tie, won by the language named first.
 SCORE_DIGITS = 6
@@ -46,8 +47,13 @@ def materialized_trigrams(training: DataFrame) -> DataFrame:
 
 
 def profile_languages(profiles: DataFrame) -> list[str]:
-    """The languages of the profiles in alphabetical order; as many rows as languages."""
-    return [row["lang"] for row in profiles.select("lang").distinct().orderBy("lang").collect()]
+    """The languages of the profiles in alphabetical order, one to ``MAX_LANGUAGES`` of them."""
+    found = profiles.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if not found:
+        raise ValueError("no labelled text to learn languages from")
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    return [row["lang"] for row in found]
 
 
 def _wide(profiles: DataFrame, langs: Sequence[str], value: Column, prefix: str) -> DataFrame:
@@ -134,15 +140,14 @@ def language_char_model(
     }
     wide = materialize(_wide(trigrams, langs, F.log(F.col("pc") + F.lit(1.0)), "l"), "trigram-model")
     vocabulary = wide.count()
-    grams = corpus.select(
-        "doc_id", F.inline_outer(term_counts(char_trigrams("text"))).alias("word", "k")
-    )
+    # The score is linear in the counts, so no count per document is needed.
+    grams = corpus.select("doc_id", F.explode_outer(char_trigrams("text")).alias("word"))
     matched = lookup_join(grams, wide, "word", limit=limit)
-    known = F.sum(F.when(F.col("l0").isNotNull(), F.col("k")).otherwise(0))
+    known = F.count("l0")
     sums = matched.groupBy("doc_id").agg(
         known.alias("known"),
         *[
-            F.coalesce(F.sum(F.col("k") * F.col(f"l{i}")), F.lit(0.0)).alias(f"l{i}")
+            F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"l{i}")
             for i in range(len(langs))
         ],
     )

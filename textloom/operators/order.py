@@ -8,25 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from textloom.session import materialize
+
 ROWS_PER_BLOCK = 100_000
 
 
 def with_blocks(df: DataFrame, order: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Add ``_block``: equal id ranges holding about ``rows_per_block`` documents each.
+    """Add ``_block``: consecutive ranges of ``order`` with about ``rows_per_block`` rows each.
 
-    The width follows from the measured id range, so sparse ids do not end up alone.
+    The ranges are cut at sampled places, not by arithmetic on ids, so clustered, hashed and
+    distant ids make equally large blocks. The result is written, which fixes them.
     """
-    seen = df.agg(
-        F.min(order).alias("low"),
-        F.max(order).alias("high"),
-        F.count(order).alias("ids"),
-    ).first()
-    if seen["low"] is None:
-        return df.withColumn("_block", F.lit(0).cast("long"))
-    blocks = max(1, math.ceil(seen["ids"] / rows_per_block))
-    width = max(1, -(-(seen["high"] - seen["low"] + 1) // blocks))
-    offset = F.col(order).cast("decimal(20,0)") - F.lit(seen["low"]).cast("decimal(20,0)")
-    return df.withColumn("_block", F.floor(offset / F.lit(width)).cast("long"))
+    blocks = max(1, math.ceil(df.count() / rows_per_block))
+    dealt = df.repartitionByRange(blocks, order)
+    return materialize(dealt.withColumn("_block", F.spark_partition_id().cast("long")), "blocks")
 
 
 def running_position(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:

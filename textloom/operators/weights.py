@@ -46,13 +46,12 @@ def tfidf_arrival(
     placed = running_position(
         with_blocks(corpus.select("doc_id"), "doc_id", rows_per_block), [], "doc_id", "n"
     )
-    # Ids and places only: where they fit, the texts need not be shuffled.
     placed = materialize(placed, "places")
     if fits_broadcast(placed):
         placed = F.broadcast(placed)
-    arrived = corpus.join(placed, "doc_id").select(
-        "doc_id", "n", "_block", F.inline(term_counts(tokens))
-    )
+    # Terms are counted first, so texts are not shuffled even where the places do not fit.
+    counts = materialize(corpus.select("doc_id", F.inline(term_counts(tokens))), "arrived-terms")
+    arrived = counts.join(placed, "doc_id").select("doc_id", "n", "_block", "term", "tf")
     counted = running_position(materialize(arrived, "arrivals"), ["term"], "doc_id", "df")
     return counted.select(
         "doc_id",

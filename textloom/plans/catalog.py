@@ -98,8 +98,6 @@ def page_documents(spark, sf):
     """Stored documents, appended to a collection and read back from it."""
     stored = pages.page_documents(_pages(spark, sf))
     path = scratch_path(spark, "page-documents")
-    if path is None:
-        return stored
     pages.append_documents(stored, path)
     return spark.read.schema(stored.schema).parquet(path)
 
@@ -111,8 +109,6 @@ def _report_path() -> Column:
 def _lines(spark: SparkSession, blocks: DataFrame, label: str) -> DataFrame:
     """Write the report and read its lines back."""
     path = scratch_path(spark, label)
-    if path is None:
-        return blocks.select(F.explode(F.split("block", "\n")).alias("line"))
     reports.write_report(blocks, path)
     return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
@@ -132,8 +128,6 @@ def summary_report_sink(spark, sf):
 def stream_ingest(spark, sf):
     """Document frequencies after the documents have arrived as a stream."""
     counts, checkpoint = (scratch_path(spark, name) for name in ("ingest-counts", "ingest-log"))
-    if counts is None:
-        raise ValueError("streaming needs a shared folder: set spark.checkpoint.dir")
     ingest.ingest(ingest.document_stream(spark, sf, "documents.parquet"), counts, checkpoint)
     return ingest.ingested_frequency(spark, counts)
 

@@ -24,26 +24,25 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g
     )
 
 
-def scratch_dir(spark: SparkSession) -> str | None:
+def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a folder of its own; on a cluster the
-    answer is None, as a machine-local folder would be invisible to other machines.
+    Where it is unset, a local session gets a folder of its own. On a cluster that is an
+    error, as a machine-local folder would be invisible to other machines.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
-        return None
+        raise ValueError("a shared folder is needed: set spark.checkpoint.dir")
     if context.applicationId not in _local_scratch:
         _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="textloom-")
     return _local_scratch[context.applicationId]
 
 
-def scratch_path(spark: SparkSession, label: str) -> str | None:
-    folder = scratch_dir(spark)
-    return None if folder is None else f"{folder}/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -51,10 +50,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     This cuts the lineage of a table with several consumers: it survives the loss
     of executors, is read with column pruning and filter pushdown, and has a cheap
-    row count. Without a shared folder the plan stays as it is, with equal results.
+    row count.
     """
     path = scratch_path(df.sparkSession, label)
-    if path is None:
-        return df
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
