@@ -34,7 +34,7 @@ FREQUENT = 64  # documents from which a shingle counts as frequent
 FREQUENT_HELD = 1 << 17  # the most frequent ones that go to the end of the order: one megabyte
 OFTEN = 4  # times in a batch of documents from which a shingle is counted
 PER_FRAGMENT = 500_000  # shingles
-MEMO = 1 << 18
+MEMO = 1 << 17
 STARS = 2  # star centres that a document is compared with in a round
 ROUNDS = 6  # of stars at most
 CROSS_FRAGMENTS = 64

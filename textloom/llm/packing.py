@@ -29,7 +29,7 @@ from textloom.session import materialize
 
 WINDOW = 2048
 END_ID = 1
-MEMO = 1 << 19
+MEMO = 1 << 18
 ID_BYTES = 4
 
 PLACED = "doc_id long, ids binary, n long, part long, at long"

@@ -227,14 +227,22 @@ def _probes(marks: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _slices(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """The marks of a partition as slices of the bitmap."""
-    bitmap = np.zeros(1 << bits, bool)
+    size = min(bits, SLICE_BITS)
+    marks = [np.empty(0, np.int64)]
     for batch in batches:
-        for probe in _probes(batch.column("mark").to_numpy().copy(), bits):
-            bitmap[probe] = True
-    grid = bitmap.reshape(-1, 1 << min(bits, SLICE_BITS))
-    used = np.flatnonzero(grid.any(axis=1))
-    packed = [np.packbits(grid[i]).tobytes() for i in used]
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(packed, pa.binary())], ["slice", "bits"])
+        marks += _probes(batch.column("mark").to_numpy().copy(), bits)
+    places = np.unique(np.concatenate(marks))
+    used, first = np.unique(places >> size, return_index=True)
+    packed = []
+    for part in np.split(places & ((1 << size) - 1), first[1:]) if len(used) else ():
+        grid = np.zeros(1 << size, bool)
+        grid[part] = True
+        packed.append(np.packbits(grid).tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], ["slice", "bits"])
+
+
+def _is_marked(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0
 
 
 def _either(table: pa.Table) -> pa.Table:
@@ -257,10 +265,9 @@ def _met(
     batches: Iterator[pa.RecordBatch], bitmap, bits: int, length: int, size: int
 ) -> Iterator[pa.RecordBatch]:
     """All live places whose strings meet the marks, each once."""
-    whole = np.zeros(1 << bits, bool)
+    whole = np.zeros(1 << (bits - 3), np.uint8)
     for number, packed in bitmap.value.items():
-        part = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
-        whole[number * len(part) : (number + 1) * len(part)] = part
+        whole[number * len(packed) : (number + 1) * len(packed)] = np.frombuffer(packed, np.uint8)
 
     def rows():
         seen: dict[int, int] = {}
@@ -269,7 +276,8 @@ def _met(
             for low, high in joined([(low, high + length - size) for low, high in spans]):
                 hashes = gram_hashes(raw[low : high + size], size).view(np.int64)
                 first, second = _probes(hashes, bits)
-                meeting = np.flatnonzero(whole[first] & whole[second])
+                meeting = np.flatnonzero(_is_marked(whole, first))
+                meeting = meeting[_is_marked(whole, second[meeting])]
                 for place, mark in zip((meeting + low).tolist(), hashes[meeting].tolist()):
                     times = seen[mark] = seen.get(mark, 0) + 1
                     if times <= 2:
