@@ -24,6 +24,9 @@ STATE_SETTINGS = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Many small stores: take disk as it is needed, not megabytes for each in advance.
     f"{_STORE}.rocksdb.allowFAllocate": "false",
+    # All stores of an executor share this much memory beside its heap.
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "200",
 }
 
 ARRIVALS = T.StructType(
