@@ -3,30 +3,28 @@
 A string of ``length`` bytes that starts at two places makes the suffixes there neighbours in the
 sorted order of suffixes. Suffixes are dealt to buckets by sampled splitters over their leading
 bytes, each bucket is sorted by a multikey quicksort, and neighbours are compared, also
-across the boundaries of buckets. Beyond the leading bytes a 128-bit digest of the string
-stands for its further bytes: all that matters is whether neighbours are equal.
+across the boundaries of buckets. Beyond the leading bytes digests stand for the further
+bytes: all that matters is whether neighbours are equal.
 
 Most suffixes need not be sorted. Of every stretch of starts the place with the least hash is
-its anchor, so copies of a string have theirs at the same places; and where the shorter string
-at the anchor is not repeated, no string that holds it is. Rounds:
-
-1. every start is led to its anchor, and those whose anchor is repeated stay: the live ones;
-2. full strings around these anchors are tested; two repeated ones that touch cover all
-   between them;
-3. the starts left over, at the edges, are led to anchors of strings nearly as long, twice;
-4. whatever still stays is tested itself.
-
-What the later rounds test may have its only copy at a place that is settled already. So the
-strings to be tested mark a bitmap of bounded size, and live places whose strings meet the
-marks are sorted with them. That a string is repeated shows in two places of it, so
-a task gives no more than two of each.
+its anchor, so copies of a string have theirs at the same places. An anchor speaks for a block of
+neighbouring starts: its core are the bytes that all their strings share, its context the
+bytes that any of them has. Cores are sorted, and contexts among equal cores:
+
+* a core that nothing equals settles its block, as none of its strings is repeated;
+* equal contexts settle theirs, as all strings in them are repeated;
+* blocks with equal cores and different contexts are cut into smaller blocks at the same
+  distances from the anchor and sorted again, down to single strings.
+
+One of several equal contexts goes on with those that differ, so that these meet the strings of
+all others. Equal rows of a hot string may fill many buckets, and each passes on one.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from collections.abc import Iterator
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,20 +37,20 @@ from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
 LENGTH = 400
-FIRST = 0.5  # share of the length that the first anchors' strings have
-EDGES = (0.92, 0.985)  # the same for the strings at the edges, round by round
-PER_BUCKET = 1_000_000
-MARK_BITS = 27  # a bitmap has at most 2 ** 27 bits, 16 megabytes
-SLICE_BITS = 16
-HELD = 1 << 18  # strings whose places a task counts at once
+FIRST = 0.5  # share of the length that the first cores have
+FINER = 8  # into how many blocks a block is cut
+PER_BUCKET = 500_000
+ROWS_OUT = 1 << 16
 
 _POSITION = np.uint64((1 << 20) - 1)
+_PART = 1 << 19  # starts led to anchors at once: places in it differ in the bits above
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SIGN = np.uint64(1 << 63)
 
-SUFFIX = "lead long, rest1 long, rest2 long, doc_id long, place long, low long, high long"
-WANTED = "mark long, rest1 long, doc_id long, place long, low long, high long"
-_SORTED = "doc_id long, place long, low long, high long, repeated boolean, edge int, bucket int, lead long, rest1 long, rest2 long"
+SUFFIX = "lead long, rest long, context long, doc_id long, place long, low long, high long"
+_SORTED = (
+    "doc_id long, place long, low long, high long, same boolean, open boolean, "
+    "edge int, bucket int, lead long, rest long, context long"
+)
 
 
 def _raw(docs: DataFrame) -> DataFrame:
@@ -114,179 +112,91 @@ def anchors(raw: np.ndarray, low: int, high: int, length: int, gram: int) -> tup
     return chosen[first] + low, first + low, last + low
 
 
-def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans of starts, both ends included, with those that touch made one."""
-    merged: list[tuple[int, int]] = []
-    for low, high in sorted(spans):
-        if merged and low <= merged[-1][1] + 1:
-            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-        else:
-            merged.append((low, high))
-    return merged
-
-
-# What a round tests in one document: (place, first start, last start).
-Tests = Iterator[tuple[int, int, int]]
-
-
-def _led(raw: np.ndarray, spans: list[tuple[int, int]], length: int, gram: int) -> Tests:
-    for low, high in spans:
-        for part in range(low, high + 1, 1 << 20):
-            places, first, last = anchors(raw, part, min(high, part + (1 << 20) - 1), length, gram)
-            yield from zip(places.tolist(), first.tolist(), last.tolist())
-
-
-def _each(raw: np.ndarray, spans: list[tuple[int, int]], length: int, gram: int) -> Tests:
-    for low, high in spans:
-        for place in range(low, high + 1):
-            yield place, place, place
-
-
-def _spans_within(batch: pa.RecordBatch, i: int, last: int) -> list[tuple[int, int]]:
-    """The spans of starts given for a document, or all of its starts."""
-    if "spans" not in batch.schema.names:
-        return [(0, last)] if last >= 0 else []
-    spans = [(span["low"], span["high"]) for span in batch.column("spans")[i].as_py()]
-    # Spans of a row that repeats an id with a shorter text may not fit.
-    return joined([(low, min(high, last)) for low, high in spans if low <= last])
-
-
-def _documents(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[int, bytes, list[tuple[int, int]]]]:
+def _led(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of all starts of a text, and the first and last start of each."""
+    last = len(raw) - length
+    parts = [
+        anchors(raw, low, min(last, low + _PART - 1), length, gram) for low in range(0, last + 1, _PART)
+    ]
+    return tuple(np.concatenate(columns) for columns in zip(*parts))
+
+
+def _blocks(
+    place: np.ndarray, low: np.ndarray, high: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The starts from ``low`` to ``high`` before each place, cut into blocks that end at multiples
+    of ``width`` before it: the end of each block, each once, with its first and last start."""
+    nearest = (place - high) // width
+    counts = (place - low) // width - nearest + 1
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    end = np.repeat(place - nearest * width, counts) - number * width
+    order = np.argsort(end, kind="stable")
+    end = end[order]
+    first = np.maximum(np.repeat(low, counts)[order], end - width + 1)
+    last = np.minimum(np.repeat(high, counts)[order], end)
+    at = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
+    return end[at], np.minimum.reduceat(first, at), np.maximum.reduceat(last, at)
+
+
+def _digests(strings: Iterator[bytes], person: bytes) -> np.ndarray:
+    made = (hashlib.blake2b(string, digest_size=8, person=person).digest() for string in strings)
+    return np.frombuffer(b"".join(made), np.int64)
+
+
+def _keys(data: bytes, raw: np.ndarray, place: np.ndarray, length: int, width: int) -> list[np.ndarray]:
+    """Leading bytes and digest of each core, and the digest of its context. A context ends
+    with its text, and where it does so is part of its digest."""
+    core = length - width + 1
+    lead = np.zeros(len(place), np.uint64)
+    for i in range(8):
+        lead <<= np.uint64(8)
+        if i < core:
+            lead |= raw[place + i]
+    lead ^= np.uint64(1 << 63)
+    begin = np.maximum(place - width + 1, 0)
+    cut = (begin - (place - width + 1)).astype(np.uint64)
+    places = place.tolist()
+    rest = _digests((data[a : a + core] for a in places), b"core")
+    context = _digests((data[a : b + length] for a, b in zip(begin.tolist(), places)), b"context")
+    return [lead.view(np.int64), rest, (context.view(np.uint64) + cut * _BASE).view(np.int64)]
+
+
+def _items(batch: pa.RecordBatch, i: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks still open in a document. A row that repeats an id with a shorter text may
+    not have all of their starts."""
+    items = batch.column("items")[i].values
+    place, low, high = (items.field(name).to_numpy(zero_copy_only=False) for name in ("place", "low", "high"))
+    fit = low <= last
+    return place[fit], low[fit], np.minimum(high[fit], last)
+
+
+def _suffixes(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of all starts, or of those that are still open, with the keys they are sorted by."""
+    names = ["lead", "rest", "context", "doc_id", "place", "low", "high"]
+    held: list[list[np.ndarray]] = []
+    rows = 0
     for batch in batches:
         for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-            if doc is not None:
-                data = batch.column("raw")[i].as_py()
-                if spans := _spans_within(batch, i, len(data) - length):
-                    yield doc, data, spans
-
-
-def _tables(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == 1 << 16:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], names)
-
-
-def _key(string: bytes) -> tuple[int, int, int]:
-    """Leading bytes, and the digest that stands for the bytes after them."""
-    lead = int.from_bytes(string[:8].ljust(8, b"\0"), "big") - (1 << 63)
-    digest = hashlib.blake2b(string, digest_size=16).digest()
-    return lead, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """The anchors of all starts of all documents."""
-
-    def rows():
-        for doc, data, spans in _documents(batches, length):
-            for place, low, high in _led(np.frombuffer(data, np.uint8), spans, length, gram):
-                yield *_key(data[place : place + gram]), doc, place, low, high
-
-    return _tables(rows(), ["lead", "rest1", "rest2", "doc_id", "place", "low", "high"])
-
-
-def _wanted(
-    batches: Iterator[pa.RecordBatch], tests: Callable[..., Tests], length: int, step: int, size: int
-) -> Iterator[pa.RecordBatch]:
-    """What a later round wants to test, with a hash of the string to mark the bitmap."""
-
-    def rows():
-        for doc, data, spans in _documents(batches, length):
-            raw = np.frombuffer(data, np.uint8)
-            hashes = gram_hashes(raw, size).view(np.int64)
-            for place, low, high in tests(raw, spans, length, step):
-                yield int(hashes[place]), _key(data[place : place + size])[1], doc, place, low, high
-
-    return _tables(rows(), ["mark", "rest1", "doc_id", "place", "low", "high"])
-
-
-def _around(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Full strings that begin or end with a repeated anchor: copies have them in the same places."""
-
-    def rows():
-        for batch in batches:
-            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                data = batch.column("raw")[i].as_py()
-                anchors_of = {span["place"] for span in batch.column("spans")[i].as_py()}
-                ends = {place - length + gram for place in anchors_of}
-                for place in sorted(p for p in anchors_of | ends if 0 <= p <= len(data) - length):
-                    yield *_key(data[place : place + length]), doc, place, place, place
-
-    return _tables(rows(), ["lead", "rest1", "rest2", "doc_id", "place", "low", "high"])
-
-
-def _probes(marks: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    marks = marks.view(np.uint64)
-    low = np.uint64((1 << bits) - 1)
-    return (marks & low).astype(np.int64), ((marks >> np.uint64(32)) & low).astype(np.int64)
-
-
-def _slices(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """The marks of a partition as slices of the bitmap."""
-    size = min(bits, SLICE_BITS)
-    marks = [np.empty(0, np.int64)]
-    for batch in batches:
-        marks += _probes(batch.column("mark").to_numpy().copy(), bits)
-    places = np.unique(np.concatenate(marks))
-    used, first = np.unique(places >> size, return_index=True)
-    packed = []
-    for part in np.split(places & ((1 << size) - 1), first[1:]) if len(used) else ():
-        grid = np.zeros(1 << size, bool)
-        grid[part] = True
-        packed.append(np.packbits(grid).tobytes())
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], ["slice", "bits"])
-
-
-def _is_marked(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (bitmap[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0
-
-
-def _either(table: pa.Table) -> pa.Table:
-    whole = np.zeros(len(table.column("bits")[0].as_py()), np.uint8)
-    for part in table.column("bits").to_pylist():
-        whole |= np.frombuffer(part, np.uint8)
-    return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
-
-
-def marked(wanted: DataFrame) -> tuple[int, dict[int, bytes]]:
-    """A bitmap with two marks for each wanted string. Its size follows their number up to a
-    bound; beyond that more places than needed are sorted, never fewer."""
-    bits = int(min(MARK_BITS, max(SLICE_BITS, np.ceil(np.log2(max(1, wanted.count()) * 32)))))
-    slices = wanted.select("mark").mapInArrow(partial(_slices, bits=bits), "slice long, bits binary")
-    whole = slices.groupBy("slice").applyInArrow(_either, "slice long, bits binary")
-    return bits, {row["slice"]: bytes(row["bits"]) for row in whole.collect()}
-
-
-def _met(
-    batches: Iterator[pa.RecordBatch], bitmap, bits: int, length: int, size: int
-) -> Iterator[pa.RecordBatch]:
-    """All live places whose strings meet the marks, each once."""
-    whole = np.zeros(1 << (bits - 3), np.uint8)
-    for number, packed in bitmap.value.items():
-        whole[number * len(packed) : (number + 1) * len(packed)] = np.frombuffer(packed, np.uint8)
-
-    def rows():
-        seen: dict[int, int] = {}
-        for doc, data, spans in _documents(batches, length):
+            data = batch.column("raw")[i].as_py()
+            last = len(data) - length
+            if doc is None or last < 0:
+                continue
             raw = np.frombuffer(data, np.uint8)
-            for low, high in joined([(low, high + length - size) for low, high in spans]):
-                hashes = gram_hashes(raw[low : high + size], size).view(np.int64)
-                first, second = _probes(hashes, bits)
-                meeting = np.flatnonzero(_is_marked(whole, first))
-                meeting = meeting[_is_marked(whole, second[meeting])]
-                for place, mark in zip((meeting + low).tolist(), hashes[meeting].tolist()):
-                    times = seen[mark] = seen.get(mark, 0) + 1
-                    if times <= 2:
-                        lead, rest1, rest2 = _key(data[place : place + size])
-                        yield lead, rest1, rest2, doc, place, mark, mark
-            if len(seen) > HELD:
-                seen.clear()
-
-    return _tables(rows(), ["lead", "rest1", "rest2", "doc_id", "place", "low", "high"])
+            opened = "items" in batch.schema.names
+            place, low, high = _items(batch, i, last) if opened else _led(raw, length, length - width + 1)
+            if not len(place):
+                continue
+            place, low, high = _blocks(place, low, high, width)
+            for k in range(0, len(place), ROWS_OUT):
+                part = slice(k, k + ROWS_OUT)
+                keys = _keys(data, raw, place[part], length, width)
+                held.append([*keys, np.full(len(keys[0]), doc, np.int64), place[part], low[part], high[part]])
+                rows += len(keys[0])
+                if rows >= ROWS_OUT:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
+                    held, rows = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
 
 
 def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -311,49 +221,70 @@ def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, equal
 
 
+def _either_side(equal: np.ndarray) -> np.ndarray:
+    """Rows that equal the one before or the one after."""
+    both = equal.copy()
+    both[:-1] |= equal[1:]
+    return both
+
+
 def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sort one bucket; repeated suffixes come out, and so do its first and last one."""
+    """Sort one bucket; what is repeated or open comes out, and so do its first and last row."""
     held = [batch for batch in batches if batch.num_rows]
     if not held:
         return
     table = pa.Table.from_batches(held)
     columns = {name: table.column(name).to_numpy() for name in table.column_names}
-    order, equal = multikey_order([columns["lead"], columns["rest1"], columns["rest2"]])
-    repeated = equal.copy()
-    repeated[:-1] |= equal[1:]
+    order, equal = multikey_order([columns["lead"], columns["rest"], columns["context"]])
+    lead, rest = columns["lead"][order], columns["rest"][order]
+    core = np.concatenate(([False], (lead[1:] == lead[:-1]) & (rest[1:] == rest[:-1])))
+    same, shared = _either_side(equal), _either_side(core)
     edge = np.zeros(len(order), np.int32)
     edge[0] = 1
-    edge[-1] += 2  # a bucket of one suffix has it on both sides: 3
-    out = np.flatnonzero(repeated | (edge > 0))
-    bucket = np.full(len(out), TaskContext.get().partitionId(), np.int32)
-    values = [columns[name][order[out]] for name in ("doc_id", "place", "low", "high")]
-    keys = [columns[name][order[out]] for name in ("lead", "rest1", "rest2")]
-    names = ["doc_id", "place", "low", "high", "repeated", "edge", "bucket", "lead", "rest1", "rest2"]
-    found = pa.table([pa.array(c) for c in (*values, repeated[out], edge[out], bucket, *keys)], names)
-    yield from found.to_batches(max_chunksize=1 << 16)
+    edge[-1] += 2  # a bucket of one row has it on both sides: 3
+    # Of equal contexts one goes on, where others of its core may be here or in the next bucket.
+    group = np.cumsum(~core) - 1
+    several = np.bincount(group, ~equal) > 1
+    several[[0, -1]] = True
+    goes_on = shared & (~same | (~equal & several[group]) | (edge > 0))
+    out = np.flatnonzero(same | goes_on | (edge > 0))
+    inner = edge[out] == 0
+    values = [pa.array(columns[name][order[out]]) for name in ("doc_id", "place", "low", "high")]
+    flags = [same[out], goes_on[out], edge[out], np.full(len(out), TaskContext.get().partitionId(), np.int32)]
+    keys = [pa.array(columns[name][order[out]], mask=inner) for name in ("lead", "rest", "context")]
+    names = ["doc_id", "place", "low", "high", "same", "open", "edge", "bucket", "lead", "rest", "context"]
+    found = pa.table([*values, *map(pa.array, flags), *keys], names)
+    yield from found.to_batches(max_chunksize=ROWS_OUT)
 
 
 def repeated(suffixes: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """``(doc_id, place, low, high, rest1)`` of the suffixes that equal another one.
+    """``(doc_id, place, low, high, same, open)`` of the rows whose core another one has: ``same``
+    where also the context is another's, ``open`` where smaller blocks are to be sorted.
 
     The splitters are sampled from all suffixes; they cut by the whole row, so a string that
     begins everywhere is spread over several buckets, and each bucket stays near its size.
     """
     spark = suffixes.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // per_bucket))
-    dealt = suffixes.repartitionByRange(n, "lead", "rest1", "rest2", "doc_id", "place")
+    dealt = suffixes.repartitionByRange(n, "lead", "rest", "context", "doc_id", "place")
     found = materialize(dealt.mapInArrow(_sort_bucket, _SORTED), "sorted-suffixes")
     # Two rows per bucket at most: the last of one against the first of the next.
-    edges = found.where("edge > 0 and not repeated")
-    ends = found.where("edge > 0").select("bucket", "edge", "lead", "rest1", "rest2")
     order = Window.orderBy("bucket", "edge")
-    key = F.struct("lead", "rest1", "rest2")
-    beside = ends.select(
-        "bucket", "edge", ((key == F.lag(key).over(order)) | (key == F.lead(key).over(order))).alias("same")
-    ).where("same").select("bucket", "edge")
-    across = edges.join(F.broadcast(beside), ["bucket", "edge"])
-    columns = ["doc_id", "place", "low", "high", "rest1"]
-    return found.where("repeated").select(columns).unionByName(across.select(columns))
+    core, whole = F.struct("lead", "rest"), F.struct("lead", "rest", "context")
+
+    def beside(key):
+        return F.coalesce((key == F.lag(key).over(order)) | (key == F.lead(key).over(order)), F.lit(False))
+
+    ends = found.where("edge > 0").select(
+        F.col("bucket").alias("_bucket"), F.col("edge").alias("_edge"),
+        beside(whole).alias("_same"), beside(core).alias("_open"),
+    )
+    first = found.where("edge > 0")
+    met = first.join(F.broadcast(ends), (first["bucket"] == ends["_bucket"]) & (first["edge"] == ends["_edge"]))
+    columns = ["doc_id", "place", "low", "high"]
+    across = met.select(*columns, F.expr("same or _same").alias("same"), F.expr("open or _open").alias("open"))
+    inside = found.where("edge = 0").select(*columns, "same", "open")
+    return inside.unionByName(across.where("same or open"))
 
 
 def _few(table: DataFrame) -> DataFrame:
@@ -366,64 +297,22 @@ def _with(raw: DataFrame, per_document: DataFrame, how: str = "inner") -> DataFr
 
 def _gathered(found: DataFrame, name: str, *columns: str) -> DataFrame:
     """The spans of each document in one row, which no more than its text bounds."""
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct(*(columns or ("low", "high")))).alias(name))
-
-
-def _open_spans(rows: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Live starts that the tests left open: those not between two repeated strings that touch."""
-    for batch in rows:
-        ids, out = [], []
-        for row in batch.to_pylist():
-            good = np.unique([place["low"] for place in row["found"] or ()]).astype(np.int64)
-            spans = []
-            for low, high in joined([(s["low"], s["high"]) for s in row["spans"]]):
-                inside = good[np.searchsorted(good, low) : np.searchsorted(good, high, side="right")].tolist()
-                if not inside:
-                    spans.append({"low": low, "high": high})
-                    continue
-                pairs = [(low - 1, inside[0]), (inside[-1], high + 1)]
-                pairs += [(a, b) for a, b in zip(inside, inside[1:]) if b - a > length]
-                spans += [{"low": a + 1, "high": b - 1} for a, b in pairs if b - a > 1]
-            if spans:
-                ids.append(row["doc_id"])
-                out.append(spans)
-        kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, kind)], ["doc_id", "spans"])
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(doc_id, low, high)``: starts of repeated strings whose union covers all bytes that
-    any repeated string of ``length`` bytes covers."""
+    """``(doc_id, low, high)``: the starts of all repeated strings of ``length`` bytes."""
     raw = _raw(docs)
-
-    spans = "array<struct<low:bigint,high:bigint>>"
-    gram = max(1, int(FIRST * length))
-    first = materialize(raw.mapInArrow(partial(_suffixes, length=length, gram=gram), SUFFIX), "anchor-suffixes")
-    led = repeated(first)
-    live = materialize(_gathered(led, "spans", "place", "low", "high"), "live-starts")
-    around = _with(raw, live).mapInArrow(partial(_around, length=length, gram=gram), SUFFIX)
-    found = materialize(repeated(materialize(around, "full-suffixes")), "found-around")
-
-    def tested(open_starts: DataFrame, tests: Callable[..., Tests], size: int) -> DataFrame:
-        """``(doc_id, low, high)``: which of the wanted strings of ``size`` bytes are repeated."""
-        work = partial(_wanted, tests=tests, length=length, step=size, size=size)
-        wanted = materialize(_with(raw, open_starts).mapInArrow(work, WANTED), "wanted-strings")
-        bits, bitmap = marked(wanted)
-        sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-        meet = partial(_met, bitmap=sent, bits=bits, length=length, size=size)
-        places = repeated(materialize(_with(raw, live).mapInArrow(meet, SUFFIX), "live-suffixes"))
-        known = materialize(places.select(F.col("low").alias("mark"), "rest1").distinct(), "repeated-strings")
-        return wanted.join(_few(known), ["mark", "rest1"], "left_semi").select("doc_id", "low", "high")
-
-    state = live.join(_gathered(found, "found"), "doc_id", "left")
-    edges = materialize(
-        state.mapInArrow(partial(_open_spans, length=length), f"doc_id long, spans {spans}"), "open-starts"
-    )
-    for share in EDGES:
-        edges = materialize(_gathered(tested(edges, _led, max(1, int(share * length))), "spans"), "edge-starts")
-    last = tested(edges, _each, length)
-    columns = ["doc_id", "low", "high"]
-    return materialize(found.select(columns).unionByName(last.select(columns)), "repeated-starts")
+    width = length - max(1, int(FIRST * length)) + 1
+    source, settled = raw, []
+    while True:
+        work = partial(_suffixes, length=length, width=width)
+        found = repeated(materialize(source.mapInArrow(work, SUFFIX), "suffixes"))
+        settled.append(found.where("same").select("doc_id", "low", "high"))
+        if width == 1:
+            return materialize(reduce(DataFrame.unionByName, settled), "repeated-starts")
+        items = materialize(_gathered(found.where("open"), "items", "place", "low", "high"), "open-blocks")
+        source, width = _with(raw, items), width // FINER or 1
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, text_out: bool) -> Iterator[pa.RecordBatch]:
@@ -464,7 +353,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     name one text each; rows with a null id take no part and lose nothing. No rows give none;
     other columns are not looked at.
     """
-    starts = _gathered(repeated_starts(docs, length), "starts")
+    starts = _gathered(repeated_starts(docs, length), "starts", "low", "high")
     work = partial(_cut, length=length, text_out=with_text)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     rows = _with(_raw(docs), materialize(starts, "document-starts"), "left").select("doc_id", "raw", "starts")
