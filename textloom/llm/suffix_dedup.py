@@ -315,17 +315,27 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         source, width = _with(raw, items), width // FINER or 1
 
 
+def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Repeated starts of each document as the runs of bytes that their strings cover."""
+    kind = pa.list_(pa.struct([("low", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        out = []
+        for i in range(batch.num_rows):
+            starts = batch.column("starts")[i].values
+            low, high = (starts.field(name).to_numpy(zero_copy_only=False) for name in ("low", "high"))
+            order = np.argsort(low, kind="stable")
+            low, end = low[order], np.maximum.accumulate(high[order] + length)
+            first = np.flatnonzero(np.concatenate(([True], low[1:] > end[:-1])))
+            last = np.concatenate((first[1:], [len(low)])) - 1
+            out.append([{"low": a, "end": b} for a, b in zip(low[first].tolist(), end[last].tolist())])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "runs"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch], length: int, text_out: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, gone, runs, digests, kept = [], [], [], [], []
-        for data, starts in zip(batch.column("raw").to_pylist(), batch.column("starts").to_pylist()):
-            spans: list[list[int]] = []
-            for low, high in sorted((s["low"], s["high"]) for s in starts or ()):
-                if spans and low <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], high + length)
-                else:
-                    spans.append([low, high + length])
-            spans = [(low, min(high, len(data))) for low, high in spans if low < len(data)]
+        for data, runs_of in zip(batch.column("raw").to_pylist(), batch.column("runs").to_pylist()):
+            spans = [(s["low"], min(s["end"], len(data))) for s in runs_of or () if s["low"] < len(data)]
             ends = [0, *(high for _, high in spans)]
             rest = b"".join(data[a:b] for a, b in zip(ends, [*(low for low, _ in spans), len(data)]))
             sizes.append(len(data))
@@ -354,7 +364,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     other columns are not looked at.
     """
     starts = _gathered(repeated_starts(docs, length), "starts", "low", "high")
+    runs = starts.mapInArrow(partial(_runs, length=length), "doc_id long, runs array<struct<low:bigint,end:bigint>>")
     work = partial(_cut, length=length, text_out=with_text)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    rows = _with(_raw(docs), materialize(starts, "document-starts"), "left").select("doc_id", "raw", "starts")
+    rows = _with(_raw(docs), materialize(runs, "removed-runs"), "left").select("doc_id", "raw", "runs")
     return rows.mapInArrow(work, schema + (", kept string" if with_text else ""))
