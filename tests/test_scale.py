@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from textloom import session
 from textloom.functions import text as tx
-from textloom.operators import index, language, order, weights
+from textloom.operators import index, joins, language, order, weights
 from textloom.sources.documents import read_folder
 
 
@@ -61,3 +61,12 @@ def test_no_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_path(Stub(), "label")
+
+
+def test_salts_follow_the_number_of_rows(spark):
+    rows = spark.range(60_000).selectExpr("if(id % 3 > 0, 'hot', concat('k', id % 500)) AS k", "id")
+    counts = rows.groupBy("k").count()
+    heavy = joins.hot_keys(counts, "k", "count", hot=10, salts=2, rows_per_task=1000)
+    assert [(r["k"], r["_salts"]) for r in heavy.collect()] == [("hot", 80)]
+    dealt = joins.salted(rows, heavy, "k", "id").groupBy("k", "_salt").count()
+    assert dealt.agg(F.max("count")).first()[0] <= 1000

@@ -1,5 +1,6 @@
 import collections
 import html as html_library
+from html.parser import HTMLParser
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -145,3 +146,45 @@ def test_page_text(value_of):
     assert value_of(page_text, page) == "T & U\nOne\ntwo\n<three> é😀 &lt; &#1114112;"
     for reference in ("&copy;", "&middot;", "&quot;", "&euro;", "&#65;", "&#x416;", "&mdash;"):
         assert value_of(page_text, f"<p>a{reference}b") == "a" + html_library.unescape(reference) + "b"
+
+
+def test_page_text_of_hard_markup(value_of):
+    cases = {
+        "&eacute;&uuml;&szlig;&ntilde;": "éüßñ",
+        "a &amp b &notit; &nosuch; &#0000000233; &#38;lt;": "a & b ¬it; &nosuch; é &lt;",
+        '<a title="x > y">link</a>': "link",
+        "<a title=it's>link</a><b>next</b>": "link\nnext",
+        "<p>shown</p><script>var a = 1;": "shown",
+        "<script>var a='<!--';</script><p>shown</p><!-- c -->": "shown",
+        "one\u0001two": "onetwo",
+        "<a " + "b='c' " * 20_000 + ">long": "long",
+    }
+    for page, text in cases.items():
+        assert value_of(page_text, page) == text
+
+
+class _Strings(HTMLParser):
+    """Strings between tags as the standard library's parser finds them."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "template")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "template")
+
+    def handle_data(self, data):
+        if not self.hidden and data.strip():
+            self.found.append(data.strip())
+
+
+def test_page_text_of_all_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    for row in pages.select("html", page_text("html").alias("text")).collect():
+        parser = _Strings()
+        parser.feed(row["html"] or "")
+        parser.close()
+        assert (row["text"] or "") == "\n".join(parser.found)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.functions.text import bind, term_counts, tokenize_alnum
+from textloom.functions.text import bind, first_forms, split_words, term_counts, tokenize_alnum
 from textloom.operators.index import Index
 from textloom.operators.joins import fits_broadcast, lookup_join
 from textloom.operators.order import ROWS_PER_BLOCK, running_position, with_blocks
@@ -113,7 +113,8 @@ def tfidf_l2(index: Index) -> DataFrame:
 
 
 def document_terms(corpus: DataFrame, stop_words: Sequence[str], text: str = "text") -> DataFrame:
-    """``(doc_id, rank, term, w)``: the content terms of each document, heaviest first.
+    """``(doc_id, rank, term, w, shown)``: the content terms of each document, heaviest first,
+    and the form each is shown in.
 
     With a single document every idf is 1, so the weight is tf over the document's
     length; ties are alphabetical. All of it happens inside the document's row.
@@ -123,27 +124,36 @@ def document_terms(corpus: DataFrame, stop_words: Sequence[str], text: str = "te
         lambda word: F.length(word) >= 2,
     )
 
-    def by_weight(counts: Column) -> Column:
+    # Both are sorted by term and hold each one once, so they go together place by place.
+    counted = F.struct(
+        term_counts(terms).alias("counts"), first_forms(terms, split_words(text)).alias("forms")
+    )
+
+    def by_weight(row: Column) -> Column:
         squares = F.aggregate(
-            counts, F.lit(0).cast("long"), lambda total, c: total + c["tf"] * c["tf"]
+            row["counts"], F.lit(0).cast("long"), lambda total, c: total + c["tf"] * c["tf"]
         )
         return bind(
             F.sqrt(squares.cast("double")),
             lambda length: F.sort_array(
                 F.transform(
-                    counts,
-                    lambda c: F.struct(
-                        (-c["tf"]).alias("minus"), c["term"].alias("term"), (c["tf"] / length).alias("w")
+                    row["counts"],
+                    lambda c, i: F.struct(
+                        (-c["tf"]).alias("minus"),
+                        c["term"].alias("term"),
+                        (c["tf"] / length).alias("w"),
+                        F.get(row["forms"], i)["shown"].alias("shown"),
                     ),
                 )
             ),
         )
 
     return corpus.select(
-        "doc_id", F.posexplode(bind(term_counts(terms), by_weight)).alias("_at", "_entry")
+        "doc_id", F.posexplode(bind(counted, by_weight)).alias("_at", "_entry")
     ).select(
         "doc_id",
         (F.col("_at") + 1).alias("rank"),
         F.col("_entry.term").alias("term"),
         F.col("_entry.w").alias("w"),
+        F.col("_entry.shown").alias("shown"),
     )

@@ -7,7 +7,9 @@ and parameters are shared.
 
 from __future__ import annotations
 
-from textloom.functions import html, text as tx
+from html.entities import html5
+
+from textloom.functions import text as tx
 from textloom.functions.words import (
     ENGLISH_STOP_WORDS,
     RUSSIAN_STOP_WORDS,
@@ -94,14 +96,46 @@ def postings(words: str) -> str:
 
 # Page text
 
-_html = "html"
-for _pattern in html.HIDDEN:
-    _html = replace(_html, _pattern, "chr(1)")
-for _name, _character in html.ENTITIES:
-    _html = f"replace({_html}, '&{_name};', {lit(_character)})"
+# Patterns of its own: hidden elements are spelled out, and references found by one search.
+_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+_html = "|".join(
+    [r"(?is)<!--.*?(?:-->|\z)"]
+    + [rf"<{name}\b(?:{_TAG}|[^>]*>).*?(?:</{name}\s*>|\z)" for name in ("script", "style", "template")]
+    + [r"<[!?][^>]*>", rf"</?[a-z](?:{_TAG}|[^>]*>)"]
+)
+_html = replace("replace(html, chr(1), '')", _html, "chr(1)")
+_NAMES = f"MAP {{{', '.join(f'{lit(name)}: {lit(shown)}' for name, shown in html5.items())}}}"
+_BARE = "|".join(sorted((name for name in html5 if name[-1] != ";"), key=len, reverse=True))
+_REFERENCE = rf"&(?:#[0-9]+;|#[xX][0-9a-fA-F]+;|[a-zA-Z][a-zA-Z0-9]*;|{_BARE})"
+
+
+def _shown(reference: str) -> str:
+    """What a reference stands for; one that ends in a semicolon may be a bare name and more."""
+    bare = f"regexp_extract({reference}, '^&({_BARE})', 1)"
+    digits = f"ltrim(regexp_extract({reference}, '^&#([0-9]+);', 1), '0')"
+    sixteen = f"ltrim(regexp_extract({reference}, '^&#[xX]([0-9a-fA-F]+);', 1), '0')"
+    number = (
+        f"CASE WHEN length({digits}) BETWEEN 1 AND 7 THEN {digits}::BIGINT "
+        f"WHEN length({sixteen}) BETWEEN 1 AND 6 THEN ('0x' || {sixteen})::BIGINT END"
+    )
+    valid = f"({number}) < 1114112 AND ({number}) NOT BETWEEN 55296 AND 57343"
+    return (
+        f"CASE WHEN {reference}[2] = '#' THEN CASE WHEN {valid} THEN chr(({number})::INTEGER) ELSE {reference} END "
+        f"ELSE coalesce(map_extract(names, {reference}[2:])[1], "
+        f"map_extract(names, {bare})[1] || {reference}[length({bare}) + 2:], {reference}) END"
+    )
+
+
+# The strings between references alternate with them.
+_BETWEEN = f"regexp_split_to_array(s, {lit(_REFERENCE)})"
+_FOUND = f"regexp_extract_all(s, {lit(_REFERENCE)})"
+_DECODED = (
+    f"CASE WHEN contains(s, '&') THEN array_to_string(list_transform(list_zip({_BETWEEN}, {_FOUND}), "
+    f"lambda z: z[1] || CASE WHEN z[2] IS NULL THEN '' ELSE {_shown('z[2]')} END), '') ELSE s END"
+)
 PAGE_TEXT = (
     f"array_to_string(list_filter(list_transform(string_split({_html}, chr(1)), "
-    f"lambda s: {strip('s')}), lambda s: s <> ''), chr(10))"
+    f"lambda s: {strip(_DECODED)}), lambda s: s <> ''), chr(10))"
 )
 
 # Analysed words: distinct content terms, and the form each is shown in
@@ -333,9 +367,9 @@ ORACLES = {
         SELECT doc_id, {line('text', 1)} AS url, {line('text', 2)} AS title FROM documents""",
     "corpus_profile": """
         SELECT count(*) AS n_docs, sum(strlen(text))::BIGINT AS n_bytes FROM documents""",
-    "page_text": f"SELECT page_id, {PAGE_TEXT} AS text FROM pages",
+    "page_text": f"SELECT page_id, {PAGE_TEXT} AS text FROM pages, (SELECT {_NAMES} AS names)",
     "page_documents": f"""
-        SELECT page_id AS doc_id, url || chr(10) || {PAGE_TEXT} AS text FROM pages""",
+        SELECT page_id AS doc_id, url || chr(10) || {PAGE_TEXT} AS text FROM pages, (SELECT {_NAMES} AS names)""",
     "language_report_sink": f"""
         WITH {REPORT}
         SELECT unnest(string_split({LANGUAGE_BLOCK}, chr(10))) AS line FROM report""",
@@ -399,10 +433,11 @@ ORACLES = {
         WITH c AS (SELECT doc_id, lower(w) AS term, count(*) AS tf
                    FROM (SELECT doc_id, unnest({ALNUM}) AS w FROM documents)
                    WHERE length(lower(w)) >= 2 GROUP BY ALL),
-        l AS (SELECT doc_id, sqrt(sum(tf * tf)) AS norm FROM c GROUP BY doc_id)
-        SELECT doc_id, term, round(tf / norm, 6) + 0.0 AS w,
+        l AS (SELECT doc_id, sqrt(sum(tf * tf)) AS norm FROM c GROUP BY doc_id),
+        {ANALYSED}
+        SELECT doc_id, term, shown, round(tf / norm, 6) + 0.0 AS w,
                (row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term))::INTEGER AS rank
-        FROM c JOIN l USING (doc_id)""",
+        FROM c JOIN l USING (doc_id) JOIN analysed USING (doc_id, term)""",
     "tfidf_sentence": f"""
         WITH {sentence_tf("ws")}
         SELECT doc_id, i, word, round(tf, 6) + 0.0 AS tf, round(idf, 6) + 0.0 AS idf
