@@ -84,8 +84,32 @@ def test_stream_in_two_runs_equals_the_batch(spark, tmp_path, rows_of):
         for file in arriving:
             shutil.copy(file, inbox)
         ingest.ingest(ingest.document_stream(spark, str(inbox), files_per_batch=2), counts, log)
-    batch = index.doc_frequency(whole, tx.tokenize_terms("text"))
-    assert rows_of(ingest.ingested_frequency(spark, counts), "term") == rows_of(batch, "term")
+    batch = rows_of(index.doc_frequency(whole, tx.tokenize_terms("text")), "term")
+
+    def state():
+        return rows_of(ingest.ingested_frequency(spark, counts), "term"), rows_of(ingest.ingested_documents(spark, counts))
+
+    assert state() == (batch, [(whole.count(),)])
+    # Three batches: two are added up, the last may still be written again.
+    assert ingest.compact(spark, counts) == 1
+    assert state() == (batch, [(whole.count(),)])
+    read = ingest.ingested_frequency(spark, counts).inputFiles()
+    assert any("merged/upto=1" in file for file in read)
+    assert ingest.compact(spark, counts) == 1
+    shutil.copy(files[0], inbox / "again.parquet")
+    ingest.ingest(ingest.document_stream(spark, str(inbox), files_per_batch=2), counts, log)
+    assert ingest.compact(spark, counts) == 2
+    more = spark.read.parquet(str(files[0]))
+    assert state()[1] == [(whole.count() + more.count(),)]
+    total = index.doc_frequency(whole.unionByName(more), tx.tokenize_terms("text"))
+    assert state()[0] == rows_of(total, "term")
+
+
+def test_no_batch_yet(spark, tmp_path, rows_of):
+    counts = str(tmp_path / "counts")
+    assert ingest.compact(spark, counts) == -1
+    assert rows_of(ingest.ingested_frequency(spark, counts)) == []
+    assert rows_of(ingest.ingested_documents(spark, counts)) == [(0,)]
 
 
 def test_scratch_follows_the_session(spark, tmp_path):

@@ -1,27 +1,24 @@
 """Keeping term statistics up to date while documents arrive.
 
-Every micro-batch is reduced to its own document frequencies, written under its batch
-number. Writing the same batch again replaces it, so a batch that is repeated after a
-failure counts once. Statistics are sums over batches; no state has to be kept.
+Every micro-batch is reduced to its own document frequencies and its number of documents,
+written under its batch number. Writing the same batch again replaces it, so a batch that is
+repeated after a failure counts once. Statistics are sums over batches; no state has to be kept.
+``compact`` adds up old batches, so that a read does not go through all of them.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textloom.functions.text import tokenize_terms
 from textloom.operators.index import doc_frequency
 from textloom.sources.documents import DOCUMENTS
 
-COUNTS = T.StructType(
-    [
-        T.StructField("term", T.StringType()),
-        T.StructField("df", T.LongType()),
-        T.StructField("batch", T.LongType()),
-    ]
-)
+TERMS, SIZES = "terms", "sizes"
+COUNTS = {TERMS: "term string, df long", SIZES: "n_docs long"}
+UPTO = "upto long"
 
 
 def document_stream(
@@ -41,9 +38,12 @@ def ingest(
     found = tokenize_terms("text") if tokens is None else tokens
 
     def count_batch(batch: DataFrame, number: int) -> None:
-        doc_frequency(batch, found).write.mode("overwrite").parquet(
-            f"{counts_path}/batch={number}"
-        )
+        tables = {
+            TERMS: doc_frequency(batch, found),
+            SIZES: batch.agg(F.count(F.lit(1)).alias("n_docs")),
+        }
+        for kind, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{counts_path}/{kind}/batch={number}")
 
     (
         documents.writeStream.foreachBatch(count_batch)
@@ -54,8 +54,67 @@ def ingest(
     )
 
 
+def _table(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """The table at ``path``, empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _compacted(spark: SparkSession, counts_path: str) -> int:
+    """The last batch that was added up, -1 if none was."""
+    last = _table(spark, UPTO, f"{counts_path}/compacted").agg(F.max("upto")).first()[0]
+    return -1 if last is None else last
+
+
+def _counts(spark: SparkSession, counts_path: str, kind: str, upto: int) -> DataFrame:
+    """What was added up to batch ``upto``, and the batches after it."""
+    later = _table(spark, f"{COUNTS[kind]}, batch long", f"{counts_path}/{kind}")
+    later = later.where(F.col("batch") > upto)
+    if upto < 0:
+        return later
+    merged = spark.read.schema(COUNTS[kind]).parquet(f"{counts_path}/merged/upto={upto}/{kind}")
+    return later.unionByName(merged.withColumn("batch", F.lit(upto).cast("long")))
+
+
+def _frequency(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def _size(counts: DataFrame) -> DataFrame:
+    return counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"))
+
+
 def ingested_frequency(spark: SparkSession, counts_path: str) -> DataFrame:
     """``(term, df)`` over all batches so far."""
-    return (
-        spark.read.schema(COUNTS).parquet(counts_path).groupBy("term").agg(F.sum("df").alias("df"))
-    )
+    return _frequency(_counts(spark, counts_path, TERMS, _compacted(spark, counts_path)))
+
+
+def ingested_documents(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``(n_docs)`` over all batches so far: the N that weights need besides ``df``."""
+    return _size(_counts(spark, counts_path, SIZES, _compacted(spark, counts_path)))
+
+
+def compact(spark: SparkSession, counts_path: str) -> int:
+    """Add up all batches but the last, which a restarted stream may write again; returns the
+    last batch that was added.
+
+    Reads turn to the sums once their number is written, in one file, after them; if that
+    fails, they go on with the batches, and the next call writes the sums again.
+    """
+    before = _compacted(spark, counts_path)
+    batches = _table(spark, f"{COUNTS[SIZES]}, batch long", f"{counts_path}/{SIZES}")
+    last = batches.agg(F.max("batch")).first()[0]
+    if last is None or last - 1 <= before:
+        return before
+    upto = last - 1
+    for kind, added in ((TERMS, _frequency), (SIZES, _size)):
+        done = _counts(spark, counts_path, kind, before).where(F.col("batch") <= upto)
+        added(done).write.mode("overwrite").parquet(f"{counts_path}/merged/upto={upto}/{kind}")
+    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).coalesce(1).write.mode(
+        "append"
+    ).parquet(f"{counts_path}/compacted")
+    return upto
