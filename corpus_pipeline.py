@@ -34,29 +34,51 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, that with the largest id."""
+    """One row of each group of equal texts, that with the largest id; a repeated row stays once."""
     return exact_dedup.without_duplicates(docs)
 
 
+def _few(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
+def _own_id(rows: DataFrame) -> DataFrame:
+    """Text of each row under its place, as an id may have several texts; null ids stay null."""
+    return rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_place")).alias("doc_id"), "text")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
-    return _without(docs, ngram_join.near_duplicates(docs).where("component_id != doc_id"), "near-copies")
+    """One row of each group of near copies, that with the smallest id."""
+    rows = exact_dedup.placed(docs)
+    found = ngram_join.near_duplicates(_own_id(rows)).where("doc_id is not null")
+    found = materialize(found.select(F.col("doc_id").alias("_at"), "component_id"), "components")
+    several = materialize(found.where("_at != component_id").select("component_id").distinct(), "large-components")
+    members = found.join(_few(several), "component_id")
+    ids = rows.select(F.col("_place").alias("_at"), F.col("doc_id").alias("_id"))
+    members = materialize(ids.join(_few(members), "_at"), "component-members")
+    first = materialize(
+        members.groupBy("component_id").agg(F.min(F.struct("_id", "_at")).alias("first")).select("component_id", "first._at"),
+        "first-members",
+    ).withColumnRenamed("_at", "_first")
+    gone = materialize(members.join(_few(first), "component_id").where("_at != _first").select("_at"), "near-copies")
+    return rows.join(_few(gone), rows["_place"] == gone["_at"], "left_anti").drop("_place")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated strings. Bytes of a character that was cut in two go as
-    well; a document of which nothing is left goes."""
-    cut = suffix_dedup.without_repeats(docs, with_text=True)
+    well; a document of which nothing is left goes. Rows go by their places, as an id may have
+    several texts; those with a null id stay as they are."""
+    rows = exact_dedup.placed(docs)
+    cut = suffix_dedup.without_repeats(_own_id(rows), with_text=True)
     kept = materialize(
-        cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut_id"), F.col("kept").alias("_kept")), "cut-texts"
+        cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut"), F.col("kept").alias("_kept")), "cut-texts"
     )
-    listed = F.broadcast(kept) if fits_broadcast(kept) else kept
-    text = F.when(F.col("_cut_id").isNull(), docs["text"]).otherwise(F.col("_kept"))
-    new = {"text": text, "n_chars": F.when(F.col("_cut_id").isNull(), docs["n_chars"]).otherwise(F.length("_kept").cast("long"))}
+    text = F.when(F.col("_cut").isNull(), rows["text"]).otherwise(F.col("_kept"))
+    new = {"text": text, "n_chars": F.when(F.col("_cut").isNull(), rows["n_chars"]).otherwise(F.length("_kept").cast("long"))}
     return (
-        docs.join(listed, docs["doc_id"] == listed["_cut_id"], "left")
-        .where("_cut_id is null or _kept != ''")
-        .select(*[new[name].alias(name) if name in new else docs[name] for name in docs.columns])
+        rows.join(_few(kept), rows["_place"] == kept["_cut"], "left")
+        .where("_cut is null or _kept != ''")
+        .select(*[new[name].alias(name) if name in new else rows[name] for name in docs.columns])
     )
 
 

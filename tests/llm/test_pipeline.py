@@ -1,5 +1,7 @@
 """The registered queries, and each stage of the pipeline against what its operator says."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,40 @@ def test_stages(spark):
     assert {row["doc_id"] for row in rows} == set(texts)
 
 
+def test_repeated_rows_stay_once(spark):
+    """Rows that come twice, and ids that have several texts, through the whole chain."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    draw = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(draw.choices("abcdefghij", k=7)) for _ in range(n))
+
+    shared, copied = prose(80), prose(200)
+    rows = [
+        (1, prose(100)), (2, "short one"), (3, prose(30) + shared + prose(25)), (3, shared + " " + prose(40)),
+        (4, copied), (5, copied + " end"), (5, prose(90)), (None, prose(70)), (None, "short one"),
+    ]
+    given = [(i, text, "en", "x", len(text)) for i, text in rows]
+    kept = spark.createDataFrame([*given, *given, given[0]], docs.schema).repartition(3)
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, kept, FOLDER).cache()
+        assert kept.columns == docs.columns
+        seen[name] = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
+    once = sorted((i or 0, text) for i, text in rows[:-1])
+    assert seen["exact copies"] == once  # the row without an id has a copy that has one
+    apart = [row for row in once if row[1] != copied + " end"]
+    assert seen["near copies"] == apart
+    cut = sorted((i, text.replace(shared, "")) for i, text in apart)
+    assert [i for i, _ in seen["repeated passages"]] == [i for i, _ in cut]
+    # A byte on either side may be equal by chance, and goes with the passage.
+    for (i, text), (_, want) in zip(seen["repeated passages"], cut):
+        assert text == want if i != 3 else len(want) - 2 <= len(text) <= len(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in kept.collect())
+    packing = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
+    assert {r["doc_id"] for r in packing.collect()} >= {1, 2, 3, 4, 5}
+
+
 def test_run(spark):
     found = corpus_pipeline.run(spark, FOLDER)
     assert found.count() > 0

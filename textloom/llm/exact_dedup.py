@@ -55,15 +55,20 @@ def _on_disk(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
-def arrivals(docs: DataFrame) -> DataFrame:
-    """Digest, length, id and place (partition and row in it) of every row; a null text counts as
-    an empty one."""
+def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
+    """``docs`` written once with each row's place (partition and row in it), which no two rows share."""
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "placed-rows")
+
+
+def arrivals(docs: DataFrame, place: Column | None = None) -> DataFrame:
+    """Digest, length, id and place (partition and row in it, unless given) of every row; a null
+    text counts as an empty one."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
         F.octet_length(text).cast("long").alias("n_bytes"),
-        F.monotonically_increasing_id().alias("place"),
+        (F.monotonically_increasing_id() if place is None else place).alias("place"),
     )
 
 
@@ -137,24 +142,18 @@ def compared(docs: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row per row of ``docs``.
-
-    Rows of ``docs(doc_id, text, ...)`` with the same bytes form a group; its largest
-    ``doc_id`` stays. A null text equals an empty one. Rows that repeat an id count in
-    ``group_size`` each, and each of them is ``kept`` if the id is. A null id never stays beside
-    an id that is not null; alone in its group it stays, with a null ``keep_id``. No row
-    gives no row. Other columns are not looked at.
-    """
+def _grouped(docs: DataFrame, place: Column | None = None) -> DataFrame:
+    """``(doc_id, place, digest, keep_id, keep_place, group_size)``: each row and the one row of its
+    group that stays; the last three are null where no other row has its digest."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "exact-dedup")
     if folder is None:
         raise ValueError("the state needs a shared folder: set spark.checkpoint.dir")
-    arrivals(docs).write.parquet(f"{folder}/arrivals")
+    arrivals(docs, place).write.parquet(f"{folder}/arrivals")
     arrived = spark.read.schema(ARRIVALS).parquet(f"{folder}/arrivals")
     absorb(spark.readStream.schema(ARRIVALS).parquet(f"{folder}/arrivals"), f"{folder}/state")
     with _on_disk(spark):
-        groups = state(spark, f"{folder}/state").drop("place")
+        groups = state(spark, f"{folder}/state").withColumnRenamed("place", "keep_place")
         repeated = materialize(groups.where("group_size > 1"), "repeated-digests")
     hits = materialize(
         _meet(arrived.select("doc_id", "digest", "n_bytes"), repeated, ["digest", "n_bytes"]), "digest-hits"
@@ -162,47 +161,65 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     differing = compared(docs, hits.select("doc_id", "digest", "keep_id", "group_size").where("doc_id is not null"))
     # Other bytes under a digest that was seen: such rows form groups of their own.
     apart = materialize(differing.where(~F.col("same")).select("doc_id", "digest", "text"), "collisions")
-    alone = F.lit(1).cast("long")
+    rows = arrived.select("doc_id", "place", "digest")
     if apart.isEmpty():
-        grouped = arrived.select("doc_id", "digest").join(
+        return rows.join(
             F.broadcast(small) if fits_broadcast(small := repeated.drop("n_bytes")) else small, "digest", "left"
         )
-    else:
-        own = apart.groupBy("digest", "text").agg(
-            F.max("doc_id").alias("own_id"), F.count(F.lit(1)).alias("own_size")
-        )
-        members = apart.join(own, ["digest", "text"]).select("doc_id", "digest", "own_id", "own_size")
-        less = own.groupBy("digest").agg(F.sum("own_size").alias("less"))
-        grouped = (
-            arrived.select("doc_id", "digest")
-            .join(repeated.drop("n_bytes"), "digest", "left")
-            .join(less, "digest", "left")
-            .join(members, ["doc_id", "digest"], "left")
-            .select(
-                "doc_id",
-                "digest",
-                F.coalesce("own_id", "keep_id").alias("keep_id"),
-                F.coalesce("own_size", F.col("group_size") - F.coalesce("less", F.lit(0))).alias("group_size"),
-            )
+    own = apart.groupBy("digest", "text").agg(
+        F.max("doc_id").alias("own_id"), F.count(F.lit(1)).alias("own_size")
+    )
+    members = apart.join(own, ["digest", "text"]).select("doc_id", "digest", "own_id", "own_size").distinct()
+    less = own.groupBy("digest").agg(F.sum("own_size").alias("less"))
+    # Of an id's rows in such a group the last one stays.
+    last = rows.join(members.where("doc_id = own_id"), ["doc_id", "digest"]).groupBy("digest", "own_id").agg(
+        F.max("place").alias("own_place")
+    )
+    return (
+        rows.join(repeated.drop("n_bytes"), "digest", "left")
+        .join(less, "digest", "left")
+        .join(members, ["doc_id", "digest"], "left")
+        .join(last, ["digest", "own_id"], "left")
+        .select(
+            "doc_id",
+            "place",
+            "digest",
+            F.coalesce("own_id", "keep_id").alias("keep_id"),
+            F.coalesce("own_place", "keep_place").alias("keep_place"),
+            F.coalesce("own_size", F.col("group_size") - F.coalesce("less", F.lit(0))).alias("group_size"),
         )
+    )
+
+
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row per row of ``docs``.
+
+    Rows of ``docs(doc_id, text, ...)`` with the same bytes form a group; its largest
+    ``doc_id`` stays. A null text equals an empty one. Rows that repeat an id count in
+    ``group_size`` each, and each of them is ``kept`` if the id is. A null id never stays beside
+    an id that is not null; alone in its group it stays, with a null ``keep_id``. No row
+    gives no row. Other columns are not looked at.
+    """
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    return grouped.select(
+    return _grouped(docs).select(
         "doc_id",
         keep.alias("keep_id"),
-        F.coalesce("group_size", alone).alias("group_size"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one id of every group of equal texts, all columns as they came.
+    """``docs`` with one row of every group of equal texts, all columns as they came.
 
-    Rows whose id is null stay: nothing tells them apart from one another.
+    It is a row of the largest id; of rows that repeat it, or of null ids alone, the last one. Rows
+    are told apart by their places, so ``docs`` is written once with them.
     """
+    rows = placed(docs)
     gone = materialize(
-        exact_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone_id")),
-        "dropped-ids",
+        _grouped(rows, F.col("_place")).where("place != keep_place").select(F.col("place").alias("_gone")),
+        "dropped-rows",
     )
     listed = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return docs.join(listed, docs["doc_id"] == listed["_gone_id"], "left_anti")
+    return rows.join(listed, rows["_place"] == listed["_gone"], "left_anti").drop("_place")
