@@ -228,3 +228,38 @@ def test_ranks_against_brute_force(spark):
         rounds=5,
     )
     assert {r["host"]: pytest.approx(r["mass"]) for r in found.collect()} == mass
+
+
+def test_small_blocked_hosts_beside_a_hot_one(spark):
+    """A blocked host with a minute share of all blocked pages blocks its other pages, and who links to it."""
+    rules = (Rule("block", "hot.org", "/"), Rule("block", "small.net", "/bad/"), Rule("allow", "good.org", "/"))
+    edges = spark.createDataFrame([("fan.net", "small.net", 1), ("farm.net", "fan.net", 1)], "src string, dst string, n bigint")
+    seeds = spark.createDataFrame([("hot.org", 1e12), ("small.net", 1.0)], "host string, mass double")
+    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    mass = url_filter.spread(against, seeds)
+    assert {"fan.net", "farm.net"} <= {r["host"] for r in mass.where("mass > 0").collect()}
+    scores = mass.select("host", F.lit(0.0).alias("trust"), F.col("mass").alias("distrust"))
+    pages = spark.createDataFrame(
+        [(1, "http://small.net/x", ""), (2, "http://fan.net/", ""), (3, "http://farm.net/", ""), (4, "http://else.net/", "")],
+        "page_id bigint, url string, html string",
+    )
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(url_filter, "host_scores", lambda *given: scores)
+        found = {r["page_id"]: r for r in url_filter.url_verdicts(pages, rules).collect()}
+    assert [found[i]["verdict"] for i in range(1, 5)] == ["block", "block", "block", "allow"]
+    assert 0 < found[3]["distrust"] < found[2]["distrust"] < 1e-12
+
+
+def test_distrust_reaches_far_hosts(spark):
+    """A chain of twelve links to a blocked host, with a cycle at its end."""
+    rules = (Rule("block", "h0.net", "/"),)
+    link = '<a href="http://h{}.net/">t</a>'
+    pages = [(i, f"http://h{i}.net/", link.format(i - 1)) for i in range(1, 13)]
+    pages += [(0, "http://h0.net/", ""), (13, "http://h13.net/", link.format(12) + link.format(14)), (14, "http://h14.net/", link.format(13))]
+    docs = spark.createDataFrame([*pages, (99, "http://alone.net/", "")], "page_id bigint, url string, html string")
+    found = {r["page_id"]: r for r in url_filter.url_verdicts(docs, rules).collect()}
+    assert {i for i, r in found.items() if r["verdict"] == "block"} == set(range(15))
+    # Against links: h13 hands all of its mass to h14, and h14 all of its own back.
+    reached = 0.15 * 0.85**12
+    assert found[12]["distrust"] == pytest.approx(reached, rel=1e-6)
+    assert found[13]["distrust"] == pytest.approx(reached * 0.85 / (1 - 0.85**2), rel=1e-6)

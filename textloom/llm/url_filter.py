@@ -18,7 +18,8 @@ from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
 DAMPING = 0.85
-ROUNDS = 8
+SETTLED = 1e-9  # the largest change of a host's mass in a round, as a share of it, at which spreading ends
+TIE = 1e-6  # shares by which trust and distrust must differ; above what SETTLED leaves open
 THRESHOLD = 1.0  # distrust may be this many times the trust before a host is blocked
 
 
@@ -93,9 +94,14 @@ def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(table) if fits_broadcast(table) else table, key, "left")
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """``(host, mass)``: personalised PageRank over ``edges(src, dst, n)`` from
-    ``seeds(host, mass)``, after a fixed number of rounds.
+    ``seeds(host, mass)``, after a fixed number of rounds or, with none given, when it has settled.
+
+    It has settled when no host's mass changed by more than ``SETTLED`` of itself. Small masses count
+    like large ones, and a host that is reached for the first time has changed by all of its
+    mass, so hosts at any distance are reached. The share that a round changes never grows
+    again, and all masses together change by 0.85 of the last change at most, so it ends.
 
     Each edge carries its share of its source's links. Mass of a host without links returns to
     the seeds only through the restart, so masses need not add up to 1; only their order
@@ -110,20 +116,31 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     mass = start
     if shares.isEmpty():
         return mass
-    for _ in range(rounds):
+    none = F.lit(0.0)
+    restart = start.select("host", (F.col("mass") * (1.0 - damping)).alias("mass"), none.alias("before"))
+    done = 0
+    while rounds is None or done < rounds:
         moved = (
             _looked_up(shares, mass.withColumnRenamed("host", "src"), "src")
             .where("mass is not null")
-            .select(F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
+            .select(
+                F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"), none.alias("before")
+            )
         )
-        restart = start.select("host", (F.col("mass") * (1.0 - damping)).alias("mass"))
-        mass = materialize(
-            moved.unionByName(restart).groupBy("host").agg(F.sum("mass").alias("mass")), "host-mass"
+        held = mass.select("host", none.alias("mass"), F.col("mass").alias("before"))
+        after = materialize(
+            moved.unionByName(restart).unionByName(held).groupBy("host").agg(
+                F.sum("mass").alias("mass"), F.sum("before").alias("before")
+            ),
+            "host-mass",
         )
+        mass, done = after.select("host", "mass"), done + 1
+        if rounds is None and after.where(F.abs(F.col("mass") - F.col("before")) > F.col("mass") * SETTLED).isEmpty():
+            break
     return mass
 
 
-def host_scores(pages: DataFrame, judged: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(pages: DataFrame, judged: DataFrame, rounds: int | None = None) -> DataFrame:
     """``(host, trust, distrust)`` of every host that a seed reaches.
 
     ``judged`` are ``(host, verdict)`` rows, one per page with a rule; a host's seed mass is its
@@ -148,15 +165,21 @@ def host_scores(pages: DataFrame, judged: DataFrame, rounds: int = ROUNDS) -> Da
     )
 
 
+def _digits(mass: Column) -> Column:
+    """Rounded to 9 significant digits."""
+    return F.format_string("%.8e", mass).cast("double")
+
+
 def url_verdicts(
-    pages: DataFrame, rules: Sequence[Rule], rounds: int = ROUNDS, threshold: float = THRESHOLD
+    pages: DataFrame, rules: Sequence[Rule], rounds: int | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``(page_id, host, path, rule, verdict, trust, distrust)``, one row per page.
 
     ``pages(page_id, url, html, ...)``; a null url, or one without ``://``, has empty host and
     path, fits no rule and is allowed, as is every page whose host neither seed reaches. A
     null html has no links. Repeated rows are judged each; other columns are not looked at.
-    Scores are 9 digits long before they are compared, and a tie allows.
+    Distrust must be more than trust by a share of ``TIE``, however small both are; a tie allows.
+    Scores are given to 9 significant digits.
     """
     chosen = fitting_rule(rules)
     parts = pages.select(
@@ -165,15 +188,15 @@ def url_verdicts(
     scores = materialize(
         host_scores(pages, parts.where("chosen is not null").select("host", "chosen.verdict"), rounds), "host-scores"
     )
-    trust = F.round(F.coalesce("trust", F.lit(0.0)), 9)
-    distrust = F.round(F.coalesce("distrust", F.lit(0.0)), 9)
-    method = F.when(distrust > trust * threshold, "block").otherwise("allow")
+    trust = F.coalesce("trust", F.lit(0.0))
+    distrust = F.coalesce("distrust", F.lit(0.0))
+    method = F.when(distrust > trust * threshold * (1.0 + TIE), "block").otherwise("allow")
     return _looked_up(parts, scores, "host").select(
         "page_id",
         "host",
         "path",
         F.col("chosen.rule").alias("rule"),
         F.coalesce(F.col("chosen.verdict"), method).alias("verdict"),
-        trust.alias("trust"),
-        distrust.alias("distrust"),
+        _digits(trust).alias("trust"),
+        _digits(distrust).alias("distrust"),
     )
