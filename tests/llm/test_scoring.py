@@ -44,6 +44,52 @@ def test_automaton_parses_as_brute_force():
             assert missed + 1 == brute_phrases("".join(map(str, text)), letters)
 
 
+def test_letters_beyond_the_table_parse_as_brute_force():
+    """More kinds of letters than a table has columns, and some that the text does not hold."""
+    draw = random.Random(4)
+    kinds = 400
+    for size in (5, 300, 3000):
+        known = [draw.randrange(kinds - 50) for _ in range(size)]
+        own = language_id.Automaton(np.array(known), kinds)
+        letters = "".join(chr(0x4E00 + kind) for kind in known)
+        for _ in range(10):
+            text = []
+            while len(text) < 200:
+                at = draw.randrange(size)
+                text += known[at : at + draw.randint(1, 9)] + [draw.randrange(kinds)] * draw.randint(0, 1)
+            state, missed = np.zeros(1, np.int32), 0
+            for kind in text:
+                given = np.array([kind])
+                ahead = own.steps(state, own.column[given], given)
+                missed += int(ahead[0] >= language_id._MISS)
+                state = ahead & language_id._STATE
+            # A phrase grows while the known text holds it; a letter it does not hold ends one and begins none.
+            want, phrase = 0, ""
+            for letter in (chr(0x4E00 + kind) for kind in text):
+                if phrase + letter in letters:
+                    phrase += letter
+                else:
+                    want, phrase = want + 1, letter if letter in letters else ""
+            assert missed == want
+
+
+def test_rarer_scripts_are_told_apart(spark):
+    """Languages of one script whose letters are not among the most frequent ones of all."""
+    draw = random.Random(5)
+
+    def made(first, n, words, length):
+        known = ["".join(chr(first + draw.randrange(n)) for _ in range(draw.randint(2, 5))) for _ in range(60)]
+        return lambda size: " ".join(draw.choices(known, k=size))
+
+    scripts = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 24), "zh": (0x4E00, 900), "ja": (0x4E00, 900), "ko": (0xAC00, 900)}
+    makers = {lang: made(*place, 60, 5) for lang, place in scripts.items()}
+    training = {lang: make(4000 if lang in ("en", "ru") else 400) for lang, make in makers.items()}
+    rows = [(i, makers[lang](12), lang) for i, lang in enumerate(sorted(makers) * 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.languages(docs, training).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     training = language_id.training_texts(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 TRAINING_CHARS = 40_000  # of labelled text per language
 TRAINING_PIECE = 1_000  # at most so much of it from one document
 MAX_LANGUAGES = 200
-LETTERS = 63  # kinds of letters told apart, the most frequent ones of the training text
+DENSE = 63  # letters of a language with a column in its table; the others' steps are looked up
 WINDOW = 1_024  # characters parsed in one go; each window begins a new phrase
 ROWS = 16_384  # windows parsed side by side
 UNKNOWN = "und"
@@ -43,62 +43,121 @@ def _letter_table() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def automaton(word: list[int], kinds: int) -> np.ndarray:
-    """The suffix automaton of ``word`` as a table of states x kinds.
-
-    An entry is the next state; where a state has no way on, it is that of the root, marked as a
-    miss: the phrase ends there and the next begins with this character.
-    """
-    size = 2 * len(word) + 2
-    table = np.full((size, kinds), -1, np.int32)
-    length, link = [0] * size, [-1] * size
-    used, last = 1, 0
+def transitions(word: list[int]) -> list[dict[int, int]]:
+    """The suffix automaton of ``word``: of each state, the next one by kind of letter."""
+    ahead: list[dict[int, int]] = [{}]
+    length, link = [0], [-1]
+    last = 0
     for kind in word:
-        new, used = used, used + 1
-        length[new] = length[last] + 1
+        new = len(ahead)
+        ahead.append({})
+        length.append(length[last] + 1)
+        link.append(0)
         at = last
-        while at != -1 and table[at, kind] == -1:
-            table[at, kind] = new
+        while at != -1 and kind not in ahead[at]:
+            ahead[at][kind] = new
             at = link[at]
-        if at == -1:
-            link[new] = 0
-        else:
-            target = int(table[at, kind])
+        if at != -1:
+            target = ahead[at][kind]
             if length[at] + 1 == length[target]:
                 link[new] = target
             else:
                 # A shorter string ends in the same state: give it one of its own.
-                own, used = used, used + 1
-                length[own], link[own] = length[at] + 1, link[target]
-                table[own] = table[target]
-                while at != -1 and table[at, kind] == target:
-                    table[at, kind] = own
+                own = len(ahead)
+                ahead.append(ahead[target].copy())
+                length.append(length[at] + 1)
+                link.append(link[target])
+                while at != -1 and ahead[at].get(kind) == target:
+                    ahead[at][kind] = own
                     at = link[at]
                 link[target] = link[new] = own
         last = new
-    table = table[:used]
-    root = np.where(table[0] == -1, 0, table[0])
-    return np.where(table == -1, root[None, :] | _MISS, table).astype(np.int32)
+    return ahead
+
+
+def _edges(ahead: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """State, kind and next state of every transition."""
+    state = np.repeat(np.arange(len(ahead), dtype=np.int64), [len(ways) for ways in ahead])
+    kind = np.fromiter((kind for ways in ahead for kind in ways), np.int64, len(state))
+    following = np.fromiter((at for ways in ahead for at in ways.values()), np.int32, len(state))
+    return state, kind, following
+
+
+def _table(states: int, kinds: int, state: np.ndarray, kind: np.ndarray, following: np.ndarray) -> np.ndarray:
+    table = np.full((states, kinds), -1, np.int32)
+    table[state, kind] = following
+    root = np.where(table[0] == -1, 0, table[0]) | _MISS
+    for column, miss in zip(table.T, root):
+        column[column == -1] = miss
+    return table
+
+
+def automaton(word: list[int], kinds: int) -> np.ndarray:
+    """The suffix automaton of ``word`` as a table of states x kinds.
+
+    An entry is the next state; where a state has no way on, it is that of the root, marked as a
+    miss: the phrase ends there and the next begins with this character.
+    """
+    ahead = transitions(word)
+    return _table(len(ahead), kinds, *_edges(ahead))
+
+
+class Automaton:
+    """The suffix automaton of one language's text, for letters of any number of kinds.
+
+    Its most frequent letters have a column each in a table, letters that it does not hold share
+    the last one, and the other letters' transitions are sorted by state and kind.
+    """
+
+    def __init__(self, word: np.ndarray, kinds: int):
+        counts = np.bincount(word, minlength=kinds)
+        own = np.flatnonzero(counts)
+        dense = own[np.argsort(-counts[own], kind="stable")[:DENSE]]
+        self.width = len(dense) + 1  # the last column: letters that the text does not hold
+        self.rare = self.width
+        self.column = np.full(kinds, self.width - 1, np.uint8)
+        self.column[own] = self.rare
+        self.column[dense] = np.arange(len(dense))
+        self.kinds = kinds
+        ahead = transitions(word.tolist())
+        state, kind, following = _edges(ahead)
+        column = self.column[kind]
+        held = column < self.rare
+        self.table = _table(len(ahead), self.width, state[held], column[held], following[held]).ravel()
+        keys = state[~held] * kinds + kind[~held]
+        order = np.argsort(keys)
+        self.keys, self.following = keys[order], following[~held][order]
+
+    def steps(self, state: np.ndarray, columns: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """From each state by each letter: the next state, marked where the phrase ended."""
+        rare = np.flatnonzero(columns == self.rare) if len(self.keys) else ()
+        if not len(rare):
+            return self.table[state * self.width + columns]
+        ahead = self.table[state * self.width + np.minimum(columns, self.width - 1)]
+        kind = kinds[rare].astype(np.int64)
+        key = state[rare] * np.int64(self.kinds) + kind
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        # Every letter of the text has a way from the root, which is state 0.
+        root = self.following[np.searchsorted(self.keys, kind)]
+        ahead[rare] = np.where(self.keys[at] == key, self.following[at], root | _MISS)
+        return ahead
 
 
 class CrossParser:
-    """Automata of several languages over one alphabet, laid end to end in one table."""
+    """Automata of several languages over one alphabet: every letter of the training texts."""
 
     def __init__(self, training: dict[str, str]):
         self.languages = sorted(training)
         texts = [folded(training[language]) for language in self.languages]
-        points, counts = np.unique(np.concatenate([*texts, np.zeros(1, np.uint32)]), return_counts=True)
-        counts[0] = counts.max() + 1  # the gap between words always has a kind of its own
-        kept = np.sort(points[np.argsort(-counts, kind="stable")[:LETTERS]])
-        self.kept, self.kinds = kept, len(kept) + 1  # the last kind: any other letter
-        tables = [automaton(self.kind(text).tolist(), self.kinds) for text in texts]
-        starts = np.cumsum([0, *map(len, tables)])[:-1]
-        self.roots = starts.astype(np.int32)
-        self.table = np.concatenate([t + start for t, start in zip(tables, self.roots)]).ravel()
+        self.letters = np.unique(np.concatenate([*texts, np.zeros(1, np.uint32)]))
+        kinds = len(self.letters) + 1  # the last kind: letters that no training text holds
+        self.automata = [Automaton(self.kind(text), kinds) for text in texts]
 
     def kind(self, points: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.kept, points), len(self.kept) - 1)
-        return np.where(self.kept[at] == points, at, len(self.kept)).astype(np.uint8)
+        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        return np.where(self.letters[at] == points, at, len(self.letters)).astype(
+            np.uint16 if len(self.letters) < 1 << 16 else np.uint32
+        )
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language, windows added up."""
@@ -119,17 +178,17 @@ class CrossParser:
     def _parse(self, windows: list[np.ndarray]) -> np.ndarray:
         """Windows in order of falling length, one character of all of them at a time."""
         lengths = np.array([len(w) for w in windows])
-        grid = np.zeros((int(lengths[0]), len(windows)), np.uint8)
+        grid = np.zeros((int(lengths[0]), len(windows)), windows[0].dtype)
         for i, window in enumerate(windows):
             grid[: len(window), i] = window
         going = np.searchsorted(-lengths, -np.arange(len(grid)), side="left")
         found = np.ones((len(windows), len(self.languages)), np.int64)
-        for number, root in enumerate(self.roots):
-            state = np.full(len(windows), root, np.int32)
+        for number, own in enumerate(self.automata):
+            state = np.zeros(len(windows), np.int32)
             missed = np.zeros(len(windows), np.int32)
             for step, kinds in enumerate(grid):
                 n = int(going[step])
-                ahead = self.table[state[:n] * self.kinds + kinds[:n]]
+                ahead = own.steps(state[:n], own.column[kinds[:n]], kinds[:n])
                 missed[:n] += ahead >= _MISS
                 state[:n] = ahead & _STATE
             found[:, number] += missed
