@@ -1,6 +1,7 @@
 """Language, licenses, search and URL filters against brute force and hand-made cases."""
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -166,6 +167,34 @@ def test_license_scan(spark):
     assert len(want) > 80
 
 
+def test_license_families(spark):
+    """Headers and texts of the usual families, wrapped as in source files, and notices with another word."""
+    def wrapped(name):
+        return "# Copyright 2020 Someone\n# " + "\n# ".join(textwrap.wrap(license_scan.TEMPLATES[name], 50)) + "\n# more"
+
+    long = [name for name in license_scan.TEMPLATES if name.endswith(("-header", "-text"))]
+    want = {i: name for i, name in enumerate(sorted(long))}
+    rows = [(i, wrapped(name)) for i, name in want.items()]
+    notices = {
+        "This code is licensed under the MIT License, see above.": "mit-licensed",
+        "It may be used under the terms of the MIT license": "mit-terms",
+        "This book is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0-name",
+        "Texts: licensed under CC BY-SA 4.0": "cc-by-sa-4.0",
+        "released under the GNU General Public License, version 2": "gpl-2.0-name",
+        "see the GNU Affero General Public License version 3": "agpl-3.0-name",
+        "subject to the Mozilla Public License, version 2.0": "mpl-2.0-name",
+    }
+    rows += [(100 + i, text) for i, text in enumerate(notices)]
+    want |= {100 + i: name for i, name in enumerate(notices.values())}
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    best = {(r["doc_id"], r["license"]): r["containment"] for r in found}
+    assert {i for i, name in want.items() if best.get((i, name)) != 1.0} == set()
+    families = {name.split("-")[0] for name in want.values()}
+    assert {"gpl", "lgpl", "agpl", "mpl", "cc", "cc0", "unlicense", "mit", "bsd", "apache", "isc", "zlib"} <= families
+    # A notice of one version is none of another.
+    assert (104, "gpl-3.0-name") not in best
+
+
 def test_license_scan_refuses_short_templates(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="under 5 words"):

@@ -15,14 +15,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import bind
+from textloom.llm.license_texts import FAMILIES
 from textloom.session import materialize
 
 WORDS = 5  # of a shingle
 SIMILARITY = 0.75  # of a template's shingles that the text must hold
 BANDS = 12  # of one row each: windows alike by 0.5 meet with 1 - 0.5 ** 12 = 0.9998
 
-# Notices by which texts state their license.
-TEMPLATES = {
+# Notices by which texts state their license. Families whose notices differ in a version
+# share most shingles: both may be found, and the containment of the one that is meant is higher.
+TEMPLATES = FAMILIES | {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
