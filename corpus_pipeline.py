@@ -19,18 +19,19 @@ from textloom.session import materialize
 VOCABULARY = "word_bpe_49k.json"
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """``docs`` without the rows of the given ids; rows with a null id stay."""
-    gone = materialize(ids.select(F.col("doc_id").alias("_gone_id")).where("_gone_id is not null").distinct(), label)
-    listed = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return docs.join(listed, docs["doc_id"] == listed["_gone_id"], "left_anti")
+def _few(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if fits_broadcast(table) else table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language: without a letter there is none, and they go."""
-    labelled = docs.where(~language_id.held_out()).select("doc_id", "text", "lang")
-    found = language_id.languages(docs, language_id.training_texts(labelled))
-    return _without(docs, found.where(F.col("lang_pred") == language_id.UNKNOWN), "unknown-language")
+    """Rows that may have a learned language. Those without a letter go, and those of which no
+    letter is in any training text; where nothing was learned, every row with a letter stays."""
+    rows = exact_dedup.placed(docs)
+    labelled = rows.where(~language_id.held_out()).select("doc_id", "text", "lang")
+    own = rows.select(F.col("_place").alias("doc_id"), "text")
+    found = language_id.languages(own, language_id.training_texts(labelled))
+    gone = materialize(found.where("rejected").select(F.col("doc_id").alias("_gone")), "unknown-language")
+    return rows.join(_few(gone), rows["_place"] == gone["_gone"], "left_anti").drop("_place")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,6 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.without_duplicates(docs)
 
 
-def _few(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if fits_broadcast(table) else table
-
-
 def _own_id(rows: DataFrame) -> DataFrame:
     """Text of each row under its place, as an id may have several texts; null ids stay null."""
     return rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_place")).alias("doc_id"), "text")

@@ -92,6 +92,25 @@ def test_stages(spark):
     assert {row["doc_id"] for row in rows} == set(texts)
 
 
+def test_language_stage_looks_at_letters_and_rows(spark):
+    """A label und is no language, an id may have two texts, and a script that nobody learned goes."""
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    stage = corpus_pipeline.STAGES[0][1]
+    rows = [(i, "the cat and the dog sat on the mat", "en") for i in range(1, 21)]
+    rows += [(i, "xq zzv kkj wqx vvq jjx", "und") for i in range(21, 41)]
+    rows += [(50, "xq zzv kkj", None), (51, "1 2 3", "en"), (51, "the other dog", "en"), (52, "\u4e2d\u6587", None), (None, None, None)]
+
+    def kept(rows):
+        given = spark.createDataFrame([(i, text, lang, "x", 1) for i, text, lang in rows], schema)
+        return sorted((r["doc_id"], r["text"]) for r in stage(spark, given, FOLDER).collect())
+
+    french = [(i, "les mots qui vont zxq jvk", "fr") for i in range(60, 80)]
+    gone = {"1 2 3", "\u4e2d\u6587", None}
+    assert kept(rows + french) == sorted((i, text) for i, text, _ in rows + french if text not in gone)
+    unlabelled = [(i, text, None) for i, text, _ in rows]
+    assert kept(unlabelled) == sorted((i, text) for i, text, _ in rows if text not in ("1 2 3", None))
+
+
 def test_repeated_rows_stay_once(spark):
     """Rows that come twice, and ids that have several texts, through the whole chain."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

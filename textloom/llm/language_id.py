@@ -27,7 +27,7 @@ UNKNOWN = "und"
 _MISS = np.int32(1 << 30)
 _STATE = np.int32((1 << 30) - 1)
 
-SCHEMA = "doc_id long, lang_pred string, score double"
+SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
 
 def folded(text: str) -> np.ndarray:
@@ -194,20 +194,24 @@ class CrossParser:
             found[:, number] += missed
         return found
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The language of each text and by how much its phrases are fewer than the runner-up's."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """The language of each text, by how much its phrases are fewer than the runner-up's, and
+        whether it has no language or none that fits: none of its letters is in a training text."""
         points = [folded(text or "") for text in texts]
         found = self.phrases(points)
-        languages, scores = [], []
+        languages, scores, rejected = [], [], []
         for text, row in zip(points, found):
             if not text.any() or not self.languages:
                 languages.append(UNKNOWN)
                 scores.append(0.0)
+                rejected.append(not text.any())
                 continue
+            # Letters that no language knows are phrases of one letter in all of them.
+            rejected.append(bool(row.min() == row.max()) and not np.isin(text[text != 0], self.letters).any())
             order = np.argsort(row, kind="stable")
             languages.append(self.languages[order[0]])
             scores.append(1.0 - row[order[0]] / row[order[1]] if len(order) > 1 else 1.0)
-        return languages, scores
+        return languages, scores, rejected
 
 
 def training_texts(labelled: DataFrame, chars: int = TRAINING_CHARS, piece: int = TRAINING_PIECE) -> dict[str, str]:
@@ -215,9 +219,9 @@ def training_texts(labelled: DataFrame, chars: int = TRAINING_CHARS, piece: int
 
     A bounded sample of the labelled rows, documents in the order of a hash of their id, up
     to ``piece`` characters from each. What reaches the driver is at most
-    ``MAX_LANGUAGES * chars`` characters; more languages raise an error.
+    ``MAX_LANGUAGES * chars`` characters; more languages raise an error. ``und`` is no language.
     """
-    known = labelled.where("lang is not null and text is not null and lang != ''")
+    known = labelled.where("lang is not null and text is not null and lang != ''").where(F.col("lang") != UNKNOWN)
     need = -(-chars // piece)
     # A long document gives one piece, a short one all of itself; many short ones may be needed.
     pieces = known.select(
@@ -260,10 +264,13 @@ def _predict(
     own = parser(training)
 
     def answered(ids: list, texts: list) -> pa.RecordBatch:
-        languages, scores = own.predict(texts)
+        languages, scores, rejected = own.predict(texts)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-            ["doc_id", "lang_pred", "score"],
+            [
+                pa.array(ids, pa.int64()), pa.array(languages, pa.string()), pa.array(scores, pa.float64()),
+                pa.array(rejected, pa.bool_()),
+            ],
+            ["doc_id", "lang_pred", "score", "rejected"],
         )
 
     for batch in batches:
@@ -280,12 +287,13 @@ def _predict(
 
 
 def languages(docs: DataFrame, training: dict[str, str]) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` for each row of ``docs(doc_id, text, ...)``.
+    """``(doc_id, lang_pred, score, rejected)`` for each row of ``docs(doc_id, text, ...)``.
 
     The prediction looks at the text alone and at all of it. ``score`` is 0 where two languages
     need equally many phrases (the first in the alphabet is taken), and nears 1 where
     one needs far fewer. ``und`` with score 0: the text is null or has no letter, or there
-    was nothing to learn from. With one language learned, all other texts get it with score 1. A null
+    was nothing to learn from. ``rejected``: the text is null or has no letter, or something was
+    learned and none of its letters is in any of the training texts. With one language learned, all other texts get it with score 1. A null
     id is passed on, repeated rows are answered each, no rows give none; other columns
     are not looked at. Nothing is shuffled.
     """
