@@ -56,7 +56,11 @@ def _on_disk(spark: SparkSession) -> Iterator[None]:
 
 
 def placed(docs: DataFrame, name: str = "_place") -> DataFrame:
-    """``docs`` written once with each row's place (partition and row in it), which no two rows share."""
+    """``docs`` with a number that no two rows share: the id where none is null or repeated, else
+    the row's place (partition and row in it), and then ``docs`` is written once with it."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    if ids.where("_id is null or _n > 1").isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
     return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "placed-rows")
 
 
@@ -214,7 +218,7 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every group of equal texts, all columns as they came.
 
     It is a row of the largest id; of rows that repeat it, or of null ids alone, the last one. Rows
-    are told apart by their places, so ``docs`` is written once with them.
+    are told apart by the numbers of ``placed``.
     """
     rows = placed(docs)
     gone = materialize(
