@@ -12,6 +12,50 @@ def _text(value: str) -> str:
 _NOTICES = ", ".join(f"({_text(name)}, {_text(notice)})" for name, notice in TEMPLATES.items())
 _RUN = " || ' ' || ".join(f"words[i + {k}]" for k in range(WORDS))
 
+def _leaf(text: str) -> str:
+    fields = [f"CAST({name} AS VARCHAR)" for name in ("doc_id", "source", "lang", "n_chars")] + [text]
+    parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+# The checksum's polynomial, one bit at a time, over the digits of an id.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [0::BIGINT for i in range(8)]),
+        lambda bits, i: xor(bits >> 1, 3988292384 * (bits & 1)))
+), 4294967295)"""
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes above ``leaves(g, n, pos, h)``, with what stands left and right of each in its run."""
+    return f"""
+        {name} AS (
+            SELECT 0 AS level, g, n, pos, h FROM {leaves}
+            UNION ALL
+            SELECT level + 1, g, (n + 2) // 3, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+            FROM {name} WHERE n > 1 GROUP BY level, g, n, pos // 3
+        ),
+        {name}_runs AS (
+            SELECT level, g, n, pos, h,
+                   coalesce(lag(h, 2) OVER run, '') || coalesce(lag(h, 1) OVER run, '') AS before,
+                   coalesce(lead(h, 1) OVER run, '') || coalesce(lead(h, 2) OVER run, '') AS behind
+            FROM {name}
+            WINDOW run AS (PARTITION BY level, g, pos // 3 ORDER BY pos)
+        )"""
+
+
+def _walk(name: str, tree: str, start: str) -> str:
+    """From ``start(id, g, pos, proof, folded)`` up to the last node of each group."""
+    return f"""
+        {name} AS (
+            SELECT id, g, 0 AS level, pos, proof, folded FROM {start}
+            UNION ALL
+            SELECT w.id, w.g, w.level + 1, w.pos // 3, w.proof || r.before || r.behind, sha256(r.before || w.folded || r.behind)
+            FROM {name} w JOIN {tree}_runs r ON r.g = w.g AND r.level = w.level AND r.pos = w.pos AND r.n > 1
+        )"""
+
+
 ORACLES = {
     "op4_license_scan": f"""
         WITH notices(license, notice) AS (VALUES {_NOTICES}),
@@ -61,4 +105,33 @@ ORACLES = {
         FROM hashed
         WINDOW same AS (PARTITION BY t)
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE changed AS (
+            SELECT *, CASE WHEN {_CRC32} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents
+        ),
+        hashed AS (
+            SELECT doc_id, coalesce('=' || source, '-') AS g, {_leaf("text")} AS h, {_leaf("other")} AS folded FROM changed
+        ),
+        leaves AS (
+            SELECT *, count(*) OVER (PARTITION BY g) AS n, '' AS proof, row_number() OVER () AS id,
+                   row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos
+            FROM hashed
+        ),
+        {_tree("inner_tree", "leaves")},
+        {_walk("inner_walk", "inner_tree", "leaves")},
+        subroots AS (
+            SELECT '' AS g, g AS key, h, level, count(*) OVER () AS n, row_number() OVER (ORDER BY g) - 1 AS pos
+            FROM inner_tree WHERE n = 1
+        ),
+        {_tree("outer_tree", "subroots")},
+        halfway AS (
+            SELECT w.id, s.g, s.pos, w.proof, w.folded, s.h AS subroot
+            FROM inner_walk w JOIN subroots s ON s.key = w.g AND s.level = w.level
+        ),
+        {_walk("outer_walk", "outer_tree", "halfway")},
+        top AS (SELECT level, h AS root FROM outer_tree WHERE n = 1)
+        SELECT l.doc_id, l.h AS leaf, f.subroot, t.root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root,
+               w.folded = t.root AS verified
+        FROM outer_walk w JOIN top t USING (level) JOIN leaves l USING (id) JOIN halfway f USING (id)
+    """,
 }

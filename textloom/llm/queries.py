@@ -12,6 +12,7 @@ from textloom.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    merkle_manifest,
     ngram_join,
     packing,
     suffix_dedup,
@@ -98,10 +99,17 @@ def op10_token_count(spark, sf):
     )
 
 
+def op13_merkle_manifest(spark, sf):
+    """Every document's leaf, roots and proof, and whether the text as tampered with still leads to the root."""
+    proved = merkle_manifest.manifest(_documents(spark, sf), merkle_manifest.without_line_feeds())
+    return merkle_manifest.checked(proved)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_ngram_join, op2_bpe_round_trip, op3_language_id, op4_license_scan, op5_top_k_search,
         op6_packing, op7_exact_dedup, op8_suffix_dedup, op9_url_filter, op10_token_count,
+        op13_merkle_manifest,
     )
 }
