@@ -210,12 +210,14 @@ def brute_top(vectors, k):
     out = []
     for q in whole:
         if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+            products = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q and len(v) == len(whole[q])}
+            # A product beyond a long counts as the nearest long.
+            scored = sorted((-min(max(s, -(2**63)), 2**63 - 1), i) for i, s in products.items())
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e7])
+@pytest.mark.parametrize("scale", [1.0, 1e6, 1e7, 1e18, 1e300])
 def test_top_k(spark, monkeypatch, scale):
     monkeypatch.setattr(topk_search, "CANDIDATES", 64)
     monkeypatch.setattr(topk_search, "QUERIES", 8)

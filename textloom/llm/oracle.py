@@ -56,6 +56,28 @@ def _walk(name: str, tree: str, start: str) -> str:
         )"""
 
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor({scale} * x::DOUBLE))"
+
+
+def _best(rows: str, score: str) -> str:
+    """The 20 best rows for every row whose id 20 divides; ``rows`` are ``(vec_id, v)``."""
+    return f"""
+        WITH used AS ({rows}),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, {score} AS score
+            FROM used q JOIN used c ON q.vec_id % 20 = 0 AND q.vec_id != c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, row_number() OVER best::INT AS rank, vec_id, score
+        FROM scored
+        WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER best <= 20
+    """
+
+
 ORACLES = {
     "op4_license_scan": f"""
         WITH notices(license, notice) AS (VALUES {_NOTICES}),
@@ -134,4 +156,31 @@ ORACLES = {
                w.folded = t.root AS verified
         FROM outer_walk w JOIN top t USING (level) JOIN leaves l USING (id) JOIN halfway f USING (id)
     """,
+    "op5_top_k_search": _best(
+        f"SELECT vec_id, {_whole(64)} AS v FROM embeddings WHERE {_FINITE}", "list_inner_product(q.v, c.v)::BIGINT"
+    ),
+    "op11_block_join": _best(
+        f"SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x != 0)) > 0",
+        "list_inner_product(q.v, c.v)",
+    ),
+    "op12_hard_negatives": f"""
+        WITH used AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_whole(256)} AS v
+            FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+            FROM used a JOIN used c ON a.vec_id % 100 = 0 AND a.vec_id != c.vec_id AND len(a.v) = len(c.v)
+        ),
+        positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER best::INT AS rank, n.vec_id AS negative_id,
+               p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+        WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+        WINDOW best AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+        QUALIFY row_number() OVER best <= 5
+    """,
 }

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from textloom.llm import (
+    block_join,
     bpe,
     exact_dedup,
+    hard_negatives,
     language_id,
     license_scan,
     merkle_manifest,
@@ -99,6 +101,18 @@ def op10_token_count(spark, sf):
     )
 
 
+def op11_block_join(spark, sf):
+    """The 20 nearest vectors of every query vector."""
+    return block_join.nearest(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+def op12_hard_negatives(spark, sf):
+    """Every anchor's positives with their hard negatives, some labels moved on by one."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_merkle_manifest(spark, sf):
     """Every document's leaf, roots and proof, and whether the text as tampered with still leads to the root."""
     proved = merkle_manifest.manifest(_documents(spark, sf), merkle_manifest.without_line_feeds())
@@ -110,6 +124,6 @@ QUERIES = {
     for query in (
         op1_ngram_join, op2_bpe_round_trip, op3_language_id, op4_license_scan, op5_top_k_search,
         op6_packing, op7_exact_dedup, op8_suffix_dedup, op9_url_filter, op10_token_count,
-        op13_merkle_manifest,
+        op11_block_join, op12_hard_negatives, op13_merkle_manifest,
     )
 }

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from textloom.llm.grid import LONG, doubles, floored
+from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
 K = 20
@@ -34,13 +36,7 @@ FOUND = "query_id long, vec_id long, score long"
 def whole_numbers(vectors: DataFrame, scale: float) -> DataFrame:
     """``(vec_id, v)``: each component x as floor(scale * x). Vectors that are null or hold null or
     non-finite components take no part, nor do null ids."""
-    x = F.transform(F.col("embedding"), lambda c: c.cast("double"))
-    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    return (
-        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
-        .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.coalesce(finite, F.lit(False)))
-        .select("vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("double")).alias("v"))
-    )
+    return doubles(vectors).select("vec_id", floored("v", scale).alias("v"))
 
 
 def _pack(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -89,7 +85,7 @@ def meet(
     """The k best candidates of this block for each query: ``q`` is queries x dimensions,
     ``columns`` dimensions x candidates."""
     dims = q.shape[1]
-    if (np.abs(q).max(initial=0) * np.abs(columns).max(initial=0)) * max(dims, 1) >= EXACT:
+    if float(np.abs(q).max(initial=0)) * float(np.abs(columns).max(initial=0)) * max(dims, 1) >= EXACT:
         return _meet_exactly(q_ids, q, c_ids, columns, k)
     q_rest = np.sqrt(np.cumsum((q * q)[:, ::-1], axis=1)[:, ::-1])
     c_rest = np.sqrt(np.cumsum((columns * columns)[::-1], axis=0)[::-1])
@@ -120,13 +116,17 @@ def meet(
 
 
 def _meet_exactly(q_ids, q, c_ids, columns, k):
-    """Components so large that doubles would round: Python's whole numbers."""
+    """Components so large that doubles would round: Python's whole numbers. A score beyond a long
+    counts as the nearest long."""
     found = []
+    low, high = int(LONG.min), int(LONG.max)
     rows = [[int(x) for x in column] for column in columns.T]
     for number, query in zip(q_ids.tolist(), q):
         own = [int(x) for x in query]
         scored = [
-            (-sum(a * b for a, b in zip(own, row)), i) for i, row in zip(c_ids.tolist(), rows) if i != number
+            (-min(max(sum(a * b for a, b in zip(own, row)), low), high), i)
+            for i, row in zip(c_ids.tolist(), rows)
+            if i != number
         ]
         found += [(number, i, -s) for s, i in sorted(scored)[:k]]
     return found
@@ -151,7 +151,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = 64.0)
     the queries, all rows but the query's own are candidates. Components become
     floor(scale * x). Ties go to the smaller id; a query with fewer than k candidates gets
     all of them. Vectors of different lengths do not meet. Ids are unique; a repeated
-    row counts once. Vectors null or with null or non-finite components, and null ids, take no part;
+    row counts once. A score beyond a long counts as the nearest long. Vectors null or with null or non-finite components, and null ids, take no part;
     no query or no candidate gives no rows. Other columns are not looked at.
 
     The number of pairs of blocks is queries x candidates over 256 x 4096: each is one row of
@@ -170,7 +170,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = 64.0)
     per_task = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     numbers = queries.select(F.col("block").alias("q_block"), F.col("dims").alias("q_dims"))
     held = candidates.groupBy("dims").agg(F.collect_list("block").alias("blocks"))
-    pairs = numbers.join(F.broadcast(held), F.col("q_dims") == F.col("dims")).select(
+    held = materialize(held, "block-numbers")
+    held = F.broadcast(held) if fits_broadcast(held) else held
+    pairs = numbers.join(held, F.col("q_dims") == F.col("dims")).select(
         "q_block", F.explode("blocks").alias("block")
     )
     met = (
