@@ -91,15 +91,13 @@ def _digests(level: int) -> list[str]:
     return [f"{name}.h" if level == 0 else name for name in _columns(level)]
 
 
-TOP = _columns(LEVELS)[0]
-
-
 def spread(nodes: DataFrame) -> DataFrame:
-    """One row for the nodes ``(g, n, pos, node)`` below each ancestor: ``(g, n, up)``, a column of
-    each slot, and on each level above the digests of the runs.
+    """One row for the nodes ``(g, n, pos, node)`` below each ancestor: ``(g, n, up)``, the ``nodes`` of all
+    slots, null where there is none, the digests on each level from the lowest, and the ``top`` one.
 
     Of ``node``, a structure, ``h`` is the digest. A group that has come down to one node
-    is not hashed again: it goes up as it is.
+    is not hashed again: it goes up as it is. Slots are columns while they are hashed, and arrays in
+    the row that is kept: a file of a hundred columns takes a hundred buffers.
     """
     width = FANOUT**LEVELS
     slots = [F.expr(f"max(CASE WHEN pos % {width} = {slot} THEN node END) AS {name}") for slot, name in enumerate(_columns(0))]
@@ -115,7 +113,8 @@ def spread(nodes: DataFrame) -> DataFrame:
                 for name, run in zip(_columns(level + 1), runs)
             ],
         )
-    return row
+    levels = [f"array({', '.join(_digests(level))}) AS level{level}" for level in range(1, LEVELS)]
+    return row.selectExpr("g", "n", "up", f"array({', '.join(_columns(0))}) AS nodes", *levels, f"{_columns(LEVELS)[0]} AS top")
 
 
 def grow(nodes: DataFrame, label: str) -> list[DataFrame]:
@@ -126,7 +125,7 @@ def grow(nodes: DataFrame, label: str) -> list[DataFrame]:
     while not grown or most > 1:
         grown.append(materialize(spread(nodes), label))
         most = math.ceil(most / FANOUT**LEVELS)
-        nodes = grown[-1].selectExpr("g", f"{_size(LEVELS)} AS n", "up AS pos", f"struct({TOP} AS h) AS node")
+        nodes = grown[-1].selectExpr("g", f"{_size(LEVELS)} AS n", "up AS pos", "struct(top AS h) AS node")
     return grown
 
 
@@ -148,9 +147,7 @@ def descend(grown: list[DataFrame], tops: DataFrame) -> DataFrame:
     """
     carried = [name for name in tops.columns if name not in ("g", "pos", "proof")]
     for row in grown[::-1]:
-        levels = [f"array({', '.join(_digests(level))}) AS level{level}" for level in range(LEVELS)]
-        held = row.selectExpr("g", "n", "up", *levels, f"array({', '.join(_columns(0))}) AS nodes")
-        met = held.join(tops.withColumnRenamed("pos", "up"), ["g", "up"])
+        met = row.selectExpr("*", "nodes.h AS level0").drop("top").join(tops.withColumnRenamed("pos", "up"), ["g", "up"])
         slots = met.selectExpr("*", "posexplode(nodes) AS (slot, node)").where("node IS NOT NULL")
         steps = f"array_compact(array({', '.join(_step(level) for level in range(LEVELS))}))"
         below = slots.selectExpr(
@@ -171,11 +168,11 @@ def prove(leaves: DataFrame, order: list[str]) -> DataFrame:
     names = [name for name in leaves.columns if name != "g"]
     nodes = seated(leaves, order).select("g", "n", "pos", F.struct(*names).alias("node"))
     below = grow(nodes, "group-trees")
-    subroots = below[-1].select(F.lit("").alias("g"), F.col("g").alias("key"), F.col(TOP).alias("h"))
+    subroots = below[-1].select(F.lit("").alias("g"), F.col("g").alias("key"), F.col("top").alias("h"))
     groups = seated(materialize(subroots, "subroots"), ["key"])
     above = grow(groups.select("g", "n", "pos", F.struct("h", "key").alias("node")), "top-tree")
     top = above[-1].select(
-        "g", F.col("up").alias("pos"), F.array().cast(_STEPS).alias("proof"), F.col(TOP).alias("root")
+        "g", F.col("up").alias("pos"), F.array().cast(_STEPS).alias("proof"), F.col("top").alias("root")
     )
     tops = descend(above, top).select(
         F.col("node.key").alias("g"), F.lit(0).cast("long").alias("pos"), "proof", F.col("node.h").alias("subroot"), "root"
