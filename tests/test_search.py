@@ -119,6 +119,43 @@ def test_boolean_batch(spark, corpus, rows_of):
         ]
 
 
+def test_boolean_batch_of_any_ids(spark, rows_of):
+    """Negative ids, ids at both ends of a long, on either side of a word, repeated and null."""
+    ids = [-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65, 2**40 + 7, 5, 5, None]
+    dice = random.Random(7)
+    held = [(i, {t for t in "abcd" if dice.random() < 0.6}) for i in ids]
+    corpus = spark.createDataFrame([(i, " ".join(sorted(ts))) for i, ts in held], "doc_id bigint, text string")
+    postings = spark.createDataFrame([(i, t) for i, ts in held for t in sorted(ts)], "doc_id bigint, term string")
+    queries = {
+        1: [[("a", False), ("b", True)]], 2: [[("a", True)]], 3: [[("a", False), ("b", False), ("c", False)], [("d", True)]],
+        4: [[("a", True), ("b", True), ("zz", True)], [("c", False), ("c", True)]], 5: [[("zz", False)]], 6: [[(None, None)]],
+    }
+    clauses = spark.createDataFrame(
+        [(q, n, t, neg) for q, cs in queries.items() for n, c in enumerate(cs) for t, neg in c],
+        "qid bigint, clause int, term string, negated boolean",
+    )
+    terms = {}
+    for i, ts in held:
+        terms.setdefault(i, set()).update(ts)
+    expected = sorted(
+        (q, i)
+        for q, cs in queries.items()
+        for i, ts in terms.items()
+        if i is not None and any(all(t is None or (t in ts) != neg for t, neg in c) for c in cs)
+    )
+    for limit in (1 << 20, 0):
+        assert rows_of(boolean.boolean_search_batch(corpus, postings, clauses, limit), "qid", "doc_id") == expected
+
+
+def test_bitmaps_pack_before_the_shuffle(spark):
+    """A term of all documents moves a word for 64 of them."""
+    postings = spark.range(10_000).selectExpr("id AS doc_id", "'all' AS term")
+    words = boolean.bitmaps(postings, "term")
+    assert words.count() == 157
+    assert words.agg(F.sum(F.bit_count("bits"))).first()[0] == 10_000
+    assert boolean.members(words).agg(F.count_distinct("doc_id"), F.max("doc_id")).first()[:] == (10_000, 9_999)
+
+
 @pytest.fixture(scope="module")
 def counts(spark):
     queries = spark.createDataFrame([(1,), (2,), (3,), (4,)], "qid bigint")
