@@ -25,6 +25,12 @@ EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+\z"
 # A sentence ends with . ! or ?, any closing marks, and white space.
 SENTENCE_END = rf"([.!?][\"')\]}}]*)[{SPACE}]+"
 MARK = "\u0001"
+# The same place, its white space kept with what stands before it.
+SPACED_END = rf"([.!?][\"')\]}}]*[{SPACE}]+)"
+# A piece between white space: its word, and whether just one period ends it.
+CORE = r"^[^\p{L}\p{N}]*([\p{L}\p{N}](?:.*[\p{L}\p{N}])?)"
+DOTTED = r"[\p{L}\p{N}]\.[\"')\]}]*\z"
+LAST_PIECE = rf"([^{SPACE}]+)[{SPACE}]*\z"
 
 # Where a Penn-Treebank tokenizer separates tokens, in order of application.
 FINAL_PERIOD = rf"([^.])\.([\"')\]}}>»”’]*)([{SPACE}]+|\z)"
@@ -112,6 +118,18 @@ def split_sentences(text: Column | str) -> Column:
     return F.filter(joined, lambda sentence: sentence != "")
 
 
+def spaced_pieces(text: Column | str) -> Column:
+    """The text cut behind every mark that may end a sentence and its white space; joined again,
+    the pieces are the text without the white space at its end."""
+    body = F.regexp_replace(_col(text), rf"[{SPACE}]+\z", "")
+    return F.split(F.regexp_replace(body, SPACED_END, "$1" + MARK), MARK)
+
+
+def word_type(piece: Column) -> Column:
+    """The lower-cased word within a piece between white space; empty where it holds none."""
+    return F.regexp_extract(F.lower(piece), CORE, 1)
+
+
 def ngrams(words: Column | str, n: int = 2) -> Column:
     """Every run of ``n`` successive words, joined by one space."""
     return bind(

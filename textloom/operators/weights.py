@@ -37,11 +37,16 @@ def tfidf_log10(index: Index) -> DataFrame:
 
 
 def tfidf_arrival(
-    corpus: DataFrame, tokens: Column, rows_per_block: int = ROWS_PER_BLOCK
+    corpus: DataFrame,
+    tokens: Column,
+    rows_per_block: int = ROWS_PER_BLOCK,
+    seen: DataFrame | None = None,
+    n_seen: int = 0,
 ) -> DataFrame:
     """tf * log10(N / df), N and df counting only the documents that came no later.
 
-    Documents arrive by ascending ``doc_id``. Both running counts are two-level.
+    Documents arrive by ascending ``doc_id``, after ``n_seen`` others of which ``seen(term, df)`` are
+    the document frequencies. Both running counts are two-level.
     """
     placed = running_position(
         with_blocks(corpus.select("doc_id"), "doc_id", rows_per_block), [], "doc_id", "n"
@@ -53,6 +58,11 @@ def tfidf_arrival(
     counts = materialize(corpus.select("doc_id", F.inline(term_counts(tokens))), "arrived-terms")
     arrived = counts.join(placed, "doc_id").select("doc_id", "n", "_block", "term", "tf")
     counted = running_position(materialize(arrived, "arrivals"), ["term"], "doc_id", "df")
+    if seen is not None:
+        before = seen.select("term", F.col("df").alias("_before"))
+        counted = lookup_join(counted, before, "term").withColumns(
+            {"df": F.col("df") + F.coalesce("_before", F.lit(0)), "n": F.col("n") + n_seen}
+        )
     return counted.select(
         "doc_id",
         "term",

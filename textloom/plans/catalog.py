@@ -17,11 +17,14 @@ from textloom.functions.words import (
     SUMMARY_STOP_WORDS,
 )
 from textloom.operators import (
+    blockmax,
     boolean,
+    boundaries,
     evaluate,
     index,
     language,
     search,
+    segments,
     summarize,
     weights,
 )
@@ -132,6 +135,24 @@ def stream_ingest(spark, sf):
     return ingest.ingested_frequency(spark, counts)
 
 
+def tfidf_arrival_stream(spark, sf):
+    """Documents that arrive in three batches, weighed by what was known on their arrival."""
+    arriving, weighed, checkpoint = (scratch_path(spark, name) for name in ("arriving", "weighed", "weighing-log"))
+    _in_three(spark, sf, arriving)
+    documents = ingest.document_stream(spark, arriving, files_per_batch=1)
+    ingest.ingest_weights(documents, weighed, checkpoint, _content_words())
+    return _rounded(ingest.ingested_weights(spark, weighed), "w")
+
+
+def _in_three(spark: SparkSession, sf: str, path: str) -> None:
+    """The documents as three files, one after the other, by ranges of ids."""
+    corpus = spark.read.schema(docs.DOCUMENTS).parquet(f"{sf}/documents.parquet")
+    first, last = corpus.agg(F.min("doc_id"), F.max("doc_id")).first()
+    third = F.least(F.floor((F.col("doc_id") - first) * 3 / (last - first + 1)), F.lit(2))
+    for part in range(3):
+        corpus.where(third == part).coalesce(1).write.mode("append").parquet(path)
+
+
 # Text functions
 
 
@@ -159,6 +180,17 @@ def split_sentences(spark, sf):
     return summarize.sentences(_documents(spark, sf))
 
 
+def abbreviations(spark, sf):
+    """Words that the corpus shows to be abbreviations."""
+    return boundaries.abbreviations(_documents(spark, sf))
+
+
+def split_sentences_trained(spark, sf):
+    """Sentences that do not end behind an abbreviation of the same corpus."""
+    corpus = _documents(spark, sf)
+    return boundaries.trained_sentences(corpus, boundaries.abbreviations(corpus))
+
+
 def ngrams(spark, sf):
     words = tx.remove_stop_words(tx.split_words("text"), SUMMARY_STOP_WORDS)
     return _words_of(spark, sf, tx.ngrams(words, 2), "|")
@@ -187,6 +219,19 @@ def inverted_index(spark, sf):
     )
 
 
+def segmented_index(spark, sf):
+    """Document frequencies after two appends, deletes, documents that come back, and a merge."""
+    corpus, path = _documents(spark, sf), scratch_path(spark, "segmented-index")
+    odd = F.col("doc_id") % 2 != 0
+    segments.append(spark, path, corpus.where(~odd), "even")
+    segments.append(spark, path, corpus.where(odd), "odd")
+    segments.delete(spark, path, corpus.where("doc_id % 7 = 0").select("doc_id"), "sevenths")
+    segments.append(spark, path, corpus.where("doc_id % 5 = 0"), "fifths")
+    segments.merge(spark, path, "merge")
+    built = segments.load(spark, path)
+    return built.stats.select("term", "df", F.lit(built.n_docs).cast("long").alias("n_docs"))
+
+
 def term_lookup(spark, sf):
     corpus = _documents(spark, sf)
     probes = corpus.select(
@@ -241,6 +286,11 @@ def search_top_k(spark, sf):
     return search.search_top_k(_index(spark, sf), _queries(spark, sf), TOP_K)
 
 
+def search_blocks(spark, sf):
+    """The rows of search_top_k, found by blocks of postings that may be skipped."""
+    return blockmax.search_blocks(blockmax.in_blocks(_index(spark, sf)), _queries(spark, sf), TOP_K)
+
+
 def search_results(spark, sf):
     return search.search_results(_index(spark, sf), _documents(spark, sf), QUERY)
 
@@ -363,13 +413,13 @@ QUERIES = {
     query.__name__: query
     for query in (
         corpus_scan, document_listing, corpus_profile, page_text, page_documents,
-        language_report_sink, summary_report_sink, stream_ingest,
+        language_report_sink, summary_report_sink, stream_ingest, tfidf_arrival_stream,
         normalize_letters, tokenize_words, tokenize_terms, tokenize_alnum,
-        remove_stop_words, split_sentences, ngrams, restore_case,
-        term_frequency, doc_frequency, inverted_index, term_lookup,
+        remove_stop_words, split_sentences, abbreviations, split_sentences_trained, ngrams, restore_case,
+        term_frequency, doc_frequency, inverted_index, segmented_index, term_lookup,
         tfidf_log10, tfidf_arrival, tfidf_log10_smooth, tfidf_l2, document_terms,
         tfidf_sentence, tfidf_ngram,
-        ranked_search, search_top_k, search_results, boolean_search, boolean_search_batch,
+        ranked_search, search_top_k, search_blocks, search_results, boolean_search, boolean_search_batch,
         confusion_counts, query_metrics, macro_average, micro_average,
         language_profiles, language_frequent_words, language_short_words,
         language_char_model, language_report,

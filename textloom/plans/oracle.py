@@ -15,6 +15,7 @@ from textloom.functions.words import (
     RUSSIAN_STOP_WORDS,
     SUMMARY_STOP_WORDS,
 )
+from textloom.operators.boundaries import LEAST, SCORE_DIGITS, THRESHOLD, WITH_PERIOD
 from textloom.operators.index import IDS_PER_BLOCK
 from textloom.operators.language import SHORT_WORD
 from textloom.operators.summarize import KEYWORDS, SUMMARY_SENTENCES, WEIGHT_DIGITS
@@ -77,6 +78,38 @@ SENTENCES = (
 )
 
 
+# Abbreviations, and sentences that go on behind them
+_share = f"least(greatest(sum(dotted) / sum(dotted + plain), {LEAST}), {1 - LEAST})"
+_letters = "length(replace(word, '.', ''))"
+ABBREVIATIONS = f"""
+    ends AS (SELECT regexp_extract(lower(piece), {lit(tx.CORE)}, 1) AS word, regexp_matches(piece, {lit(tx.DOTTED)}) AS dot
+             FROM (SELECT unnest({PIECES}) AS piece FROM documents)),
+    counts AS (SELECT word, count(*) FILTER (dot) AS dotted, count(*) FILTER (NOT dot) AS plain
+               FROM ends WHERE word <> '' GROUP BY word),
+    share AS (SELECT {_share} AS p FROM counts),
+    scored AS (
+        SELECT word, dotted, plain, round(
+                   2 * (dotted * ln({WITH_PERIOD} / p) + plain * ln((1 - {WITH_PERIOD}) / (1 - p)))
+                   * exp(-{_letters}) * (1 + length(word) - {_letters}) / pow({_letters}::DOUBLE, plain), {SCORE_DIGITS}) AS score
+        FROM counts, share WHERE dotted > 0 AND regexp_matches(word, '\\p{{L}}')),
+    known AS (SELECT * FROM scored WHERE score >= {THRESHOLD})"""
+_pieces = f"string_split({replace(_body, tx.SPACED_END, r"'\1' || chr(1)")}, chr(1))"
+_final = f"regexp_extract(piece, {lit(tx.LAST_PIECE)}, 1)"
+TRAINED = f"""
+    {ABBREVIATIONS},
+    pieces AS (SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS place
+               FROM (SELECT doc_id, {_pieces} AS ps FROM documents)),
+    marked AS (SELECT *, regexp_matches({_final}, {lit(tx.DOTTED)})
+                      AND regexp_extract(lower({_final}), {lit(tx.CORE)}, 1) IN (SELECT word FROM known) AS goes_on
+               FROM pieces),
+    numbered AS (SELECT *, place - count(*) FILTER (goes_on) OVER (
+                     PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS i
+                 FROM marked),
+    trained AS (SELECT doc_id, (i - 1)::INTEGER AS i,
+                       replace({replace("string_agg(piece, '' ORDER BY place)", rf"[{tx.SPACE}]+\z", "''")}, chr(10), '') AS sentence
+                FROM numbered GROUP BY doc_id, i)"""
+
+
 def words_of(words: str, sep: str = " ") -> str:
     return f"SELECT doc_id, coalesce(array_to_string({words}, {lit(sep)}), '') AS words FROM documents"
 
@@ -386,6 +419,8 @@ ORACLES = {
     "split_sentences": f"""
         SELECT doc_id, unnest(ss) AS sentence, (generate_subscripts(ss, 1) - 1)::INTEGER AS i
         FROM (SELECT doc_id, {SENTENCES} AS ss FROM documents)""",
+    "abbreviations": f"WITH {ABBREVIATIONS} SELECT word, dotted, plain, score FROM known",
+    "split_sentences_trained": f"WITH {TRAINED} SELECT doc_id, i, sentence FROM trained WHERE sentence <> ''",
     "ngrams": f"""
         SELECT doc_id, coalesce(array_to_string({BIGRAMS}, '|'), '') AS words
         FROM (SELECT doc_id, {SIGNIFICANT} AS ws FROM documents)""",
@@ -397,6 +432,10 @@ ORACLES = {
         SELECT shown AS term, doc_id // {IDS_PER_BLOCK} AS block,
                string_agg(doc_id, ' ' ORDER BY doc_id) AS doc_ids
         FROM (SELECT DISTINCT doc_id, shown FROM analysed) GROUP BY ALL""",
+    "segmented_index": f"""
+        WITH living AS (SELECT * FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 5 = 0),
+        {postings(TERMS).replace("FROM documents", "FROM living")}
+        SELECT term, df, n AS n_docs FROM s, n""",
     "term_lookup": f"""
         WITH {ANALYSED},
         probes AS (SELECT doc_id, unnest([{', '.join(map(lit, catalog.PROBE_WORDS))}]) AS word
@@ -495,3 +534,6 @@ ORACLES = {
         SELECT doc_id, coalesce(array_to_string(summary, chr(10)), '') AS summary, keywords
         FROM analysis""",
 }
+# The same rows by other ways.
+ORACLES["search_blocks"] = ORACLES["search_top_k"]
+ORACLES["tfidf_arrival_stream"] = ORACLES["tfidf_arrival"]

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import tokenize_terms
 from textloom.operators.index import doc_frequency
+from textloom.operators.weights import tfidf_arrival
+from textloom.session import materialize
 from textloom.sources.documents import DOCUMENTS
 
-TERMS, SIZES = "terms", "sizes"
+TERMS, SIZES, WEIGHTS = "terms", "sizes", "weights"
+WEIGHED = "doc_id long, term string, w double"
 COUNTS = {TERMS: "term string, df long", SIZES: "n_docs long"}
 UPTO = "upto long"
 
@@ -54,6 +57,48 @@ def ingest(
     )
 
 
+def ingest_weights(
+    documents: DataFrame, counts_path: str, checkpoint: str, tokens: Column | None = None
+) -> None:
+    """Weigh all documents that have arrived by what was known on their arrival: tf * log10(N / df),
+    N and df counting the documents that came no later.
+
+    Batches arrive in order, the documents of a batch by ascending ``doc_id``. A batch starts from the
+    sums over the batches before it, which outlive a run, and is written with its own
+    statistics under its number: repeated, it starts from the same sums and replaces itself. ``compact``
+    and the reads of statistics work here as they do after ``ingest``.
+    """
+    found = tokenize_terms("text") if tokens is None else tokens
+
+    def weigh_batch(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = materialize(batch.select("doc_id", "text"), "arrived")
+        upto = _compacted(spark, counts_path)
+        earlier = F.col("batch") < number
+        seen = _frequency(_counts(spark, counts_path, TERMS, upto).where(earlier))
+        n_seen = _size(_counts(spark, counts_path, SIZES, upto).where(earlier)).first()["n_docs"]
+        tables = {
+            WEIGHTS: tfidf_arrival(rows, found, seen=materialize(seen, "seen-terms"), n_seen=n_seen),
+            TERMS: doc_frequency(rows, found),
+            SIZES: rows.agg(F.count(F.lit(1)).alias("n_docs")),
+        }
+        for kind, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{counts_path}/{kind}/batch={number}")
+
+    (
+        documents.writeStream.foreachBatch(weigh_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def ingested_weights(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``(doc_id, term, w)`` of all batches so far."""
+    return _table(spark, WEIGHED, f"{counts_path}/{WEIGHTS}").select("doc_id", "term", "w")
+
+
 def _table(spark: SparkSession, schema: str, path: str) -> DataFrame:
     """The table at ``path``, empty where nothing was written yet."""
     try:
