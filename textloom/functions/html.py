@@ -23,6 +23,12 @@ MARKUP = (
 # Names that are references without a semicolon too; the longest that fits is meant.
 BARE_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
 
+# Fixed value: names that pages use most. A map is searched from its start, so these are looked up first.
+COMMON_NAMES = (
+    "amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "reg;", "ndash;", "mdash;", "hellip;", "laquo;", "raquo;",
+    "lsquo;", "rsquo;", "ldquo;", "rdquo;", "bull;", "middot;", "euro;", "auml;", "ouml;", "uuml;", "szlig;", "eacute;", "egrave;",
+)
+
 
 def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
@@ -34,6 +40,7 @@ def _references(text: Column) -> Column:
     A number that is no character, and a name that HTML does not know, stays as it is.
     """
     names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    common = F.from_json(F.lit(json.dumps({name: html5[name] for name in COMMON_NAMES})), "map<string,string>")
 
     def resolved(part: Column) -> Column:
         number = F.regexp_extract(part, "^#0*([0-9]{1,7});", 1).try_cast("long")
@@ -43,11 +50,14 @@ def _references(text: Column) -> Column:
         valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
         name = F.regexp_extract(part, "^[a-zA-Z][a-zA-Z0-9]*;", 0)
         bare = F.regexp_extract(part, f"^(?:{'|'.join(BARE_NAMES)})", 0)
-        named = F.try_element_at(names, name)
-        return (
-            F.when(part.startswith("#"), F.when(valid, F.concat(_code_point(number), F.regexp_replace(part, "^[^;]*;", ""))))
-            .when(named.isNotNull(), F.concat(named, F.substr(part, F.length(name) + 1)))
-            .when(bare != "", F.concat(F.try_element_at(names, bare), F.substr(part, F.length(bare) + 1)))
+        named = F.coalesce(F.try_element_at(common, name), F.try_element_at(names, name))
+        numbered = F.when(valid, F.concat(_code_point(number), F.regexp_replace(part, "^[^;]*;", "")))
+        # What is null is not what is meant; each is evaluated once, and only if those before are null.
+        return F.when(part.startswith("#"), numbered).otherwise(
+            F.coalesce(
+                F.concat(named, F.substr(part, F.length(name) + 1)),
+                F.concat(F.try_element_at(names, F.nullif(bare, F.lit(""))), F.substr(part, F.length(bare) + 1)),
+            )
         )
 
     def piece(part: Column, i: Column) -> Column:

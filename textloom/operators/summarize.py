@@ -30,9 +30,14 @@ WEIGHT_DIGITS = 9
 
 
 def sentence_arrays(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """``(doc_id, sentences)``, partitioned by document."""
+    """``(doc_id, sentences)``, partitioned by document; null ids are no documents.
+
+    Joins by document would leave them out on one side only, below the shuffle: without them
+    on both, plans that use the texts several times shuffle them once.
+    """
     return (
         corpus.select("doc_id", text)
+        .where(F.col("doc_id").isNotNull())
         .repartition("doc_id")
         .select("doc_id", split_sentences(text).alias("sentences"))
     )

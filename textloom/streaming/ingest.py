@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import tokenize_terms
-from textloom.operators.index import doc_frequency
 from textloom.operators.weights import tfidf_arrival
 from textloom.session import materialize
 from textloom.sources.documents import DOCUMENTS
 
-TERMS, SIZES, WEIGHTS = "terms", "sizes", "weights"
+TERMS, WEIGHTS = "terms", "weights"
 WEIGHED = "doc_id long, term string, w double"
-COUNTS = {TERMS: "term string, df long", SIZES: "n_docs long"}
+# The number of documents is the frequency of the null term, which every document holds.
+COUNTS = "term string, df long"
 UPTO = "upto long"
 
 
@@ -34,6 +34,12 @@ def document_stream(
     return reader.parquet(folder).select("doc_id", "text")
 
 
+def counted(documents: DataFrame, tokens: Column) -> DataFrame:
+    """``(term, df)`` of a batch and, for a null term, its number of documents: one pass over the texts."""
+    held = F.concat(F.array_distinct(tokens), F.array(F.lit(None).cast("string")))
+    return documents.select(F.explode(held).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def ingest(
     documents: DataFrame, counts_path: str, checkpoint: str, tokens: Column | None = None
 ) -> None:
@@ -41,12 +47,7 @@ def ingest(
     found = tokenize_terms("text") if tokens is None else tokens
 
     def count_batch(batch: DataFrame, number: int) -> None:
-        tables = {
-            TERMS: doc_frequency(batch, found),
-            SIZES: batch.agg(F.count(F.lit(1)).alias("n_docs")),
-        }
-        for kind, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{counts_path}/{kind}/batch={number}")
+        counted(batch, found).write.mode("overwrite").parquet(f"{counts_path}/{TERMS}/batch={number}")
 
     (
         documents.writeStream.foreachBatch(count_batch)
@@ -74,13 +75,12 @@ def ingest_weights(
         spark = batch.sparkSession
         rows = materialize(batch.select("doc_id", "text"), "arrived")
         upto = _compacted(spark, counts_path)
-        earlier = F.col("batch") < number
-        seen = _frequency(_counts(spark, counts_path, TERMS, upto).where(earlier))
-        n_seen = _size(_counts(spark, counts_path, SIZES, upto).where(earlier)).first()["n_docs"]
+        earlier = _counts(spark, counts_path, upto).where(F.col("batch") < number)
+        seen = materialize(_summed(earlier), "seen-terms")
+        n_seen = _size(seen).first()["n_docs"]
         tables = {
-            WEIGHTS: tfidf_arrival(rows, found, seen=materialize(seen, "seen-terms"), n_seen=n_seen),
-            TERMS: doc_frequency(rows, found),
-            SIZES: rows.agg(F.count(F.lit(1)).alias("n_docs")),
+            WEIGHTS: tfidf_arrival(rows, found, seen=seen.where("term IS NOT NULL"), n_seen=n_seen),
+            TERMS: counted(rows, found),
         }
         for kind, table in tables.items():
             table.write.mode("overwrite").parquet(f"{counts_path}/{kind}/batch={number}")
@@ -115,32 +115,33 @@ def _compacted(spark: SparkSession, counts_path: str) -> int:
     return -1 if last is None else last
 
 
-def _counts(spark: SparkSession, counts_path: str, kind: str, upto: int) -> DataFrame:
+def _counts(spark: SparkSession, counts_path: str, upto: int) -> DataFrame:
     """What was added up to batch ``upto``, and the batches after it."""
-    later = _table(spark, f"{COUNTS[kind]}, batch long", f"{counts_path}/{kind}")
+    later = _table(spark, f"{COUNTS}, batch long", f"{counts_path}/{TERMS}")
     later = later.where(F.col("batch") > upto)
     if upto < 0:
         return later
-    merged = spark.read.schema(COUNTS[kind]).parquet(f"{counts_path}/merged/upto={upto}/{kind}")
+    merged = spark.read.schema(COUNTS).parquet(f"{counts_path}/merged/upto={upto}")
     return later.unionByName(merged.withColumn("batch", F.lit(upto).cast("long")))
 
 
-def _frequency(counts: DataFrame) -> DataFrame:
+def _summed(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def _size(counts: DataFrame) -> DataFrame:
-    return counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"))
+    return counts.where("term IS NULL").agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n_docs"))
 
 
 def ingested_frequency(spark: SparkSession, counts_path: str) -> DataFrame:
     """``(term, df)`` over all batches so far."""
-    return _frequency(_counts(spark, counts_path, TERMS, _compacted(spark, counts_path)))
+    counts = _counts(spark, counts_path, _compacted(spark, counts_path))
+    return _summed(counts.where("term IS NOT NULL"))
 
 
 def ingested_documents(spark: SparkSession, counts_path: str) -> DataFrame:
     """``(n_docs)`` over all batches so far: the N that weights need besides ``df``."""
-    return _size(_counts(spark, counts_path, SIZES, _compacted(spark, counts_path)))
+    return _size(_counts(spark, counts_path, _compacted(spark, counts_path)))
 
 
 def compact(spark: SparkSession, counts_path: str) -> int:
@@ -151,14 +152,13 @@ def compact(spark: SparkSession, counts_path: str) -> int:
     fails, they go on with the batches, and the next call writes the sums again.
     """
     before = _compacted(spark, counts_path)
-    batches = _table(spark, f"{COUNTS[SIZES]}, batch long", f"{counts_path}/{SIZES}")
+    batches = _table(spark, f"{COUNTS}, batch long", f"{counts_path}/{TERMS}")
     last = batches.agg(F.max("batch")).first()[0]
     if last is None or last - 1 <= before:
         return before
     upto = last - 1
-    for kind, added in ((TERMS, _frequency), (SIZES, _size)):
-        done = _counts(spark, counts_path, kind, before).where(F.col("batch") <= upto)
-        added(done).write.mode("overwrite").parquet(f"{counts_path}/merged/upto={upto}/{kind}")
+    done = _counts(spark, counts_path, before).where(F.col("batch") <= upto)
+    _summed(done).write.mode("overwrite").parquet(f"{counts_path}/merged/upto={upto}")
     spark.range(1).select(F.lit(upto).cast("long").alias("upto")).coalesce(1).write.mode(
         "append"
     ).parquet(f"{counts_path}/compacted")
