@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.pretokens import gives_back
+
 TRAINING_CHARS = 40_000  # of labelled text per language
 TRAINING_PIECE = 1_000  # at most so much of it from one document
 MAX_LANGUAGES = 200
@@ -255,9 +257,10 @@ def parser(training: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(dict(training))
 
 
-TEXTS_AT_ONCE = 1 << 23  # characters
+TEXTS_AT_ONCE = 1 << 21  # characters
 
 
+@gives_back
 def _predict(
     batches: Iterator[pa.RecordBatch], training: tuple[tuple[str, str], ...]
 ) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 import regex
 
 # The standard engine is faster. Below U+0250 its classes differ from the Unicode ones on four
@@ -37,6 +40,22 @@ def few_collections() -> None:
     gc.set_threshold(1 << 20)
 
 
+def gives_back(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """The task ``work``; when it has ended, memory it no longer holds goes back to the system. A worker
+    lives on for the tasks of later stages, next to workers that need the memory."""
+
+    @wraps(work)
+    def run(*given, **named):
+        yield from work(*given, **named)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 class Memo(dict):
     """Values worked out once per key. When ``bound`` entries are held it starts anew, so
     a vocabulary that grows with the corpus never fills a worker's memory."""
