@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from textloom.llm.exact_dedup import placed
+from textloom.llm.pretokens import gives_back
 from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
@@ -53,10 +55,11 @@ _SORTED = (
 )
 
 
-def _raw(docs: DataFrame) -> DataFrame:
+def _raw(docs: DataFrame, *kept: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("raw"),
+        *kept,
     )
 
 
@@ -170,6 +173,7 @@ def _items(batch: pa.RecordBatch, i: int, last: int) -> tuple[np.ndarray, np.nda
     return place[fit], low[fit], np.minimum(high[fit], last)
 
 
+@gives_back
 def _suffixes(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterator[pa.RecordBatch]:
     """The blocks of all starts, or of those that are still open, with the keys they are sorted by."""
     names = ["lead", "rest", "context", "doc_id", "place", "low", "high"]
@@ -228,6 +232,7 @@ def _either_side(equal: np.ndarray) -> np.ndarray:
     return both
 
 
+@gives_back
 def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort one bucket; what is repeated or open comes out, and so do its first and last row."""
     held = [batch for batch in batches if batch.num_rows]
@@ -315,6 +320,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         source, width = _with(raw, items), width // FINER or 1
 
 
+@gives_back
 def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Repeated starts of each document as the runs of bytes that their strings cover."""
     kind = pa.list_(pa.struct([("low", pa.int64()), ("end", pa.int64())]))
@@ -331,6 +337,7 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "runs"])
 
 
+@gives_back
 def _cut(batches: Iterator[pa.RecordBatch], length: int, text_out: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, gone, runs, digests, kept = [], [], [], [], []
@@ -344,7 +351,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, text_out: bool) -> Iter
             digests.append(hashlib.sha256(rest).hexdigest())
             kept.append(rest.decode("utf-8", "ignore") if text_out else "")
         columns = [pa.array(c, pa.int64()) for c in (sizes, gone, runs)]
-        columns = [batch.column("doc_id"), *columns, pa.array(digests, pa.string())]
+        columns = [batch.column("id"), *columns, pa.array(digests, pa.string())]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         if text_out:
             columns.append(pa.array(kept, pa.string()))
@@ -359,13 +366,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
 
     Every byte is removed that lies in a string of ``length`` bytes which also starts
     anywhere else in the rows, as they came in. Null texts are empty; texts under ``length`` bytes
-    lose nothing. A row that repeats another one is a copy like any other: both lose all. Ids
-    name one text each; rows with a null id take no part and lose nothing. No rows give none;
-    other columns are not looked at.
+    lose nothing. A row that repeats another one is a copy like any other: both lose all. Rows are
+    told apart by the numbers of ``placed``, so an id may have several texts, and a null id takes
+    part as any other. No rows give none; other columns are not looked at.
     """
+    rows = placed(docs.select("doc_id", "text"), "_place")
+    docs = rows.select(F.col("_place").alias("doc_id"), "text", F.col("doc_id").cast("long").alias("id"))
     starts = _gathered(repeated_starts(docs, length), "starts", "low", "high")
     runs = starts.mapInArrow(partial(_runs, length=length), "doc_id long, runs array<struct<low:bigint,end:bigint>>")
     work = partial(_cut, length=length, text_out=with_text)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    rows = _with(_raw(docs), materialize(runs, "removed-runs"), "left").select("doc_id", "raw", "runs")
+    texts = _raw(docs, "id")
+    rows = _with(texts, materialize(runs, "removed-runs"), "left").select("id", "raw", "runs")
     return rows.mapInArrow(work, schema + (", kept string" if with_text else ""))
