@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from textloom.llm import exact_dedup, ngram_join, suffix_dedup
@@ -133,6 +134,39 @@ def test_near_duplicates_odd_rows(spark):
     assert ngram_join.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
+def test_bitmaps_differ_by_no_more_than_sets():
+    draw = np.random.default_rng(1)
+    for size in (1, 5, 60, 3000):
+        for _ in range(20):
+            common = draw.integers(0, 2**63, size).astype(np.uint64)
+            x, y = (draw.integers(0, 2**63, draw.integers(0, size + 1)).astype(np.uint64) for _ in range(2))
+            x, y = np.unique(np.concatenate([common, x])), np.unique(np.concatenate([common, y]))
+            unlike = int(np.bitwise_count(ngram_join.bitmap(x) ^ ngram_join.bitmap(y)).sum())
+            assert unlike <= len(np.setxor1d(x, y))
+
+
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Short documents around one passage: the pairs that come out are those that link."""
+    draw = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(24))
+    rows = [(i, passage + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.randint(14, 24)))) for i in range(800)]
+    rows += [(1000 + i, text + " tail") for i, text in rows[:40]]
+    made = []
+    cross = ngram_join.cross_pairs
+
+    def counted(mixed, percent):
+        pairs = cross(mixed, percent)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "cross_pairs", counted)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    found = {row["doc_id"]: row["component_id"] for row in ngram_join.near_duplicates(frame(spark, rows)).collect()}
+    assert found == {i: i % 1000 for i, _ in rows}
+    # There are 350,000 pairs around the passage.
+    assert made[0] < 800
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100)]
     found = {row["id"]: row["label"] for row in ngram_join.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -146,14 +180,13 @@ def brute_repeats(rows, length):
     seen = Counter()
     for i, text in rows:
         data = (text or "").encode()
-        if i is not None:
-            seen.update(data[p : p + length] for p in range(len(data) - length + 1))
+        seen.update(data[p : p + length] for p in range(len(data) - length + 1))
     out = {}
     for i, text in rows:
         data = (text or "").encode()
         gone = bytearray(len(data))
         for p in range(len(data) - length + 1):
-            if i is not None and seen[data[p : p + length]] > 1:
+            if seen[data[p : p + length]] > 1:
                 gone[p : p + length] = b"\1" * length
         kept = bytes(b for b, g in zip(data, gone) if not g)
         runs = sum(1 for p in range(len(data)) if gone[p] and (p == 0 or not gone[p - 1]))
@@ -196,6 +229,20 @@ def test_repeats_of_nothing_and_of_rows(spark):
     assert [row["n_removed"] for row in suffix_dedup.without_repeats(twice).collect()] == [800, 800]
 
 
+def test_repeats_go_by_rows_not_ids(spark):
+    """Texts that share an id are cut each by what is repeated in it, and null ids take part."""
+    draw = random.Random(9)
+    a, b, tail = ("".join(draw.choices("abcdefghij ", k=900)) for _ in range(3))
+
+    def removed(rows):
+        found = suffix_dedup.without_repeats(frame(spark, rows))
+        return Counter((row["doc_id"], row["n_bytes"], row["n_removed"]) for row in found.collect())
+
+    assert removed([(1, a), (1, b + "!"), (2, a + tail)]) == Counter([(1, 900, 900), (1, 901, 0), (2, 1800, 900)])
+    assert removed([(None, a), (2, a)]) == Counter([(None, 900, 900), (2, 900, 900)])
+    assert removed([(None, a), (None, b), (3, tail)]) == Counter([(None, 900, 0), (None, 900, 0), (3, 900, 0)])
+
+
 def test_boundaries_are_compared(spark):
     """Equal suffixes in different buckets still meet."""
     rows = [(7, 1, 1, i, 0, 0, 0) for i in range(40)] + [(9, 2, 2, 50, 0, 0, 0)]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.llm.pretokens import Memo
+from textloom.llm.pretokens import Memo, gives_back
 from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
 
@@ -38,11 +38,12 @@ MEMO = 1 << 17
 STARS = 2  # star centres that a document is compared with in a round
 ROUNDS = 6  # of stars at most
 CROSS_FRAGMENTS = 64
+BITMAP_WORDS = 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(1 << 63)
 
-SETS = "doc_id long, n long, sign1 long, sign2 long, prefix binary"
+SETS = "doc_id long, n long, sign1 long, sign2 long, prefix binary, bitmap binary"
 
 
 def word_hash(word: bytes) -> int:
@@ -87,6 +88,14 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def bitmap(shingles: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+    """Each bit is whether an odd number of shingles fall on it. Two bitmaps differ in no more bits than
+    their sets differ in shingles, as each shingle of one set alone turns one bit round."""
+    odd = np.bincount((shingles & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+@gives_back
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles of several documents of a batch, with their number there."""
     for batch in batches:
@@ -109,9 +118,10 @@ def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQU
     return np.sort(np.array([row["shingle"] for row in top.collect()], np.int64).view(np.uint64))
 
 
+@gives_back
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, signs, prefixes = [], [], []
+        sizes, signs, prefixes, bitmaps = [], [], [], []
         for text in batch.column("text").to_pylist():
             shingles = shingle_set(text)
             n = len(shingles)
@@ -120,17 +130,19 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int)
             signs.append(np.frombuffer(sign, "<i8"))
             first = in_order(shingles, frequent)[: prefix_length(n, percent)] if n else shingles
             prefixes.append(first.tobytes())
+            bitmaps.append(bitmap(shingles).tobytes())
         signs = np.array(signs, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), pa.array(sizes, pa.int64()),
                 pa.array(np.ascontiguousarray(signs[:, 0])), pa.array(np.ascontiguousarray(signs[:, 1])),
-                pa.array(prefixes, pa.binary()),
+                pa.array(prefixes, pa.binary()), pa.array(bitmaps, pa.binary()),
             ],
-            ["doc_id", "n", "sign1", "sign2", "prefix"],
+            ["doc_id", "n", "sign1", "sign2", "prefix", "bitmap"],
         )
 
 
+@gives_back
 def _fragments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Prefixes cut at the fragments of the order: rows of (fragment, shingles, documents, sizes)."""
     for batch in batches:
@@ -249,20 +261,28 @@ def star_pairs(own: DataFrame, number: int, percent: int = PERCENT, stars: int =
 
 
 def _cross(table: pa.Table, percent: int) -> pa.Table:
-    """Partial overlaps in a group of places: pairs of different components, with their count."""
+    """Partial overlaps in a group of places: pairs of different components, with their count.
+
+    Sets alike by ``percent`` differ in a bounded number of shingles, so pairs whose bitmaps differ in more
+    bits never come out: documents around a common passage that have little else in common.
+    """
     place = table.column("place").to_numpy()
     docs, sizes, labels, weights = (table.column(c).to_numpy() for c in ("doc_id", "n", "label", "weight"))
+    bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), np.uint64).reshape(len(place), -1)
     order = np.lexsort((docs, sizes, place))
-    place, docs, sizes, labels, weights = (x[order] for x in (place, docs, sizes, labels, weights))
+    place, docs, sizes, labels, weights, bits = (x[order] for x in (place, docs, sizes, labels, weights, bits))
     starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     ends = np.concatenate((starts[1:], [len(place)]))
     left, right, n_left, n_right, overlap = [], [], [], [], []
     for low, high in zip(starts, ends):
-        own, n, label, times = docs[low:high], sizes[low:high], labels[low:high], weights[low]
+        own, n, label, times, bit = docs[low:high], sizes[low:high], labels[low:high], weights[low], bits[low:high]
         reach = np.searchsorted(n * percent, n * 100, side="right")
         for i in range(len(own) - 1):
             others = slice(i + 1, int(reach[i]))
             apart = np.flatnonzero(label[others] != label[i]) + i + 1
+            # Of x + y shingles, 100 - percent in 100 + percent may be in one set alone.
+            unlike = np.bitwise_count(bit[apart] ^ bit[i]).sum(axis=1, dtype=np.int64)
+            apart = apart[unlike * (100 + percent) <= (n[apart] + n[i]) * (100 - percent)]
             if len(apart):
                 left.append(np.full(len(apart), own[i]))
                 right.append(own[apart])
@@ -288,7 +308,8 @@ def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
     Partial overlaps are counted fragment by fragment and summed per pair; as the rest of the set
     whose prefix ends first is all that could be shared besides, few pairs remain.
     """
-    fragments = max(CROSS_FRAGMENTS, mixed.count() // PER_FRAGMENT)
+    # A row is about three times as large as without its bitmap.
+    fragments = max(CROSS_FRAGMENTS, 3 * mixed.count() // PER_FRAGMENT)
 
     def cross(table: pa.Table) -> pa.Table:
         return _cross(table, percent)
@@ -309,12 +330,14 @@ def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
     return counted.where(most * (100 + percent) >= needed * percent).select("a", "b")
 
 
+@gives_back
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(text).tobytes() for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
 
+@gives_back
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
@@ -409,6 +432,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         labels = components(_edges(labels).unionByName(links))
     mixed = materialize(mixed_only(labelled(shared, labels)), "mixed-shingles")
+    met = mixed.select("doc_id", "n").distinct()
+    bitmaps = materialize(first.select("doc_id", "n", "bitmap").join(_few(met), ["doc_id", "n"]), "set-bitmaps")
+    mixed = mixed.join(_few(bitmaps), ["doc_id", "n"])
     pairs = materialize(cross_pairs(mixed, percent), "cross-pairs")
     more = materialize(linked(texts, pairs, percent), "cross-links")
     labels = components(_edges(labels).unionByName(more))
