@@ -64,9 +64,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated strings. Bytes of a character that was cut in two go as
     well; a document of which nothing is left goes. Rows go by their numbers, as an id may have
-    several texts; those with a null id stay as they are."""
+    several texts or be null."""
     rows = exact_dedup.placed(docs)
-    cut = suffix_dedup.without_repeats(_own_id(rows), with_text=True)
+    numbered = rows.select(F.col("_place").alias("doc_id"), "text")
+    cut = suffix_dedup.without_repeats(numbered, with_text=True)
     kept = materialize(
         cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut"), F.col("kept").alias("_kept")), "cut-texts"
     )
