@@ -195,6 +195,47 @@ def test_license_families(spark):
     assert (104, "gpl-3.0-name") not in best
 
 
+def test_edited_notices_are_found(spark):
+    """Words deleted, replaced and added at random: all that holds enough of a template is found."""
+    draw = random.Random(11)
+    names, rows = sorted(license_scan.TEMPLATES), []
+
+    def edited(words, rate):
+        for word in words:
+            kind = draw.random() / rate
+            if kind < 1 / 3:
+                continue
+            yield f"x{draw.randrange(10**6)}" if kind < 2 / 3 else word
+            if 2 / 3 <= kind < 1:
+                yield f"y{draw.randrange(10**6)}"
+
+    for i in range(160):
+        body = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(0, 150))]
+        at = draw.randint(0, len(body))
+        notice = license_scan.TEMPLATES[names[i % len(names)]].split()
+        rows.append((i, " ".join([*body[:at], *edited(notice, draw.choice([0.01, 0.02, 0.04, 0.06])), *body[at:]])))
+    want = {
+        (i, name): hit
+        for i, text in rows
+        for name, notice in license_scan.TEMPLATES.items()
+        if (hit := brute_license(text, notice, license_scan.SIMILARITY))
+    }
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r["doc_id"], r["license"]): (r["first_word"], r["matched"]) for r in license_scan.scan(docs).collect()}
+    assert set(found) <= set(want)
+    assert len(want) > 120 and len(found) >= 0.99 * len(want)
+
+
+def test_bands_are_independent(spark):
+    """Windows alike by one half meet in about half of the bands, wherever their shingles stand."""
+    rows = [(i, list(range(1000 * i, 1000 * i + 30)), list(range(1000 * i + 10, 1000 * i + 40))) for i in range(100)]
+    pairs = spark.createDataFrame(rows, "i bigint, a array<bigint>, b array<bigint>")
+    signed = pairs.select(*(license_scan.signature(F.col(name), 12).alias(name) for name in "ab"))
+    met = [sum(x == y for x, y in zip(row["a"], row["b"])) for row in signed.collect()]
+    assert 5 < np.mean(met) < 7
+    assert min(met) >= 1
+
+
 def test_license_scan_refuses_short_templates(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="under 5 words"):

@@ -61,9 +61,12 @@ def shingles(found: Column) -> Column:
 
 def signature(window: Column, bands: int) -> Column:
     """MinHash: the least value of the window's shingles under each of some hash functions."""
-    return F.array(
-        *[F.array_min(F.transform(window, lambda h, b=b: F.xxhash64(h, F.lit(b)))) for b in range(bands)]
-    )
+
+    def under(band: int) -> Column:
+        # One parameter only: a second one would be the place of the shingle in the window.
+        return F.array_min(F.transform(window, lambda h: F.xxhash64(h, F.lit(band))))
+
+    return F.array(*map(under, range(bands)))
 
 
 def widths(count: int) -> int:
