@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from textloom import session
 from textloom.functions import text as tx
 from textloom.operators import index
+from textloom.sources import commits
 from textloom.sources import documents as docs
 from textloom.sources import pages, reports
 from textloom.streaming import ingest
@@ -68,6 +69,34 @@ def test_reports(spark, tmp_path):
     )
 
 
+def test_a_run_is_published_once(spark, tmp_path, rows_of, monkeypatch):
+    path = str(tmp_path / "all")
+    made = spark.createDataFrame([(7, "a"), (8, "b")], "doc_id bigint, text string")
+    assert rows_of(pages.published_documents(spark, path)) == []
+    assert pages.publish_documents(made, path, "one")
+    assert not pages.publish_documents(made, path, "one")
+    assert pages.publish_documents(made.where("doc_id = 8"), path, "two")
+    assert rows_of(pages.published_documents(spark, path), "doc_id") == [(7, "a"), (8, "b"), (8, "b")]
+
+
+def test_a_part_without_its_entry_is_not_seen(spark, tmp_path, rows_of):
+    """A run that fails between its two writes is invisible, and can be made again."""
+    path = str(tmp_path / "report")
+    blocks = spark.createDataFrame([(1, "x\ny")], "doc_id bigint, block string")
+
+    def lost(folder):
+        reports.write_report(blocks, folder)
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        commits.publish(spark, path, "one", lost)
+    assert list((tmp_path / "report" / "parts").iterdir())
+    assert rows_of(reports.published_lines(spark, path)) == []
+    assert reports.publish_report(blocks, path, "one")
+    assert not reports.publish_report(blocks, path, "one")
+    assert rows_of(reports.published_lines(spark, path), "line") == [("x",), ("y",)]
+
+
 def test_stream_in_two_runs_equals_the_batch(spark, tmp_path, rows_of):
     """Files that come later are added; files seen before are not counted again."""
     whole = docs.read_documents(

@@ -98,11 +98,10 @@ def page_text(spark, sf):
 
 
 def page_documents(spark, sf):
-    """Stored documents, appended to a collection and read back from it."""
-    stored = pages.page_documents(_pages(spark, sf))
+    """Stored documents, added to a collection by a run and read back from it."""
     path = scratch_path(spark, "page-documents")
-    pages.append_documents(stored, path)
-    return spark.read.schema(stored.schema).parquet(path)
+    pages.publish_documents(pages.page_documents(_pages(spark, sf)), path, "pages")
+    return pages.published_documents(spark, path)
 
 
 def _report_path() -> Column:
@@ -110,10 +109,10 @@ def _report_path() -> Column:
 
 
 def _lines(spark: SparkSession, blocks: DataFrame, label: str) -> DataFrame:
-    """Write the report and read its lines back."""
+    """Write the report as a run and read its lines back."""
     path = scratch_path(spark, label)
-    reports.write_report(blocks, path)
-    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
+    reports.publish_report(blocks, path, label)
+    return reports.published_lines(spark, path)
 
 
 def language_report_sink(spark, sf):

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.html import page_text
+from textloom.sources.commits import publish, published
 from textloom.sources.documents import spread
 
+STORED = "doc_id long, text string"
 PAGES = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
@@ -38,3 +40,15 @@ def page_documents(pages: DataFrame) -> DataFrame:
 def append_documents(documents: DataFrame, path: str) -> None:
     """Add documents to a stored collection."""
     documents.write.mode("append").parquet(path)
+
+
+def publish_documents(documents: DataFrame, path: str, run: str) -> bool:
+    """Add documents to a collection as one run; the same run again adds nothing."""
+    spark = documents.sparkSession
+    return publish(spark, path, run, lambda folder: documents.select("doc_id", "text").write.parquet(folder))
+
+
+def published_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of all runs that a collection holds in whole."""
+    folders = list(published(spark, path).values())
+    return spark.read.schema(STORED).parquet(*folders) if folders else spark.createDataFrame([], STORED)

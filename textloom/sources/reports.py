@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.commits import publish, published
+
 # The labels of both report formats.
 FILE_LABEL = "Файл: "
 FREQUENT_LABEL = "Метод частотных слов: "
@@ -55,3 +57,16 @@ def summary_blocks(analysis: DataFrame, path: Column) -> DataFrame:
 def write_report(blocks: DataFrame, path: str) -> None:
     """Write the blocks as text files; a block is never torn apart."""
     blocks.select("block").write.option("lineSep", "\n").text(path)
+
+
+def publish_report(blocks: DataFrame, path: str, run: str) -> bool:
+    """Add the blocks to a report as one run; the same run again adds nothing."""
+    return publish(blocks.sparkSession, path, run, lambda folder: write_report(blocks, folder))
+
+
+def published_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line)``: the lines of all runs that a report holds in whole."""
+    folders = list(published(spark, path).values())
+    if not folders:
+        return spark.createDataFrame([], "line string")
+    return spark.read.option("lineSep", "\n").text(folders).withColumnRenamed("value", "line")
