@@ -284,8 +284,9 @@ def repeated(suffixes: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
         F.col("bucket").alias("_bucket"), F.col("edge").alias("_edge"),
         beside(whole).alias("_same"), beside(core).alias("_open"),
     )
+    ends = _few(materialize(ends, "bucket-ends"))
     first = found.where("edge > 0")
-    met = first.join(F.broadcast(ends), (first["bucket"] == ends["_bucket"]) & (first["edge"] == ends["_edge"]))
+    met = first.join(ends, (first["bucket"] == ends["_bucket"]) & (first["edge"] == ends["_edge"]))
     columns = ["doc_id", "place", "low", "high"]
     across = met.select(*columns, F.expr("same or _same").alias("same"), F.expr("open or _open").alias("open"))
     inside = found.where("edge = 0").select(*columns, "same", "open")
