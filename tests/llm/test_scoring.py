@@ -325,6 +325,13 @@ def test_distrust_runs_against_links_and_trust_along_them(spark):
     assert url_filter.url_verdicts(docs.limit(0), rules).count() == 0
 
 
+def test_only_addresses_are_links(spark):
+    html = """<a href="http://one.org/">x</a><a\nclass=q  href = 'https://two.org/a'>y</a><A data-href="http://three.org/">z</A>
+        <a title="t" data-href='http://four.org' href=//five.org>v</a><area href="http://six.org/"><a nohref="http://seven.org/">"""
+    pages = spark.createDataFrame([(1, "http://own.org/", html)], "page_id bigint, url string, html string")
+    assert {r["dst"] for r in url_filter.host_links(pages).collect()} == {"one.org", "two.org", "five.org"}
+
+
 def test_ranks_against_brute_force(spark):
     draw = random.Random(6)
     edges = sorted({(f"h{draw.randrange(12)}", f"h{draw.randrange(12)}") for _ in range(40)})

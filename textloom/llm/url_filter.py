@@ -75,7 +75,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     """
     marked = F.regexp_extract_all(
         F.coalesce("html", F.lit("")),
-        F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""),
+        F.lit(r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""),
         F.lit(1),
     )
     targets = F.array_distinct(
