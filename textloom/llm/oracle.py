@@ -183,4 +183,42 @@ ORACLES = {
         WINDOW best AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
         QUALIFY row_number() OVER best <= 5
     """,
+    "op1_ngram_join": """
+        WITH RECURSIVE words AS (
+          SELECT row_number() OVER () AS r, doc_id,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT r, doc_id, md5(array_to_string(ws[i : i + 4], ' ')) AS s
+          FROM (SELECT r, doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM words WHERE len(ws) > 0)),
+        sizes AS (SELECT r, doc_id, count(*) AS n FROM shingles GROUP BY ALL),
+        shared AS (
+          SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+        links AS (
+          SELECT x.doc_id AS a, y.doc_id AS b FROM shared JOIN sizes x ON x.r = shared.a JOIN sizes y ON y.r = shared.b
+          WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+        both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reached AS (SELECT a AS doc_id, b AS other FROM both_ways UNION SELECT doc_id, b FROM reached JOIN both_ways ON a = other)
+        SELECT words.doc_id, coalesce(n, 0) AS n_shingles, least(words.doc_id, coalesce((SELECT min(other) FROM reached WHERE reached.doc_id = words.doc_id), words.doc_id)) AS component_id
+        FROM words LEFT JOIN sizes USING (r)
+    """,
+    "op8_suffix_dedup": """
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+        starts AS (
+          SELECT r, i, md5(raw[i + 1 : i + 400]) AS k
+          FROM (SELECT r, raw, unnest(range(0, octet_length(raw) - 399)) AS i FROM docs)),
+        covered AS (SELECT r, i FROM starts WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1)),
+        marked AS (SELECT r, i, coalesce(i > 400 + lag(i) OVER (PARTITION BY r ORDER BY i), true) AS new FROM covered),
+        numbered AS (SELECT r, i, count(*) FILTER (new) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
+        runs AS (SELECT r, run, min(i) AS low, max(i) + 400 AS stop FROM numbered GROUP BY r, run),
+        gone AS (SELECT r, sum(stop - low)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY r),
+        pieces AS (
+          SELECT r, coalesce(lag(stop) OVER (PARTITION BY r ORDER BY low), 0) AS a, low AS b FROM runs
+          UNION ALL SELECT r, max(stop), max(octet_length(raw)) FROM runs JOIN docs USING (r) GROUP BY r
+          UNION ALL SELECT r, 0, octet_length(raw) FROM docs WHERE r NOT IN (SELECT r FROM runs)),
+        kept AS (SELECT r, string_agg(hex(raw[a + 1 : b]), '' ORDER BY a) AS h FROM pieces JOIN docs USING (r) GROUP BY r)
+        SELECT doc_id, octet_length(raw)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(h)) AS kept_sha256
+        FROM docs JOIN kept USING (r) LEFT JOIN gone USING (r)
+    """,
 }
