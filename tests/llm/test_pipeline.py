@@ -30,6 +30,15 @@ COLUMNS = {
     },
     "op9_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op10_token_count": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op11_block_join": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
+    "op12_hard_negatives": {
+        "anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint",
+        "negative_score": "bigint",
+    },
+    "op13_merkle_manifest": {
+        "doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
+        "folded_root": "string", "verified": "boolean",
+    },
 }
 
 

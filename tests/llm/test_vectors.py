@@ -6,10 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import check
 from textloom.llm import block_join, grid, hard_negatives
-from textloom.llm.oracle import ORACLES
-from textloom.llm.queries import QUERIES
 from textloom.operators import joins
 
 SCHEMA = "vec_id bigint, embedding array<double>, label int, v double, score string"
@@ -186,10 +183,3 @@ def test_without_broadcast(spark, monkeypatch):
     rows = clustered(random.Random(8), 200, 4)
     assert nearest(spark, rows, 10) == brute_nearest(rows, 10, 20)
     assert negatives(spark, rows, 10) == brute_negatives(rows, 10)
-
-
-@pytest.mark.parametrize("name", ["op5_top_k_search", "op11_block_join", "op12_hard_negatives"])
-def test_twins(spark, name):
-    folder = "/root/testdata/sf0.001"
-    twin = check.twin_connection(folder).execute(ORACLES[name]).df()
-    assert check.difference(QUERIES[name](spark, folder).toPandas(), twin) is None
