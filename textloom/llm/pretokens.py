@@ -47,7 +47,6 @@ def gives_back(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
     @wraps(work)
     def run(*given, **named):
         yield from work(*given, **named)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim is not None:
