@@ -1,6 +1,7 @@
 """Ids of any kind, and settings that must not be silently missing."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from textloom import session
@@ -63,6 +64,17 @@ def test_no_shared_folder_is_an_error():
         session.scratch_path(Stub(), "label")
 
 
+def test_scratch_tables_are_discarded_and_nothing_else(spark, tmp_path):
+    path = session.scratch_path(spark, "passing")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.discard(spark, path)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="not a scratch table"):
+        session.discard(spark, str(tmp_path))
+
+
 def test_salts_follow_the_number_of_rows(spark):
     rows = spark.range(60_000).selectExpr("if(id % 3 > 0, 'hot', concat('k', id % 500)) AS k", "id")
     counts = rows.groupBy("k").count()

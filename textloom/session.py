@@ -55,3 +55,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of the scratch folder that nothing will read any more: all that was made from it
+    has been written itself, so that a lost executor does not ask for it again."""
+    if not path.startswith(f"{scratch_dir(spark)}/"):
+        raise ValueError(f"not a scratch table: {path}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
