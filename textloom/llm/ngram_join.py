@@ -26,7 +26,7 @@ from pyspark.sql import Window
 
 from textloom.llm.pretokens import Memo, gives_back
 from textloom.operators.joins import fits_broadcast
-from textloom.session import materialize
+from textloom.session import discard, materialize, scratch_path
 
 WORDS = 5
 PERCENT = 75
@@ -353,19 +353,23 @@ def _few(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table
 
 
-def linked(texts: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose whole sets are alike."""
+def linked(texts: DataFrame, pairs: DataFrame, label: str, percent: int = PERCENT) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose whole sets are alike, as a written table. The sets, which take as much
+    room as the texts, are deleted as soon as it is there."""
+    spark = texts.sparkSession
     ids = pairs.select(F.col("a").alias("doc_id")).distinct()
     wanted = ids.union(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
     wanted = materialize(wanted, "compared-ids")
-    sets = materialize(
-        texts.join(_few(wanted), "doc_id", "left_semi").mapInArrow(_whole_sets, "doc_id long, shingles binary"),
-        "whole-sets",
-    )
+    kind, path = "doc_id long, shingles binary", scratch_path(spark, "whole-sets")
+    texts.join(_few(wanted), "doc_id", "left_semi").mapInArrow(_whole_sets, kind).write.parquet(path)
+    sets = spark.read.schema(kind).parquet(path)
     met = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b").join(
         sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a"
     )
-    return met.select("a", "b", "of_a", "of_b").mapInArrow(partial(_compare, percent=percent), "a long, b long")
+    compared = met.select("a", "b", "of_a", "of_b").mapInArrow(partial(_compare, percent=percent), "a long, b long")
+    links = materialize(compared, label)
+    discard(spark, path)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -427,7 +431,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = components(spark.createDataFrame([], "a bigint, b bigint"))
     for number in range(ROUNDS):
         stars = materialize(star_pairs(labelled(shared, labels), number, percent), "star-pairs")
-        links = materialize(linked(texts, stars, percent), "star-links")
+        links = linked(texts, stars, "star-links", percent)
         if links.isEmpty():
             break
         labels = components(_edges(labels).unionByName(links))
@@ -436,7 +440,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     bitmaps = materialize(first.select("doc_id", "n", "bitmap").join(_few(met), ["doc_id", "n"]), "set-bitmaps")
     mixed = mixed.join(_few(bitmaps), ["doc_id", "n"])
     pairs = materialize(cross_pairs(mixed, percent), "cross-pairs")
-    more = materialize(linked(texts, pairs, percent), "cross-links")
+    more = linked(texts, pairs, "cross-links", percent)
     labels = components(_edges(labels).unionByName(more))
 
     named = classes.join(
