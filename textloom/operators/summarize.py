@@ -27,18 +27,29 @@ SUMMARY_SENTENCES = 10
 KEYWORDS = 10
 # Weights equal in this many decimals are a tie, won by what comes first in the text.
 WEIGHT_DIGITS = 9
+# A text unfolds to some forty times its bytes in words, each with its document, sentence and counts.
+TEXT_PER_TASK = 4 << 20
 
 
-def sentence_arrays(corpus: DataFrame, text: str = "text") -> DataFrame:
+def text_tasks(corpus: DataFrame, text: str = "text", bytes_per_task: int = TEXT_PER_TASK) -> int:
+    """How many tasks the texts are dealt to: measured, and no fewer than there are cores."""
+    size = corpus.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return max(corpus.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_per_task))
+
+
+def sentence_arrays(corpus: DataFrame, text: str = "text", tasks: int | None = None) -> DataFrame:
     """``(doc_id, sentences)``, partitioned by document; null ids are no documents.
 
     Joins by document would leave them out on one side only, below the shuffle: without them
-    on both, plans that use the texts several times shuffle them once.
+    on both, plans that use the texts several times shuffle them once. The number of tasks follows
+    the texts (``text_tasks``), so what is unfolded from them fits one task's memory at any size.
     """
+    if tasks is None:
+        tasks = text_tasks(corpus, text)
     return (
         corpus.select("doc_id", text)
         .where(F.col("doc_id").isNotNull())
-        .repartition("doc_id")
+        .repartition(tasks, "doc_id")
         .select("doc_id", split_sentences(text).alias("sentences"))
     )
 
@@ -59,12 +70,12 @@ def clean_ngrams(
     return ngrams(clean_words(sentence, stop_words), n)
 
 
-def sentence_frequencies(corpus: DataFrame, units: Column) -> DataFrame:
+def sentence_frequencies(corpus: DataFrame, units: Column, tasks: int | None = None) -> DataFrame:
     """``(doc_id, n_sentences, i, word, tf, place)`` of the units (words or n-grams) that
     ``units`` makes of column ``sentence``; tf is relative to the sentence, ``place``
     orders words by their first occurrence in the document."""
     parts = (
-        sentence_arrays(corpus)
+        sentence_arrays(corpus, tasks=tasks)
         .select("doc_id", F.inline(numbered("sentences")).alias("n_sentences", "i", "sentence"))
         .select(
             "doc_id", "n_sentences", "i", F.inline(numbered(units)).alias("total", "at", "word")
@@ -103,7 +114,7 @@ def tfidf_ngram(corpus: DataFrame, n: int = 2) -> DataFrame:
     return tfidf_sentence(corpus, clean_ngrams(F.col("sentence"), n))
 
 
-def sentence_weights(corpus: DataFrame) -> DataFrame:
+def sentence_weights(corpus: DataFrame, tasks: int | None = None) -> DataFrame:
     """``(doc_id, i, weight)`` of every sentence, those without words included.
 
     The sum runs over word occurrences in the sentence as it stands, with tf and idf
@@ -122,7 +133,7 @@ def sentence_weights(corpus: DataFrame) -> DataFrame:
         ),
     )
     counted = (
-        sentence_arrays(corpus)
+        sentence_arrays(corpus, tasks=tasks)
         .select("doc_id", F.inline(numbered("sentences")).alias("s", "i", "sentence"))
         .select("doc_id", "s", "i", F.inline_outer(occurrences))
         .groupBy("doc_id", "s", "i", "word")
@@ -148,19 +159,23 @@ def sentence_weights(corpus: DataFrame) -> DataFrame:
     )
 
 
-def summary_arrays(corpus: DataFrame, size: int = SUMMARY_SENTENCES) -> DataFrame:
+def summary_arrays(
+    corpus: DataFrame, size: int = SUMMARY_SENTENCES, tasks: int | None = None
+) -> DataFrame:
     """``(doc_id, picked, summary)``: indexes and texts of the heaviest sentences in document
     order, empty for a document without sentences."""
+    if tasks is None:
+        tasks = text_tasks(corpus)
     heaviest = Window.partitionBy("doc_id").orderBy(F.desc("weight"), "i")
     picked = (
-        sentence_weights(corpus)
+        sentence_weights(corpus, tasks)
         .withColumn("_rank", F.row_number().over(heaviest))
         .where(F.col("_rank") <= size)
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list("i")).alias("picked"))
     )
     return (
-        sentence_arrays(corpus)
+        sentence_arrays(corpus, tasks=tasks)
         .join(picked, "doc_id", "left")
         .select(
             "doc_id",
@@ -184,7 +199,7 @@ def summary(corpus: DataFrame, size: int = SUMMARY_SENTENCES) -> DataFrame:
 
 
 def keywords(
-    corpus: DataFrame, units: Column | None = None, size: int = KEYWORDS
+    corpus: DataFrame, units: Column | None = None, size: int = KEYWORDS, tasks: int | None = None
 ) -> DataFrame:
     """``(doc_id, rank, word, weight)``: the units with the largest tf * idf over all
     sentences of a document; equal weights rank by first appearance."""
@@ -192,7 +207,7 @@ def keywords(
         units = clean_words(F.col("sentence"))
     weight = F.sum("tf") * sentence_idf(F.col("n_sentences"), F.count(F.lit(1)))
     scored = (
-        sentence_frequencies(corpus, units)
+        sentence_frequencies(corpus, units, tasks)
         .groupBy("doc_id", "n_sentences", "word")
         .agg(
             (F.round(weight, WEIGHT_DIGITS) + F.lit(0.0)).alias("weight"),
@@ -216,8 +231,9 @@ def document_analysis(
     corpus: DataFrame, summary_size: int = SUMMARY_SENTENCES, keyword_count: int = KEYWORDS
 ) -> DataFrame:
     """``(doc_id, summary, keywords)``: summary sentences, and lines ``word --- weight``."""
+    tasks = text_tasks(corpus)
     listed = (
-        keywords(corpus, size=keyword_count)
+        keywords(corpus, size=keyword_count, tasks=tasks)
         .select(
             "doc_id",
             F.struct(
@@ -230,7 +246,7 @@ def document_analysis(
         .select("doc_id", F.array_join("entries.line", "").alias("keywords"))
     )
     return (
-        summary_arrays(corpus, summary_size)
+        summary_arrays(corpus, summary_size, tasks)
         .join(listed, "doc_id", "left")
         .select("doc_id", "summary", F.coalesce("keywords", F.lit("")).alias("keywords"))
     )
