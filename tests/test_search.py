@@ -197,3 +197,9 @@ def test_no_documents_at_all(spark, rows_of):
     queries = spark.createDataFrame([(1,)], "qid bigint")
     none = evaluate.confusion_counts(queries, empty, empty, 0)
     assert rows_of(evaluate.query_metrics(none)) == [(1, 0.0, 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_tasks_follow_the_pairs(spark):
+    vectors = spark.createDataFrame([(1, "a", 1.0, 700), (2, "a", 1.0, 700), (2, "b", 0.5, 100)], "qid bigint, term string, qw double, df bigint")
+    assert search._pair_tasks(vectors, pairs_per_task=10) == 150
+    assert search._pair_tasks(vectors.where("false")) >= 1

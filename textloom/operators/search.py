@@ -20,6 +20,7 @@ from textloom.session import materialize
 # Sums of doubles depend on the order of addition in their last digits; scores that
 # agree in this many decimals count as equal and are ordered by document.
 SCORE_DIGITS = 9
+PAIRS_PER_TASK = 2_000_000  # pairs of a query's term and a posting that one task sums
 
 
 def query_vectors(
@@ -41,12 +42,17 @@ def query_vectors(
     return weighted.select("qid", "term", (F.col("_raw") / length).alias("qw"), "df")
 
 
+def _pair_tasks(vectors: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> int:
+    pairs = vectors.agg(F.sum("df")).first()[0] or 0
+    return max(vectors.sparkSession.sparkContext.defaultParallelism, -(-pairs // pairs_per_task))
+
+
 def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``(qid, doc_id, probability)``: cosine of query and document, where above 0.
 
     Only postings of query terms are moved, once, by document, to meet the document's
-    norm. Then the pairs of query and document are formed and summed in place. Query
-    tables too large to broadcast meet the postings in a join salted for frequent terms.
+    norm. Then the pairs of query and document are formed and summed in place, over as many tasks
+    as their number, known from the document frequencies, asks for. Query tables too large to broadcast meet the postings in a join salted for frequent terms.
     """
     vectors = materialize(query_vectors(index, queries, limit), "query-vectors")
     small = fits_broadcast(vectors, limit)
@@ -59,7 +65,7 @@ def similarities(index: Index, queries: DataFrame, limit: int = BROADCAST_BYTES)
             index.postings, terms, "term", counts=index.stats, count="df", limit=limit
         ).where("df IS NOT NULL")
     held = (
-        held.repartition("doc_id")
+        held.repartition(_pair_tasks(vectors), "doc_id")
         .join(norms, "doc_id")
         .select("doc_id", "term", (F.col("tf") / F.col("norm")).alias("_part"))
     )
