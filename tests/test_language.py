@@ -103,3 +103,20 @@ def test_held_out_documents(spark):
     ).first()
     assert judged[3] == rest.count()
     assert min(judged[:3]) > 0.95
+
+
+def test_trigrams_are_counted_inside_the_row(spark):
+    texts = [(1, "Aa  aa\naa"), (2, None), (3, ""), (4, "x\U0001F600\x00"), (1, "b")]
+    corpus = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = sorted(((r["key"], r["word"], r["n"]) for r in language.trigram_counts(corpus, "doc_id").collect()), key=str)
+    want = []
+    for doc, text in texts:
+        spaced = "" if text is None else f" {' '.join(text.lower().split())} "
+        counts = Counter(spaced[i : i + 3] for i in range(len(spaced) - 2))
+        want += [(doc, word, n) for word, n in counts.items()] or [(doc, None, 0)]
+    assert found == sorted(want, key=str)
+    merged = language.trigram_counts(corpus, "doc_id", merged=True).where("word IS NOT NULL").groupBy("key", "word").sum("n")
+    summed = Counter()
+    for doc, word, n in want:
+        summed[doc, word] += n
+    assert {(r[0], r[1]): r[2] for r in merged.collect()} == {at: n for at, n in summed.items() if at[1] is not None}

@@ -159,14 +159,19 @@ def numbered(items: Column | str) -> Column:
     )
 
 
+def spaced_letters(text: Column | str) -> Column:
+    """The lower-cased text with single spaces for white space and one more on each side."""
+    spaced = F.regexp_replace(F.lower(_col(text)), rf"[{SPACE}]+", " ")
+    return F.concat(F.lit(" "), spaced, F.lit(" "))
+
+
 def char_trigrams(text: Column | str) -> Column:
     """Overlapping character trigrams of the lower-cased text, one space on each side.
 
     Three passes of adjacent triples, shifted by one, are linear in the text length.
     """
-    spaced = F.regexp_replace(F.lower(_col(text)), rf"[{SPACE}]+", " ")
     return bind(
-        F.concat(F.lit(" "), spaced, F.lit(" ")),
+        spaced_letters(text),
         lambda t: F.concat(
             *[find_all(F.substring(t, k, 2147483647), "(?s)...") for k in (1, 2, 3)]
         ),

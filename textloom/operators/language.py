@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterable, Iterator, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textloom.functions.text import char_trigrams, normalize_letters, term_counts
+from textloom.functions.text import normalize_letters, spaced_letters, term_counts
 from textloom.operators.joins import BROADCAST_BYTES, lookup_join
 from textloom.session import materialize
 
@@ -17,6 +18,7 @@ MAX_LANGUAGES = 500
 SHORT_WORD = 5
 # Scores equal in this many decimals are a tie, won by the language named first.
 SCORE_DIGITS = 6
+CHARACTERS_PER_BATCH = 4_000_000  # of text whose trigrams are counted before they are handed on
 
 
 def language_profiles(
@@ -32,9 +34,61 @@ def language_profiles(
     )
 
 
+def _trigram_rows(batches: Iterable, merged: bool) -> Iterator:
+    """Each row's key with its distinct trigrams and their number; a null one where there is none.
+    ``merged``: rows of a key that are at hand together are counted as one."""
+    import numpy as np
+    import pyarrow as pa
+
+    apart = np.array([0x1FFFFF])  # behind every text; no character
+
+    def rows(batch: pa.RecordBatch, texts: list[str | None], at: int) -> pa.RecordBatch:
+        words, numbers, lengths, groups = [], [], [], {}
+        for place, text in enumerate(texts, at):
+            _, held = groups.setdefault(batch.column(0)[place].as_py() if merged else place, (place, []))
+            held += np.frombuffer((text or "").encode("utf-32-le"), "<u4").astype(np.int64), apart
+        for _, held in groups.values():
+            codes = np.concatenate(held)
+            grams = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+            whole = (codes[:-2] != apart) & (codes[1:-1] != apart) & (codes[2:] != apart)
+            grams, n = np.unique(grams[whole], return_counts=True)
+            letters = np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], 1)
+            line = letters.astype("<u4").tobytes().decode("utf-32-le")
+            words += [line[i : i + 3] for i in range(0, len(line), 3)] or [None]
+            numbers.append(n if n.size else np.zeros(1, np.int64))
+            lengths.append(max(n.size, 1))
+        key = batch.column(0).take(pa.array(np.repeat([place for place, _ in groups.values()], lengths)))
+        return pa.RecordBatch.from_arrays(
+            [key, pa.array(words, pa.string()), pa.array(np.concatenate(numbers), pa.int64())], ["key", "word", "n"]
+        )
+
+    for batch in batches:
+        texts, size, at = [], 0, 0
+        for end, text in enumerate(batch.column(1), 1):
+            texts.append(text.as_py())
+            size += len(texts[-1] or "")
+            if size > CHARACTERS_PER_BATCH or end == batch.num_rows:
+                yield rows(batch, texts, at)
+                texts, size, at = [], 0, end
+
+
+def trigram_counts(corpus: DataFrame, key: str, text: str = "text", merged: bool = False) -> DataFrame:
+    """``(key, word, n)``: the distinct character trigrams of each row with their number.
+
+    A row without trigrams keeps its key, with a null word. Counting inside the row makes several times
+    fewer rows than unfolding every trigram. With ``merged``, rows of a key may be counted together.
+    """
+    rows = corpus.select(F.col(key).alias("key"), spaced_letters(text).alias("text"))
+    schema = T.StructType(
+        [T.StructField("key", rows.schema["key"].dataType), T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]
+    )
+    return rows.mapInArrow(partial(_trigram_rows, merged=merged), schema)
+
+
 def trigram_profiles(training: DataFrame, lang: str = "lang") -> DataFrame:
     """``(lang, word, pc)`` over character trigrams."""
-    return language_profiles(training, char_trigrams("text"), lang)
+    counts = trigram_counts(training, lang, merged=True).where("word IS NOT NULL")
+    return counts.groupBy(F.col("key").alias("lang"), "word").agg(F.sum("n").alias("pc"))
 
 
 def materialized_profiles(training: DataFrame) -> DataFrame:
@@ -140,14 +194,13 @@ def language_char_model(
     }
     wide = materialize(_wide(trigrams, langs, F.log(F.col("pc") + F.lit(1.0)), "l"), "trigram-model")
     vocabulary = wide.count()
-    # The score is linear in the counts, so no count per document is needed.
-    grams = corpus.select("doc_id", F.explode_outer(char_trigrams("text")).alias("word"))
+    grams = trigram_counts(corpus, "doc_id").withColumnRenamed("key", "doc_id")
     matched = lookup_join(grams, wide, "word", limit=limit)
-    known = F.count("l0")
+    known = F.sum(F.when(F.col("l0").isNotNull(), F.col("n")).otherwise(0))
     sums = matched.groupBy("doc_id").agg(
         known.alias("known"),
         *[
-            F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"l{i}")
+            F.coalesce(F.sum(F.col("n") * F.col(f"l{i}")), F.lit(0.0)).alias(f"l{i}")
             for i in range(len(langs))
         ],
     )
