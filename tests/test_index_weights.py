@@ -186,3 +186,8 @@ def test_fits_broadcast(spark):
     table = spark.createDataFrame([("x" * 100, 1)] * 10, "a string, b bigint")
     assert joins.fits_broadcast(table, 2000) and not joins.fits_broadcast(table, 1000)
     assert joins.fits_broadcast(table.limit(0), 0)
+
+
+def test_document_terms_tokenizes_once(corpus_of):
+    found = weights.document_terms(corpus_of("Cannot the cat."), ["the"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("(?i:(can(?=not") == 1

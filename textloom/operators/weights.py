@@ -135,8 +135,11 @@ def document_terms(corpus: DataFrame, stop_words: Sequence[str], text: str = "te
     )
 
     # Both are sorted by term and hold each one once, so they go together place by place.
-    counted = F.struct(
-        term_counts(terms).alias("counts"), first_forms(terms, split_words(text)).alias("forms")
+    counted = bind(
+        terms,
+        lambda found: F.struct(
+            term_counts(found).alias("counts"), first_forms(found, split_words(text)).alias("forms")
+        ),
     )
 
     def by_weight(row: Column) -> Column:
