@@ -2,16 +2,18 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 from functools import partial
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from textloom.llm import bpe, packing, token_count
+from textloom.llm import bpe, packing, pretokens, token_count
 
 PARTS = [
     "a", "  ", " ", "\n", "\t", "é", "É", "é", "ß", "中文", "\x1c", "½", "Ⅷ", "'s", "'LL", "12", "_", "!", "🙂", "İ", "Σ",
@@ -152,3 +154,37 @@ def test_empty_tables(docs):
     none = docs.limit(0)
     assert bpe.round_trip(none, content("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
     assert token_count.token_counts(none, content("byte_bpe_50k.json"), public_tokenizers.PATTERN, 5).count() == 0
+
+
+def test_ranges_split_as_the_classes_do():
+    """Every character below U+0250 alone and among others; the standard engine meets ranges only."""
+    draw = random.Random(12)
+    letters = [chr(c) for c in range(0x252)]
+    tried = [text for c in letters for text in (c, f"a{c}1", f" {c}!", c + c)]
+    tried += ["".join(draw.choices([*letters, *"  ''sdtmlre\n1,"], k=draw.randint(0, 20))) for _ in range(2000)]
+    words = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    for pattern in (public_tokenizers.PATTERN, words):
+        assert not any(kind in pretokens.in_ranges(pattern) for kind in (r"\W", r"\d", r"\p"))
+        split, whole = pretokens.splitter(pattern), regex.compile(pattern)
+        for text in tried:
+            assert split(text) == whole.findall(text)
+
+
+def test_a_worker_keeps_what_one_operator_built():
+    built = [0, 0]
+
+    @pretokens.one_held
+    def one(size):
+        built[0] += 1
+        return np.zeros(size)
+
+    @pretokens.one_held
+    def other():
+        built[1] += 1
+        return set()
+
+    first = weakref.ref(one(3))
+    assert one(3) is first() and built == [1, 0]
+    assert other() is other() and built == [1, 1]
+    assert first() is None
+    assert len(one(4)) == 4 and len(one(5)) == 5 and built == [3, 1]

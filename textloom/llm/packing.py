@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from textloom.llm.pretokens import Memo, few_collections, splitter
+from textloom.llm.pretokens import Memo, few_collections, one_held, splitter
 from textloom.llm.token_count import LETTERS
 from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
@@ -58,7 +59,8 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
@@ -76,7 +78,7 @@ class WordEncoder:
         )
 
 
-@lru_cache(maxsize=4)
+@one_held
 def word_encoder(content: bytes) -> WordEncoder:
     """One encoder per Python worker, kept for its later tasks."""
     made = WordEncoder(content)
