@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from textloom.llm import exact_dedup, ngram_join, suffix_dedup
+from textloom.llm import exact_dedup, ngram_join, pretokens, suffix_dedup
 
 
 def frame(spark, rows):
@@ -17,6 +19,42 @@ def frame(spark, rows):
     return spark.createDataFrame(wide, "doc_id bigint, text string, kept string, label bigint")
 
 
+# What a task holds
+
+
+def traced_peak(work):
+    tracemalloc.start()
+    made = work()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return made, peak
+
+
+def wordy_batch(rows):
+    dice = random.Random(21)
+    common = " ".join(f"c{i}" for i in range(12))
+    texts = [" ".join(f"w{dice.randrange(4000)}" for _ in range(150)) + (common if i % 3 else "") for i in range(rows)]
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(rows)), "text": [*texts[:-1], None]})
+
+
+def test_often_holds_little_besides_the_sets():
+    batch = wordy_batch(6000)
+    sets = [ngram_join.shingle_set(text) for text in batch.column("text").to_pylist()]
+    found, peak = traced_peak(lambda: next(ngram_join._often(iter([batch]))))
+    counts = Counter(int(x) for one in sets for x in one.view(np.int64))
+    rows = dict(zip(found.column("shingle").to_pylist(), found.column("n").to_pylist()))
+    assert rows == {x: n for x, n in counts.items() if n >= ngram_join.OFTEN} and len(rows) > 5
+    assert peak < 2.7 * sum(one.nbytes for one in sets)
+    assert next(ngram_join._often(iter([batch.slice(0, 0)]))).num_rows == 0
+
+
+def test_whole_sets_come_in_pieces():
+    batch = wordy_batch(6000)
+    sizes, peak = traced_peak(lambda: [one.num_rows for one in ngram_join._whole_sets(iter([batch]))])
+    assert sum(sizes) == 6000 and max(sizes) <= pretokens.PIECE
+    assert peak < 6 << 20
+
+
 # Exact copies
 
 

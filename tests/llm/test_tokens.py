@@ -188,3 +188,5 @@ def test_a_worker_keeps_what_one_operator_built():
     assert other() is other() and built == [1, 1]
     assert first() is None
     assert len(one(4)) == 4 and len(one(5)) == 5 and built == [3, 1]
+    pretokens.let_go()
+    assert len(one(5)) == 5 and built == [4, 1]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.pretokens import gives_back
+from textloom.llm.pretokens import gives_back, one_held
 
 TRAINING_CHARS = 40_000  # of labelled text per language
 TRAINING_PIECE = 1_000  # at most so much of it from one document
@@ -251,7 +251,7 @@ def training_texts(labelled: DataFrame, chars: int = TRAINING_CHARS, piece: int
     return {row["lang"]: row["text"] for row in in_order.collect()}
 
 
-@lru_cache(maxsize=2)
+@one_held
 def parser(training: tuple[tuple[str, str], ...]) -> CrossParser:
     """One set of automata per Python worker, kept for its later tasks."""
     return CrossParser(dict(training))

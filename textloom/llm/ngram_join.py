@@ -15,7 +15,7 @@ joined in full, so no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.llm.pretokens import Memo, gives_back
+from textloom.llm.pretokens import Memo, gives_back, in_pieces, one_held
 from textloom.operators.joins import fits_broadcast
 from textloom.session import discard, materialize, scratch_path
 
@@ -50,7 +50,7 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-@lru_cache(maxsize=1)
+@one_held
 def _hashes() -> Memo:
     return Memo(word_hash, MEMO)
 
@@ -99,12 +99,13 @@ def bitmap(shingles: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles of several documents of a batch, with their number there."""
     for batch in batches:
-        sets = [shingle_set(text) for text in batch.column("text").to_pylist()]
-        found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-        kept = counts >= OFTEN
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found[kept].view(np.int64)), pa.array(counts[kept])], ["shingle", "n"]
-        )
+        sets = [shingle_set(text) for part in in_pieces([batch]) for text in part.column("text").to_pylist()]
+        held = np.concatenate([np.empty(0, np.uint64), *sets])
+        del sets
+        held.sort()  # in place: a batch has millions of shingles, few of them often
+        found = np.unique(held[OFTEN - 1 :][held[OFTEN - 1 :] == held[: 1 - OFTEN]])
+        counts = np.searchsorted(held, found, "right") - np.searchsorted(held, found, "left")
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["shingle", "n"])
 
 
 def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQUENT_HELD) -> np.ndarray:
@@ -120,7 +121,7 @@ def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQU
 
 @gives_back
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_pieces(batches):
         sizes, signs, prefixes, bitmaps = [], [], [], []
         for text in batch.column("text").to_pylist():
             shingles = shingle_set(text)
@@ -332,14 +333,14 @@ def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 @gives_back
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_pieces(batches):
         sets = [shingle_set(text).tobytes() for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
 
 @gives_back
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_pieces(batches):
         linked = []
         for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
             one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

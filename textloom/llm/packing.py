@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from textloom.llm.pretokens import Memo, few_collections, one_held, splitter
+from textloom.llm.pretokens import Memo, few_collections, in_pieces, one_held, splitter
 from textloom.llm.token_count import LETTERS
 from textloom.operators.joins import fits_broadcast
 from textloom.session import materialize
@@ -91,7 +91,7 @@ def _place(
 ) -> Iterator[pa.RecordBatch]:
     """A partition's documents with their ids and their place among the partition's ids."""
     encode, part, at = make(), TaskContext.get().partitionId(), 0
-    for batch in batches:
+    for batch in in_pieces(batches):
         ids = [encode(text or "") + end for text in batch.column("text").to_pylist()]
         sizes = np.array([len(x) // ID_BYTES for x in ids], np.int64)
         starts = at + np.cumsum(sizes) - sizes
