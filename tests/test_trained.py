@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
+from textloom.functions.text import DOTTED, LAST_PIECE
 from textloom.operators import blockmax, boundaries, index, search, weights
 from textloom.sources import documents as docs
 from textloom.streaming import ingest
@@ -88,6 +89,17 @@ def test_arrivals_in_batches_are_weighed_as_in_one(spark, tmp_path, rows_of):
     assert rows_of(ingest.ingested_documents(spark, path)) == [(24,)]
 
 
+def test_last_words_are_found_from_the_end(spark):
+    dice = random.Random(9)
+    parts = ["a", "Dr.", ".", ")", " ", "\n", "\u0085", "\u2003", "\u2028", "x.y", "\U0001f642", "é.\"", "?"]
+    rows = [("".join(dice.choices(parts, k=dice.randrange(9))),) for _ in range(3000)]
+    found = spark.createDataFrame(rows, "piece string").select(
+        F.regexp_extract("piece", LAST_PIECE, 1).alias("last"), F.regexp_extract("piece", boundaries.FROM_END, 1).alias("own"),
+    ).withColumns({"dot": F.col("last").rlike(DOTTED), "seen": boundaries.ends_dotted(F.col("last"))})
+    assert found.where("last != own OR dot != seen").count() == 0
+    assert found.where("dot").count() > 100
+
+
 def themed(dice, n):
     """Documents of many themes, so that a query's best documents stand out."""
     common = [f"c{i}" for i in range(5)]

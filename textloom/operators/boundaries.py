@@ -9,11 +9,11 @@ a table of a few words that joins the ends of candidate sentences.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.functions.text import DOTTED, LAST_PIECE, SPACE, spaced_pieces, split_words, word_type
+from textloom.functions.text import DOTTED, SPACE, spaced_pieces, split_words, word_type
 from textloom.operators.joins import lookup_join
 from textloom.session import materialize
 
@@ -23,12 +23,19 @@ THRESHOLD = 0.3
 WITH_PERIOD = 0.99
 SCORE_DIGITS = 6
 LEAST = 1e-12
+# The group of LAST_PIECE, found from the end of the text: one step over what stands before it.
+FROM_END = rf"(?s)\A(?:.*[{SPACE}])?([^{SPACE}]+)[{SPACE}]*\z"
+
+
+def ends_dotted(piece: Column) -> Column:
+    """Whether just one period ends a piece; most hold none, which is seen without the pattern."""
+    return piece.contains(".") & piece.rlike(DOTTED)
 
 
 def period_counts(corpus: DataFrame, text: str = "text") -> DataFrame:
     """``(word, dotted, plain)``: how often each word stands with and without a period at its end."""
     pieces = corpus.select(F.explode(split_words(text)).alias("piece")).select(
-        word_type(F.col("piece")).alias("word"), F.col("piece").rlike(DOTTED).alias("dot")
+        word_type(F.col("piece")).alias("word"), ends_dotted(F.col("piece")).alias("dot")
     )
     return (
         pieces.where("word != ''")
@@ -67,8 +74,10 @@ def trained_sentences(corpus: DataFrame, known: DataFrame, text: str = "text") -
     space between them stays as it was; line feeds are deleted as everywhere. Ids are unique.
     """
     pieces = corpus.select("doc_id", F.posexplode(spaced_pieces(text)).alias("at", "piece"))
-    last = F.regexp_extract("piece", LAST_PIECE, 1)
-    pieces = pieces.withColumn("word", F.when(last.rlike(DOTTED), word_type(last)))
+    # Pieces without a period need no look at their last word.
+    last = F.when(F.col("piece").contains("."), F.regexp_extract("piece", FROM_END, 1))
+    pieces = pieces.withColumn("_last", last).withColumn("word", F.when(ends_dotted(F.col("_last")), word_type(F.col("_last"))))
+    pieces = pieces.drop("_last")
     met = lookup_join(pieces, known.select("word", F.lit(True).alias("_goes_on")), "word")
     place = Window.partitionBy("doc_id").orderBy("at")
     begins = F.lag("_goes_on").over(place).isNull().cast("int")
