@@ -130,3 +130,13 @@ def test_most_postings_are_skipped(spark, corpus_of):
     blockmax.search_blocks(blockmax.in_blocks(built, docs_per_block=16), queries, 5, report=report).count()
     terms = search.query_vectors(built, queries).agg(F.sum("df")).first()[0]
     assert report["postings"] * 3 < terms
+
+
+def test_lists_move_whole(spark, corpus_of):
+    """Lists are dealt by query and block; postings and documents are never dealt by themselves."""
+    texts = themed(random.Random(5), 200)
+    queries = spark.createDataFrame([(i, texts[i]) for i in range(5)], "qid bigint, text string")
+    found = blockmax.search_blocks(blockmax.in_blocks(index.build_index(corpus_of(*texts)), 8), queries, 5)
+    plan = found._jdf.queryExecution().toString()
+    assert "hashpartitioning(qid" in plan
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "doc_id" in line]

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -31,7 +31,7 @@ MARGIN = 10.0**-SCORE_DIGITS
 
 @dataclass(frozen=True)
 class BlockIndex:
-    """Postings in blocks: ``lists(term, block, top, doc_ids, parts)``, ranged by term and block.
+    """Postings in blocks: ``lists(term, block, top, doc_ids, parts)``, each file sorted by term and block.
 
     A part is tf over the length of the document's vector, and ``top`` the greatest one.
     """
@@ -67,6 +67,8 @@ def in_blocks(index: Index, docs_per_block: int = DOCS_PER_BLOCK, limit: int = B
     seats = materialize(dealt.withColumn("seat", F.monotonically_increasing_id()), "seats")
     seats = seats.select("doc_id", "norm", F.expr(f"seat div {docs_per_block}").alias("block"))
     placed = index.postings.join(F.broadcast(seats) if fits_broadcast(seats, limit) else seats, "doc_id")
+    # Dealt by block, a document's postings stay neighbours on the way, and its columns shrink to little.
+    placed = placed.select("term", "block", "doc_id", "tf", "norm").repartition("block")
     part = F.struct("doc_id", (F.col("tf") / F.col("norm")).alias("part"))
     lists = placed.groupBy("term", "block").agg(F.sort_array(F.collect_list(part)).alias("_list"))
     lists = lists.select(
@@ -76,38 +78,37 @@ def in_blocks(index: Index, docs_per_block: int = DOCS_PER_BLOCK, limit: int = B
         F.col("_list.doc_id").alias("doc_ids"),
         F.col("_list.part").alias("parts"),
     )
-    ranged = lists.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
-    return BlockIndex(materialize(ranged, "posting-blocks"), index.stats, index.n_docs, docs_per_block)
+    written = materialize(lists.sortWithinPartitions("term", "block"), "posting-blocks")
+    return BlockIndex(written, index.stats, index.n_docs, docs_per_block)
 
 
-def _met(built: BlockIndex, vectors: DataFrame, limit: int) -> DataFrame:
+def _met(built: BlockIndex, vectors: DataFrame, limit: int, *lists: str) -> DataFrame:
     """``(qid, block, term, x, gain)``: for each query and block, its terms there, their weight in the
-    query and what they add to a score at most. The lists themselves are not read."""
-    bounds = built.lists.select("term", "block", "top")
+    query and what they add to a score at most. Of the lists themselves only columns ``lists`` are read.
+
+    Query tables that can be broadcast meet the lists where they lie, so that rows are formed again
+    rather than written and shuffled."""
+    bounds = built.lists.select("term", "block", "top", *lists)
     if fits_broadcast(vectors, limit):
         met = bounds.join(F.broadcast(vectors), "term")
     else:
         counts = built.stats.select("term", F.ceil(F.col("df") / F.lit(float(built.docs_per_block))).alias("n"))
         met = expanding_join(bounds, vectors, "term", spread="block", counts=counts, limit=limit)
-    return met.select("qid", "block", "term", "x", (F.col("x") * F.col("top")).alias("gain"))
+    return met.select("qid", "block", "term", "x", (F.col("x") * F.col("top")).alias("gain"), *lists)
 
 
-def _lists(built: BlockIndex, wanted: DataFrame, limit: int) -> DataFrame:
-    """``wanted`` rows (term, block, ...) with their lists, of which only those asked for are read."""
-    terms = wanted.select("term").distinct()
-    held = built.lists.select("term", "block", "doc_ids", "parts")
-    if fits_broadcast(terms, limit):
-        held = held.join(F.broadcast(terms), "term", "left_semi")
-    # Both keys together: a frequent term has as many blocks as the corpus.
-    return wanted.join(held, ["term", "block"])
+def _together(entries: DataFrame, blocks: DataFrame, keep: Column, limit: int) -> DataFrame:
+    """``entries`` whose query and block are in ``blocks(qid, block, ...)`` and for which ``keep`` holds, dealt by
+    query and block: whole lists are moved, once, and unfolded where they arrive."""
+    if fits_broadcast(blocks, limit):
+        return entries.join(F.broadcast(blocks), ["qid", "block"]).where(keep).repartition("qid", "block")
+    return entries.join(blocks.hint("merge"), ["qid", "block"]).where(keep)
 
 
-def _sums(entries: DataFrame) -> DataFrame:
-    """``(qid, block, doc_id, part)``: what the listed postings give each document."""
-    unfolded = entries.select("qid", "block", "x", F.inline(F.arrays_zip("doc_ids", "parts")))
-    return unfolded.groupBy("qid", "block", F.col("doc_ids").alias("doc_id")).agg(
-        F.sum(F.col("x") * F.col("parts")).alias("part")
-    )
+def _unfolded(entries: DataFrame, *more: str) -> DataFrame:
+    """``(qid, block, doc_id, part)``: what each listed posting gives its document."""
+    rows = entries.select("qid", "block", "x", *more, F.inline(F.arrays_zip("doc_ids", "parts")))
+    return rows.select("qid", "block", F.col("doc_ids").alias("doc_id"), (F.col("x") * F.col("parts")).alias("part"), *more)
 
 
 def _kth(scored: DataFrame, k: int) -> DataFrame:
@@ -130,55 +131,64 @@ def search_blocks(
     vectors = materialize(
         query_vectors(index, queries, limit).select("qid", "term", (F.col("qw") * idf).alias("x")), "query-weights"
     )
-    met = materialize(_met(built, vectors, limit), "block-bounds")
+    met = _met(built, vectors, limit)
+    wide = _met(built, vectors, limit, "doc_ids", "parts")
     reach = materialize(met.groupBy("qid", "block").agg(F.sum("gain").alias("most")), "block-reach")
     seeds = max(2, -(-SEED_DOCS * k // built.docs_per_block))
     order = Window.partitionBy("qid").orderBy(F.desc("most"), "block")
     first = materialize(
         reach.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= seeds).select("qid", "block"), "seed-blocks"
     )
-    first = F.broadcast(first) if fits_broadcast(first, limit) else first
-    scored = materialize(_sums(_lists(built, met.join(first, ["qid", "block"], "left_semi"), limit)), "seed-scores")
+    sums = _unfolded(_together(wide, first, F.lit(True), limit)).groupBy("qid", "block", "doc_id").agg(F.sum("part").alias("part"))
+    scored = materialize(sums, "seed-scores")
     floors = materialize(_kth(scored, k), "floors")
     floors = F.broadcast(floors) if fits_broadcast(floors, limit) else floors
+    seeded = F.broadcast(first) if fits_broadcast(first, limit) else first
 
     # Blocks that the floor leaves, each with the floor less what rounding may hide.
     least = F.coalesce("floor", F.lit(0.0)) - MARGIN
-    left = reach.join(first, ["qid", "block"], "left_anti").join(floors, "qid", "left")
+    left = reach.join(seeded, ["qid", "block"], "left_anti").join(floors, "qid", "left")
     left = materialize(left.where(F.col("most") >= least).select("qid", "block", least.alias("least")), "blocks-in-reach")
     running = Window.partitionBy("qid", "block").orderBy("gain", "term").rowsBetween(Window.unboundedPreceding, 0)
-    terms = met.join(left, ["qid", "block"]).withColumn("_sum", F.sum("gain").over(running))
-    terms = materialize(terms.withColumn("needed", F.col("_sum") >= F.col("least")), "terms-in-reach")
-    found = _sums(_lists(built, terms.where("needed").select("qid", "block", "term", "x"), limit))
-    others = terms.where("NOT needed")
-    rest = others.groupBy("qid", "block").agg(F.sum("gain").alias("rest"))
-    hopeful = (
-        found.join(rest, ["qid", "block"], "left")
-        .join(left, ["qid", "block"])
-        .where(F.col("part") + F.coalesce("rest", F.lit(0.0)) >= F.col("least") - MARGIN)
-        .select("qid", "block", "doc_id", "part")
+    needed = F.sum("gain").over(running) >= F.col("least")
+    terms = _together(met, left, F.lit(True), limit).withColumn("needed", needed)
+    # By gain and term the needed ones come last: where they begin, and what the others give at most.
+    place = F.struct("gain", "term")
+    cuts = terms.groupBy("qid", "block").agg(
+        F.first("least").alias("least"),
+        F.min(F.when(F.col("needed"), place)).alias("begin"),
+        F.sum(F.when(~F.col("needed"), F.col("gain"))).alias("rest"),
+    )
+    cuts = materialize(cuts.where("begin IS NOT NULL"), "terms-in-reach")
+    entries = _together(wide, cuts, place >= F.col("begin"), limit)
+    found = _unfolded(entries, "least", "rest").groupBy("qid", "block", "doc_id").agg(
+        F.sum("part").alias("part"), F.first("least").alias("least"), F.first("rest").alias("rest")
     )
-    hopeful = materialize(hopeful, "documents-in-reach")
+    may = F.col("part") + F.coalesce("rest", F.lit(0.0)) >= F.col("least") - MARGIN
+    own = F.collect_list(F.struct(F.col("doc_id").alias("doc_ids"), F.col("part").alias("parts")))
+    hopeful = materialize(found.where(may).groupBy("qid", "block").agg(own.alias("_found")), "documents-in-reach")
     # The lists of the other terms, cut to the documents that may still reach the floor.
-    asked = hopeful.groupBy("qid", "block").agg(F.collect_set("doc_id").alias("_asked"))
-    looked = _lists(built, others.select("qid", "block", "term", "x").join(asked, ["qid", "block"]), limit)
-    looked = looked.select(
-        "qid",
-        "block",
-        "x",
-        F.inline(F.filter(F.arrays_zip("doc_ids", "parts"), lambda e: F.array_contains("_asked", e["doc_ids"]))),
-    ).select("qid", "block", F.col("doc_ids").alias("doc_id"), (F.col("x") * F.col("parts")).alias("part"))
+    asked = hopeful.select("qid", "block", F.col("_found.doc_ids").alias("_asked"))
+    asked = materialize(
+        asked.join(cuts.where("rest IS NOT NULL").select("qid", "block", "begin"), ["qid", "block"]), "documents-asked"
+    )
+    others = wide.join(F.broadcast(asked) if fits_broadcast(asked, limit) else asked, ["qid", "block"])
+    asked_for = F.filter(F.arrays_zip("doc_ids", "parts"), lambda e: F.array_contains("_asked", e["doc_ids"]))
+    looked = others.where(place < F.col("begin")).select("qid", "block", "x", asked_for.alias("_found")).where("size(_found) > 0")
     if report is not None:
         looked = materialize(looked, "looked-up")
-        unfolded = _lists(built, met.join(first, ["qid", "block"], "left_semi"), limit).agg(F.sum(F.size("parts"))).first()[0] or 0
-        unfolded += _lists(built, terms.where("needed"), limit).agg(F.sum(F.size("parts"))).first()[0] or 0
+        seen = _together(wide, first, F.lit(True), limit).select("parts").unionByName(entries.select("parts"))
+        unfolded = seen.agg(F.sum(F.size("parts"))).first()[0] or 0
         report |= {
             "bounds": met.count(),
             "met": reach.count(),
             "blocks": left.count() + first.count(),
-            "postings": unfolded + looked.count(),
+            "postings": unfolded + (looked.agg(F.sum(F.size("_found"))).first()[0] or 0),
         }
-    whole = hopeful.unionByName(looked).groupBy("qid", "block", "doc_id").agg(F.sum("part").alias("part"))
+    # What was found is one more list. Lists are moved whole and unfolded where they meet.
+    lists = hopeful.select("qid", "block", F.lit(1.0).alias("x"), "_found").unionByName(looked).repartition("qid", "block")
+    lists = lists.select("qid", "block", "x", F.col("_found.doc_ids").alias("doc_ids"), F.col("_found.parts").alias("parts"))
+    whole = _unfolded(lists).groupBy("qid", "block", "doc_id").agg(F.sum("part").alias("part"))
     best = Window.partitionBy("qid").orderBy(F.desc("probability"), "doc_id")
     return (
         whole.unionByName(scored)
