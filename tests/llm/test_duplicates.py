@@ -205,6 +205,36 @@ def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
     assert made[0] < 800
 
 
+def test_bitmaps_grow_with_their_sets():
+    draw = np.random.default_rng(2)
+    for size in (600, 3000, 12_000):
+        x, y = (np.unique(draw.integers(0, 2**63, size).astype(np.uint64)) for _ in range(2))
+        words = ngram_join.bitmap_words(size)
+        one, other = ngram_join.bitmap(x, words), ngram_join.bitmap(y, words)
+        # Sets alike by 0.75 differ in a seventh of their shingles.
+        assert np.bitwise_count(one ^ other).sum() * 175 > 2 * size * 25
+        assert (one[: words // 2] ^ one[words // 2 :] == ngram_join.bitmap(x, words // 2)).all()
+
+
+def crossed(rows, bitmaps):
+    """The pairs of rows (place, doc_id, n, label, at)."""
+    table = pa.table([pa.array(c, pa.int64()) for c in zip(*rows)], ["place", "doc_id", "n", "label", "at"])
+    held = [(doc, n, bitmaps.get(doc, b"")) for doc, n in sorted({(row[1], row[2]) for row in rows}, reverse=True)]
+    found = ngram_join._cross(table, pa.table([pa.array(c) for c in zip(*held)], ["doc_id", "n", "bitmap"]), 75)
+    return sorted(zip(found.column("a").to_pylist(), found.column("b").to_pylist()))
+
+
+def test_long_documents_around_a_passage_make_no_pairs():
+    draw = np.random.default_rng(4)
+    sets = {i: draw.integers(0, 2**63, 3000 + i).astype(np.uint64) for i in range(60)}
+    sets[100] = np.concatenate([sets[7][:2800], draw.integers(0, 2**63, 100).astype(np.uint64)])
+    bitmaps = {i: ngram_join.bitmap(x, ngram_join.bitmap_words(len(x))).tobytes() for i, x in sets.items()}
+    rows = [(5, i, len(x), i, 3) for i, x in sets.items()] + [(6, i, len(x), i, 4) for i, x in sets.items()]
+    assert crossed(rows, bitmaps) == [(7, 100)]
+    # Where the place comes in them bounds what follows: 858 of 1,000 must be shared.
+    assert crossed([(1, 1, 1000, 1, 142), (1, 2, 1000, 2, 142), (1, 3, 1000, 3, 143), (1, 4, 1000, 1, 0)], {}) == [(1, 2), (2, 4)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100)]
     found = {row["id"]: row["label"] for row in ngram_join.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -1,10 +1,10 @@
 """N-gram Jaccard join by vertical partitioning.
 
-All shingles have one global order: frequent ones last, hashes otherwise. Two sets alike by
-0.75 share a shingle among the first quarter (and one) of each, its prefix. The order is cut into
-fragments; within a fragment the parts of all prefixes meet, partial overlaps are counted
-there, and per pair the counts of all fragments are summed. The sum bounds what the whole sets
-can share, and the pairs that remain are counted exactly.
+All shingles have one global order: frequent ones last, the most frequent at the very end, hashes
+otherwise. Two sets alike by 0.75 share a shingle among the first quarter (and one) of each, its
+prefix. The order is cut into fragments; within a fragment the parts of all prefixes meet. Where
+in two sets a common shingle stands bounds what they can share, their bitmaps bound in what they
+differ, and the pairs that remain are counted exactly.
 
 Linked documents form components, and not all pairs of a large group are ever formed: first,
 in a few rounds, each document meets the centres of its groups (stars, other centres in each
@@ -38,10 +38,12 @@ MEMO = 1 << 17
 STARS = 2  # star centres that a document is compared with in a round
 ROUNDS = 6  # of stars at most
 CROSS_FRAGMENTS = 64
-BITMAP_WORDS = 8
+PAIRS_AT_ONCE = 1 << 18
+BITMAP_WORDS = 8  # at least
+MOST_BITMAP_WORDS = 256
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_LAST = np.uint64(1 << 63)
+_LAST = np.uint64(1 << 62)
 
 SETS = "doc_id long, n long, sign1 long, sign2 long, prefix binary, bitmap binary"
 
@@ -74,12 +76,13 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed)
 
 
-def in_order(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Places in the global order, ascending: the frequent shingles come after all others."""
-    places = shingles >> np.uint64(1)
+def in_order(shingles: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Places in the global order, ascending: those of ``frequent``, which is sorted, come by their ranks
+    after all others, which come by their hashes."""
+    places = shingles >> np.uint64(2)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        places = np.sort(places | np.where(frequent[at] == shingles, _LAST, np.uint64(0)))
+        places = np.sort(np.where(frequent[at] == shingles, ranks[at] | _LAST, places))
     return places
 
 
@@ -88,9 +91,16 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def bitmap_words(n: int) -> int:
+    """A power of two that gives a set of ``n`` shingles 0.75 to 1.5 bits for each: with far fewer, the bitmaps
+    of any two sets differ in about half of them, and so in less than the sets may."""
+    return min(MOST_BITMAP_WORDS, max(BITMAP_WORDS, 1 << (3 * n // 256).bit_length()))
+
+
 def bitmap(shingles: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     """Each bit is whether an odd number of shingles fall on it. Two bitmaps differ in no more bits than
-    their sets differ in shingles, as each shingle of one set alone turns one bit round."""
+    their sets differ in shingles, as each shingle of one set alone turns one bit round. The halves of a
+    bitmap, one turned round by the other, are that of half as many words."""
     odd = np.bincount((shingles & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -109,18 +119,20 @@ def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQUENT_HELD) -> np.ndarray:
-    """The most frequent shingles, counted over all documents, at most ``held`` of them.
+    """The most frequent shingles, counted over all documents, at most ``held`` of them, the rarest first.
 
     They only decide the order, so that passages that many documents share are met late. A result
     never depends on which shingles these are.
     """
     counts = texts.mapInArrow(_often, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(held).select("shingle")
-    return np.sort(np.array([row["shingle"] for row in top.collect()], np.int64).view(np.uint64))
+    return np.array([row["shingle"] for row in top.collect()], np.int64).view(np.uint64)[::-1]
 
 
 @gives_back
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    ranks = np.argsort(frequent)
+    frequent, ranks = frequent[ranks], ranks.astype(np.uint64)
     for batch in in_pieces(batches):
         sizes, signs, prefixes, bitmaps = [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -129,9 +141,9 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int)
             sizes.append(n)
             sign = xxhash.xxh3_128_digest(shingles.tobytes())
             signs.append(np.frombuffer(sign, "<i8"))
-            first = in_order(shingles, frequent)[: prefix_length(n, percent)] if n else shingles
+            first = in_order(shingles, frequent, ranks)[: prefix_length(n, percent)] if n else shingles
             prefixes.append(first.tobytes())
-            bitmaps.append(bitmap(shingles).tobytes())
+            bitmaps.append(bitmap(shingles, bitmap_words(n)).tobytes())
         signs = np.array(signs, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [
@@ -145,25 +157,28 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, percent: int)
 
 @gives_back
 def _fragments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Prefixes cut at the fragments of the order: rows of (fragment, shingles, documents, sizes)."""
+    """Prefixes cut at the fragments of the order: rows of (fragment, shingles, owners), where each owner is a
+    document with its size, the rank in it of the first of its shingles here, and their number."""
     for batch in batches:
         prefixes = batch.column("prefix").to_pylist()
         places = np.frombuffer(b"".join(prefixes), np.uint64)
         each = np.array([len(p) // 8 for p in prefixes])
         docs = np.repeat(batch.column("doc_id").to_numpy(), each)
+        row = np.repeat(np.arange(len(each)), each)
         sizes = np.repeat(batch.column("n").to_numpy(), each).astype(np.int32)
-        fragment = (places >> np.uint64(64 - bits)).astype(np.int64)
+        ranks = np.arange(len(places)) - np.repeat(np.cumsum(each) - each, each)
+        fragment = (places >> np.uint64(63 - bits)).astype(np.int64)
         order = np.argsort(fragment, kind="stable")
         fragment = fragment[order]
         cuts = np.flatnonzero(np.concatenate(([True], fragment[1:] != fragment[:-1]))) if len(fragment) else []
         ends = [*cuts[1:], len(fragment)]
         rows = []
         for a, b in zip(cuts, ends):
-            inside = docs[order[a:b]]
-            runs = np.flatnonzero(np.concatenate(([True], inside[1:] != inside[:-1])))
+            inside = order[a:b]
+            runs = np.flatnonzero(np.concatenate(([True], row[inside[1:]] != row[inside[:-1]])))
             lengths = np.diff(np.concatenate((runs, [len(inside)])))
-            owners = np.stack((inside[runs], sizes[order[a:b]][runs], lengths))
-            rows.append((int(fragment[a]), places[order[a:b]].tobytes(), owners.astype("<i8").tobytes()))
+            owners = np.stack((docs[inside[runs]], sizes[inside[runs]], ranks[inside[runs]], lengths))
+            rows.append((int(fragment[a]), places[inside].tobytes(), owners.astype("<i8").tobytes()))
         columns = list(zip(*rows)) if rows else [(), (), ()]
         kinds = (pa.int64(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -171,15 +186,17 @@ def _fragments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
         )
 
 
-def _unfolded(places: list[bytes], owners: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles with their documents and sizes, from rows of a fragment."""
-    runs = np.concatenate([np.frombuffer(o, "<i8").reshape(3, -1) for o in owners], axis=1)
-    return np.frombuffer(b"".join(places), np.int64), np.repeat(runs[0], runs[2]), np.repeat(runs[1], runs[2])
+def _unfolded(places: list[bytes], owners: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles with their documents, sizes and ranks, from rows of a fragment."""
+    docs, sizes, firsts, lengths = np.concatenate([np.frombuffer(o, "<i8").reshape(4, -1) for o in owners], axis=1)
+    within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    places = np.frombuffer(b"".join(places), np.int64)
+    return places, np.repeat(docs, lengths), np.repeat(sizes, lengths), np.repeat(firsts, lengths) + within
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """The shingles of a fragment that two documents at least hold: rows (place, doc_id, n)."""
-    places, docs, sizes = _unfolded(*(table.column(c).to_pylist() for c in ("places", "owners")))
+    """The shingles of a fragment that two documents at least hold: rows (place, doc_id, n, at)."""
+    places, docs, sizes, ranks = _unfolded(*(table.column(c).to_pylist() for c in ("places", "owners")))
     order = np.lexsort((docs, places))
     ordered, owner = places[order], docs[order]
     # Rows that repeat an id hold a shingle once.
@@ -188,11 +205,11 @@ def _shared(table: pa.Table) -> pa.Table:
     same = np.concatenate(([False], ordered[1:] == ordered[:-1]))
     same[:-1] |= same[1:]
     kept = order[same]
-    return pa.table({"place": pa.array(places[kept]), "doc_id": pa.array(docs[kept]), "n": pa.array(sizes[kept])})
+    return pa.table([pa.array(column[kept]) for column in (places, docs, sizes, ranks)], ["place", "doc_id", "n", "at"])
 
 
 def shared_shingles(sets: DataFrame) -> DataFrame:
-    """``(place, doc_id, n)``: each prefix shingle that several sets hold, with these sets.
+    """``(place, doc_id, n, at)``: each prefix shingle that several sets hold, with these sets and its rank in each.
 
     A fragment is a range of the order with about half a million shingles. Frequent shingles are
     known to be shared, so they need not meet: they never make a fragment large.
@@ -205,14 +222,14 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
         sets.select("doc_id", "n", "prefix").mapInArrow(partial(_fragments, bits=bits), kind), "prefix-fragments"
     )
     common = F.col("fragment") >= (1 << (bits - 1))
-    rare = cut.where(~common).groupBy("fragment").applyInArrow(_shared, "place long, doc_id long, n long")
-    known = cut.where(common).mapInArrow(_rows, "place long, doc_id long, n long")
+    rare = cut.where(~common).groupBy("fragment").applyInArrow(_shared, "place long, doc_id long, n long, at long")
+    known = cut.where(common).mapInArrow(_rows, "place long, doc_id long, n long, at long")
     return rare.unionByName(known)
 
 
 def one_per_list(shared: DataFrame) -> DataFrame:
-    """``(place, doc_id, n, weight)``: neighbouring shingles of a passage have the same documents;
-    one of them stands for all, with their number as its weight. Lists are told apart by
+    """``(place, doc_id, n, at, weight)``: neighbouring shingles of a passage have the same documents;
+    the first of them stands for all, with their number as its weight. Lists are told apart by
     their length and two hashes of their documents."""
     marks = [F.bit_xor(F.xxhash64("doc_id", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)]
     lists = shared.groupBy("place").agg(*marks, F.count(F.lit(1)).alias("held"))
@@ -226,7 +243,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for places, owners in zip(*(batch.column(c).to_pylist() for c in ("places", "owners"))):
             columns = _unfolded([places], [owners])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["place", "doc_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["place", "doc_id", "n", "at"])
 
 
 def labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -261,74 +278,97 @@ def star_pairs(own: DataFrame, number: int, percent: int = PERCENT, stars: int =
     return counted.withColumn("_at", F.row_number().over(best)).where(F.col("_at") <= stars).select("a", "b")
 
 
-def _cross(table: pa.Table, percent: int) -> pa.Table:
-    """Partial overlaps in a group of places: pairs of different components, with their count.
-
-    Sets alike by ``percent`` differ in a bounded number of shingles, so pairs whose bitmaps differ in more
-    bits never come out: documents around a common passage that have little else in common.
+def _by_words(bitmaps: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each number of words that a bitmap here has: all that have as many or more, folded to
+    that length, and the row there of each bitmap."""
+    words = np.array([len(held) // 8 for held in bitmaps])
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    above, folded = np.empty(0, np.int64), None
+    for length in np.unique(words)[::-1].tolist():
+        own = np.flatnonzero(words == length)
+        made = np.frombuffer(b"".join(bitmaps[k] for k in own), np.uint64).reshape(len(own), length)
+        if folded is not None:
+            parts = folded.reshape(len(folded), -1, length) if length else folded[:, None, :0]
+            made = np.concatenate((np.bitwise_xor.reduce(parts, axis=1), made))
+        above, folded = np.concatenate((above, own)), made
+        at = np.full(len(words), -1)
+        at[above] = np.arange(len(above))
+        found[length] = at, folded
+    return found
+
+
+def _cross(table: pa.Table, bitmaps: pa.Table, percent: int) -> pa.Table:
+    """Pairs of different components that share one of a group of places and can still be alike.
+
+    Of the shingles that two sets share, all follow their first common place in both: where it comes
+    too late in one of them, what is left is too few. And sets alike by ``percent`` differ in a bounded
+    number of shingles, so their bitmaps differ in no more bits.
     """
-    place = table.column("place").to_numpy()
-    docs, sizes, labels, weights = (table.column(c).to_numpy() for c in ("doc_id", "n", "label", "weight"))
-    bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), np.uint64).reshape(len(place), -1)
+    place, docs, sizes, labels, ranks = (table.column(c).to_numpy() for c in ("place", "doc_id", "n", "label", "at"))
+    by = np.lexsort((sizes, docs))
+    new = np.concatenate(([True], (docs[by[1:]] != docs[by[:-1]]) | (sizes[by[1:]] != sizes[by[:-1]])))
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(new) - 1
+    each = np.lexsort((bitmaps.column("n").to_numpy(), bitmaps.column("doc_id").to_numpy()))
+    held = _by_words(bitmaps.column("bitmap").take(pa.array(each)).to_pylist())
+    words = np.zeros(len(each), np.int64)
+    for length in sorted(held):
+        words[held[length][0] >= 0] = length
+
     order = np.lexsort((docs, sizes, place))
-    place, docs, sizes, labels, weights, bits = (x[order] for x in (place, docs, sizes, labels, weights, bits))
-    starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    ends = np.concatenate((starts[1:], [len(place)]))
-    left, right, n_left, n_right, overlap = [], [], [], [], []
-    for low, high in zip(starts, ends):
-        own, n, label, times, bit = docs[low:high], sizes[low:high], labels[low:high], weights[low], bits[low:high]
-        reach = np.searchsorted(n * percent, n * 100, side="right")
-        for i in range(len(own) - 1):
-            others = slice(i + 1, int(reach[i]))
-            apart = np.flatnonzero(label[others] != label[i]) + i + 1
-            # Of x + y shingles, 100 - percent in 100 + percent may be in one set alone.
-            unlike = np.bitwise_count(bit[apart] ^ bit[i]).sum(axis=1, dtype=np.int64)
-            apart = apart[unlike * (100 + percent) <= (n[apart] + n[i]) * (100 - percent)]
-            if len(apart):
-                left.append(np.full(len(apart), own[i]))
-                right.append(own[apart])
-                n_left.append(np.full(len(apart), n[i]))
-                n_right.append(n[apart])
-                overlap.append(np.full(len(apart), times))
-    empty = [np.empty(0, np.int64)]
-    a, b, na, nb, times = (np.concatenate(x or empty) for x in (left, right, n_left, n_right, overlap))
-    swap = a > b
-    a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
-    order = np.lexsort((b, a))
-    a, b, na, nb, times = a[order], b[order], na[order], nb[order], times[order]
-    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.empty(0, int)
-    summed = np.add.reduceat(times, first) if len(a) else times
-    return pa.table(
-        {"a": pa.array(a[first]), "b": pa.array(b[first]), "na": pa.array(na[first]), "nb": pa.array(nb[first]), "overlap": pa.array(summed)}
-    )
+    place, docs, sizes, labels, ranks, number = (x[order] for x in (place, docs, sizes, labels, ranks, number))
+    group = np.cumsum(np.concatenate(([False], place[1:] != place[:-1]))) << 32
+    reach = np.searchsorted(group | sizes, group | np.minimum(sizes * 100 // percent, (1 << 32) - 1), side="right")
+    counts = reach - np.arange(len(place)) - 1
+    ends = np.cumsum(counts)
+    pairs = [np.empty((2, 0), np.int64)]
+    low = 0
+    while low < len(place):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right")))
+        times = counts[low:high]
+        i = np.repeat(np.arange(low, high), times)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+        low = high
+        both = sizes[i] + sizes[j]
+        needed = -(-both * percent // (100 + percent))
+        apart = (labels[i] != labels[j]) & (ranks[i] <= sizes[i] - needed) & (ranks[j] <= sizes[j] - needed)
+        i, j, both = i[apart], j[apart], both[apart]
+        at, first = np.unique(number[i] * len(each) + number[j], return_index=True)
+        i, j, both = i[first], j[first], both[first]
+        length = np.minimum(words[number[i]], words[number[j]])
+        for size in np.unique(length).tolist():
+            at, rows = held[size]
+            alike = np.flatnonzero(length == size)
+            step = max(1, (1 << 21) // max(1, size))
+            for k in range(0, len(alike), step):
+                part = alike[k : k + step]
+                x, y = rows[at[number[i[part]]]], rows[at[number[j[part]]]]
+                unlike = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                part = part[unlike * (100 + percent) <= both[part] * (100 - percent)]
+                a, b = docs[i[part]], docs[j[part]]
+                pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
+    a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
 def cross_pairs(mixed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``(a, b)``: all pairs of different components that can still be alike.
+    """``(a, b)``: all pairs of different components that can still be alike, of documents
+    ``(doc_id, n, label, places, bitmap)``. Places meet in groups, and a bitmap is sent once to each group
+    that its document has places in."""
+    held = mixed.agg(F.sum(F.size("places"))).first()[0] or 0
+    fragments = max(CROSS_FRAGMENTS, 3 * held // PER_FRAGMENT)
 
-    Partial overlaps are counted fragment by fragment and summed per pair; as the rest of the set
-    whose prefix ends first is all that could be shared besides, few pairs remain.
-    """
-    # A row is about three times as large as without its bitmap.
-    fragments = max(CROSS_FRAGMENTS, 3 * mixed.count() // PER_FRAGMENT)
-
-    def cross(table: pa.Table) -> pa.Table:
-        return _cross(table, percent)
+    def fragment(place):
+        return F.pmod(F.xxhash64(place), F.lit(fragments))
 
-    counted = (
-        mixed.withColumn("fragment", F.pmod(F.xxhash64("place"), F.lit(fragments)))
-        .groupBy("fragment")
-        .applyInArrow(cross, "a long, b long, na long, nb long, overlap long")
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("overlap").alias("overlap"))
-    )
-    # Shingles outside both prefixes: at most what the set whose prefix ends first has left.
-    def left(n: str):
-        return F.floor(F.col(n) * percent / 100 + F.lit(0.999999)) - 1
+    def cross(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
+        return _cross(table, bitmaps, percent)
 
-    most = F.col("overlap") + F.greatest(left("na"), left("nb"))
-    needed = F.col("na") + F.col("nb")
-    return counted.where(most * (100 + percent) >= needed * percent).select("a", "b")
+    rows = mixed.select("doc_id", "n", "label", F.inline("places")).withColumn("fragment", fragment("place"))
+    met = F.array_distinct(F.transform("places", lambda one: fragment(one["place"])))
+    bitmaps = mixed.select("doc_id", "n", "bitmap", F.explode(met).alias("fragment"))
+    return rows.groupBy("fragment").cogroup(bitmaps.groupBy("fragment")).applyInArrow(cross, "a long, b long").distinct()
 
 
 @gives_back
@@ -436,10 +476,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         if links.isEmpty():
             break
         labels = components(_edges(labels).unionByName(links))
-    mixed = materialize(mixed_only(labelled(shared, labels)), "mixed-shingles")
-    met = mixed.select("doc_id", "n").distinct()
-    bitmaps = materialize(first.select("doc_id", "n", "bitmap").join(_few(met), ["doc_id", "n"]), "set-bitmaps")
-    mixed = mixed.join(_few(bitmaps), ["doc_id", "n"])
+    mixed = mixed_only(labelled(shared, labels))
+    places = F.collect_list(F.struct("place", "at")).alias("places")
+    mixed = materialize(mixed.groupBy("doc_id", "n", "label").agg(places), "document-places")
+    met = _few(mixed.select("doc_id", "n"))
+    # An id that has several texts of one size has no bitmap that holds for all.
+    one = F.when(F.min("bitmap") == F.max("bitmap"), F.min("bitmap")).otherwise(F.lit(b"")).alias("bitmap")
+    bitmaps = first.select("doc_id", "n", "bitmap").join(met, ["doc_id", "n"], "left_semi").groupBy("doc_id", "n").agg(one)
+    mixed = materialize(mixed.join(bitmaps, ["doc_id", "n"]), "compared-documents")
     pairs = materialize(cross_pairs(mixed, percent), "cross-pairs")
     more = linked(texts, pairs, "cross-links", percent)
     labels = components(_edges(labels).unionByName(more))
