@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from textloom.llm import exact_dedup, language_id, ngram_join, packing, suffix_dedup
 from textloom.operators.joins import fits_broadcast
-from textloom.session import materialize
+from textloom.llm.pretokens import PIECE
+from textloom.session import batches_of, materialize
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -30,7 +31,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     labelled = rows.where(~language_id.held_out()).select("doc_id", "text", "lang")
     own = rows.select(F.col("_place").alias("doc_id"), "text")
     found = language_id.languages(own, language_id.training_texts(labelled))
-    gone = materialize(found.where("rejected").select(F.col("doc_id").alias("_gone")), "unknown-language")
+    with batches_of(spark, PIECE):
+        gone = materialize(found.where("rejected").select(F.col("doc_id").alias("_gone")), "unknown-language")
     return rows.join(_few(gone), rows["_place"] == gone["_gone"], "left_anti").drop("_place")
 
 
@@ -68,9 +70,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = exact_dedup.placed(docs)
     numbered = rows.select(F.col("_place").alias("doc_id"), "text")
     cut = suffix_dedup.without_repeats(numbered, with_text=True)
-    kept = materialize(
-        cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut"), F.col("kept").alias("_kept")), "cut-texts"
-    )
+    with batches_of(spark, PIECE):
+        kept = materialize(
+            cut.where("n_removed > 0").select(F.col("doc_id").alias("_cut"), F.col("kept").alias("_kept")), "cut-texts"
+        )
     text = F.when(F.col("_cut").isNull(), rows["text"]).otherwise(F.col("_kept"))
     new = {"text": text, "n_chars": F.when(F.col("_cut").isNull(), rows["n_chars"]).otherwise(F.length("_kept").cast("long"))}
     return (

@@ -55,6 +55,21 @@ def test_whole_sets_come_in_pieces():
     assert peak < 6 << 20
 
 
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """Tasks that cut suffixes get a thousand texts at most, and the setting is as it was afterwards."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    written = suffix_dedup.materialize
+
+    def spied(df, label):
+        seen.setdefault(label, int(spark.conf.get(name)))
+        return written(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "materialize", spied)
+    before = spark.conf.get(name)
+    suffix_dedup.repeated_starts(frame(spark, [(1, "a" * 900)]))
+    assert seen["suffixes"] <= pretokens.PIECE < int(before) == int(spark.conf.get(name)) == seen["sorted-suffixes"]
+
+
 # Exact copies
 
 

@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from textloom.llm.pretokens import Memo, gives_back, in_pieces, one_held
+from textloom.llm.pretokens import PIECE, Memo, gives_back, in_pieces, one_held
 from textloom.operators.joins import fits_broadcast
-from textloom.session import discard, materialize, scratch_path
+from textloom.session import batches_of, discard, materialize, scratch_path
 
 WORDS = 5
 PERCENT = 75
@@ -402,13 +402,15 @@ def linked(texts: DataFrame, pairs: DataFrame, label: str, percent: int = PERCEN
     wanted = ids.union(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
     wanted = materialize(wanted, "compared-ids")
     kind, path = "doc_id long, shingles binary", scratch_path(spark, "whole-sets")
-    texts.join(_few(wanted), "doc_id", "left_semi").mapInArrow(_whole_sets, kind).write.parquet(path)
+    with batches_of(spark, PIECE):
+        texts.join(_few(wanted), "doc_id", "left_semi").mapInArrow(_whole_sets, kind).write.parquet(path)
     sets = spark.read.schema(kind).parquet(path)
     met = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b").join(
         sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a"
     )
     compared = met.select("a", "b", "of_a", "of_b").mapInArrow(partial(_compare, percent=percent), "a long, b long")
-    links = materialize(compared, label)
+    with batches_of(spark, PIECE):  # of two sets in a row
+        links = materialize(compared, label)
     discard(spark, path)
     return links
 
@@ -460,7 +462,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = frequent_shingles(texts.select("text"))
-    sets = materialize(texts.mapInArrow(partial(_sets, frequent=frequent, percent=percent), SETS), "shingle-sets")
+    with batches_of(spark, PIECE):
+        sets = materialize(texts.mapInArrow(partial(_sets, frequent=frequent, percent=percent), SETS), "shingle-sets")
     known = sets.where("n > 0 and doc_id is not null")
     classes = materialize(
         known.groupBy("sign1", "sign2", "n").agg(F.min("doc_id").alias("first_id")), "set-classes"
