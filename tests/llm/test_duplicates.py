@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from textloom.llm import exact_dedup, ngram_join, pretokens, suffix_dedup
+from textloom.session import batches_of
 
 
 def frame(spark, rows):
@@ -48,6 +49,19 @@ def test_often_holds_little_besides_the_sets():
     assert next(ngram_join._often(iter([batch.slice(0, 0)]))).num_rows == 0
 
 
+def test_often_counts_a_run_of_small_batches_as_one(monkeypatch):
+    batch = wordy_batch(6000)
+    parts = [batch.slice(low, 500) for low in range(0, 6000, 500)]
+
+    def rows(made):
+        return [sorted(zip(*(column.to_pylist() for column in one.columns))) for one in made]
+
+    assert rows(ngram_join._often(iter(parts))) == rows(ngram_join._often(iter([batch])))
+    monkeypatch.setattr(ngram_join, "COUNTED_AT_ONCE", 3000)
+    halves = [*ngram_join._often(iter([batch.slice(0, 3000)])), *ngram_join._often(iter([batch.slice(3000)]))]
+    assert rows(ngram_join._often(iter(parts))) == rows(halves)
+
+
 def test_whole_sets_come_in_pieces():
     batch = wordy_batch(6000)
     sizes, peak = traced_peak(lambda: [one.num_rows for one in ngram_join._whole_sets(iter([batch]))])
@@ -70,6 +84,14 @@ def test_texts_come_in_small_batches(spark, monkeypatch):
     assert seen["suffixes"] <= pretokens.PIECE < int(before) == int(spark.conf.get(name)) == seen["sorted-suffixes"]
 
 
+def test_files_of_texts_are_read_in_small_batches(spark):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before = [spark.conf.get(name) for name in names]
+    with batches_of(spark, 10):
+        assert [spark.conf.get(name) for name in names] == ["10", "10"]
+    assert [spark.conf.get(name) for name in names] == before
+
+
 # Exact copies
 
 

@@ -143,6 +143,20 @@ def test_packing(docs, texts, window):
     assert all(size == window for sequence, size in whole.items() if sequence != max(whole))
 
 
+def test_packing_takes_small_batches_and_cuts_in_generated_code(docs, monkeypatch):
+    spark, name = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, written, before = {}, packing.materialize, spark.conf.get(name)
+
+    def spied(df, label):
+        seen[label] = int(spark.conf.get(name))
+        return written(df, label)
+
+    monkeypatch.setattr(packing, "materialize", spied)
+    plan = pack(docs)._jdf.queryExecution().executedPlan().toString()
+    assert seen == {"placed": pretokens.PIECE} and spark.conf.get(name) == before
+    assert "lambdafunction" not in plan and "explode" in plan
+
+
 def test_packing_odd_rows(docs, texts):
     assert pack(docs).selectExpr("sum(length)", "count(distinct sequence_id)").first()[0] == sum(
         row["length"] for row in pack(docs).collect()
@@ -190,3 +204,18 @@ def test_a_worker_keeps_what_one_operator_built():
     assert len(one(4)) == 4 and len(one(5)) == 5 and built == [3, 1]
     pretokens.let_go()
     assert len(one(5)) == 5 and built == [4, 1]
+
+
+def test_what_is_let_go_goes_back_to_the_system(monkeypatch):
+    given = []
+    monkeypatch.setattr(pretokens, "give_back", lambda: given.append(1))
+    made = pretokens.one_held(lambda size: np.zeros(size))
+    pretokens.let_go()
+    before = len(given)
+    made(3)
+    made(3)
+    assert len(given) == before  # nothing was held
+    made(4)
+    pretokens.let_go()
+    pretokens.let_go()
+    assert len(given) == before + 2

@@ -32,7 +32,8 @@ WORDS = 5
 PERCENT = 75
 FREQUENT = 64  # documents from which a shingle counts as frequent
 FREQUENT_HELD = 1 << 17  # the most frequent ones that go to the end of the order: one megabyte
-OFTEN = 4  # times in a batch of documents from which a shingle is counted
+OFTEN = 4  # times in a run of documents from which a shingle is counted
+COUNTED_AT_ONCE = 10_000  # documents of a run
 PER_FRAGMENT = 500_000  # shingles
 MEMO = 1 << 17
 STARS = 2  # star centres that a document is compared with in a round
@@ -107,15 +108,28 @@ def bitmap(shingles: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
 
 @gives_back
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of several documents of a batch, with their number there."""
-    for batch in batches:
-        sets = [shingle_set(text) for part in in_pieces([batch]) for text in part.column("text").to_pylist()]
-        held = np.concatenate([np.empty(0, np.uint64), *sets])
-        del sets
-        held.sort()  # in place: a batch has millions of shingles, few of them often
-        found = np.unique(held[OFTEN - 1 :][held[OFTEN - 1 :] == held[: 1 - OFTEN]])
-        counts = np.searchsorted(held, found, "right") - np.searchsorted(held, found, "left")
-        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["shingle", "n"])
+    """Shingles of several documents of a run of ``COUNTED_AT_ONCE``, with their number there. Texts come
+    in smaller batches than that, so a run has its sets in memory and few of its texts."""
+    sets: list[np.ndarray] = []
+    for part in in_pieces(batches):
+        if len(sets) >= COUNTED_AT_ONCE:
+            held, sets = _joined(sets), []
+            yield _counted(held)
+            del held
+        sets += [shingle_set(text) for text in part.column("text").to_pylist()]
+    held, sets = _joined(sets), []
+    yield _counted(held)
+
+
+def _joined(sets: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint64), *sets])
+
+
+def _counted(held: np.ndarray) -> pa.RecordBatch:
+    held.sort()  # in place: a run has millions of shingles, few of them often
+    found = np.unique(held[OFTEN - 1 :][held[OFTEN - 1 :] == held[: 1 - OFTEN]])
+    counts = np.searchsorted(held, found, "right") - np.searchsorted(held, found, "left")
+    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["shingle", "n"])
 
 
 def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQUENT_HELD) -> np.ndarray:
@@ -126,7 +140,9 @@ def frequent_shingles(texts: DataFrame, least: int = FREQUENT, held: int = FREQU
     """
     counts = texts.mapInArrow(_often, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(held).select("shingle")
-    return np.array([row["shingle"] for row in top.collect()], np.int64).view(np.uint64)[::-1]
+    with batches_of(texts.sparkSession, PIECE):
+        rows = top.collect()
+    return np.array([row["shingle"] for row in rows], np.int64).view(np.uint64)[::-1]
 
 
 @gives_back

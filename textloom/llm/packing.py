@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from textloom.llm.pretokens import Memo, few_collections, in_pieces, one_held, splitter
+from textloom.llm.pretokens import PIECE, Memo, few_collections, gives_back, in_pieces, one_held, splitter
 from textloom.llm.token_count import LETTERS
 from textloom.operators.joins import fits_broadcast
-from textloom.session import materialize
+from textloom.session import batches_of, materialize
 
 WINDOW = 2048
 END_ID = 1
@@ -86,6 +86,7 @@ def word_encoder(content: bytes) -> WordEncoder:
     return made
 
 
+@gives_back
 def _place(
     batches: Iterator[pa.RecordBatch], make: Callable[[], Callable[[str], bytes]], end: bytes
 ) -> Iterator[pa.RecordBatch]:
@@ -123,7 +124,8 @@ def packed(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     end = np.uint32(end_id).tobytes()
     # Written, so that the places are fixed once and for all.
-    placed = materialize(rows.mapInArrow(partial(_place, make=make, end=end), PLACED), "placed")
+    with batches_of(docs.sparkSession, PIECE):  # of whole texts
+        placed = materialize(rows.mapInArrow(partial(_place, make=make, end=end), PLACED), "placed")
     # One row per partition of the input, however long the documents: 16 bytes for each.
     totals = placed.groupBy("part").agg(F.sum("n").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,23 +138,20 @@ def packed(
 def pieces(placed: DataFrame, window: int = WINDOW) -> DataFrame:
     """Cut ``placed(doc_id, ids, n, at)``, with places in the whole, at the window's multiples."""
     first, last = F.floor(F.col("at") / window), F.floor((F.col("at") + F.col("n") - 1) / window)
-
-    def piece(k):
-        start = F.greatest(k * window - F.col("at"), F.lit(0).cast("long"))
-        stop = F.least((k + 1) * window - F.col("at"), F.col("n"))
-        cut = F.substring("ids", (start * ID_BYTES + 1).cast("int"), ((stop - start) * ID_BYTES).cast("int"))
-        return F.struct(
-            start.alias("start"),
-            (stop - start).alias("length"),
-            F.crc32(cut).alias("ids_crc32"),
-            k.alias("sequence_id"),
-            (F.col("at") + start - k * window).alias("offset"),
-            cut.alias("ids"),
+    k, at = F.col("sequence_id"), F.col("at")
+    start = F.greatest(k * window - at, F.lit(0).cast("long"))
+    stop = F.least((k + 1) * window - at, F.col("n"))
+    # Numbers unfold first and ids are cut from the row as it stands, so both are in generated code:
+    # what an expression over arrays makes for every piece fills the heap faster than it is emptied.
+    cut = F.substring("ids", (F.col("start") * ID_BYTES + 1).cast("int"), (F.col("length") * ID_BYTES).cast("int"))
+    return (
+        placed.withColumn("sequence_id", F.explode(F.sequence(first, last)))
+        .select(
+            "doc_id", start.alias("start"), (stop - start).alias("length"), F.col("n").alias("doc_tokens"),
+            "sequence_id", (at + start - k * window).alias("offset"), "ids",
         )
-
-    return placed.select(
-        "doc_id", F.col("n").alias("doc_tokens"), F.inline(F.transform(F.sequence(first, last), piece))
-    ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
+        .select("doc_id", "start", "length", F.crc32(cut).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", cut.alias("ids"))
+    )
 
 
 def sequences(pieces_of: DataFrame) -> DataFrame:
