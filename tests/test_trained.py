@@ -2,10 +2,13 @@
 
 import math
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from textloom import session
 from textloom.functions import text as tx
 from textloom.functions.text import DOTTED, LAST_PIECE
 from textloom.operators import blockmax, boundaries, index, search, weights
@@ -140,3 +143,69 @@ def test_lists_move_whole(spark, corpus_of):
     plan = found._jdf.queryExecution().toString()
     assert "hashpartitioning(qid" in plan
     assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "doc_id" in line]
+
+
+def test_pairs_of_query_and_block_are_formed_in_place(spark, corpus_of, monkeypatch):
+    """Only the first blocks of a query are found by shuffling by query and block; its other lists stay where they were
+    dealt, and nothing that was found there is written but the best."""
+    texts = themed(random.Random(6), 200)
+    queries = spark.createDataFrame([(i, texts[i]) for i in range(5)], "qid bigint, text string")
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return session.materialize(df, label)
+
+    monkeypatch.setattr(blockmax, "materialize", noted)
+    blockmax.search_blocks(blockmax.in_blocks(index.build_index(corpus_of(*texts)), 8), queries, 5)
+    by_pair = {label for label, plan in plans.items() if re.search(r"hashpartitioning\(qid#\d+L?, block", plan)}
+    assert by_pair <= {"seed-blocks", "seed-scores"}
+    assert not any("in-reach" in label or "asked" in label for label in plans)
+    postings = [line for line in plans["posting-blocks"].splitlines() if "Exchange hashpartitioning" in line]
+    assert postings and all("(_deal" in line for line in postings)
+
+
+def test_shuffled_blocks_go_with_their_write(spark, corpus_of):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    texts = themed(random.Random(7), 100)
+    built = index.build_index(corpus_of(*texts))
+    queries = spark.createDataFrame([(i, texts[i]) for i in range(5)], "qid bigint, text string")
+    before = shuffled()
+    blockmax.search_blocks(blockmax.in_blocks(built, 8), queries, 5)
+    for _ in range(40):  # they go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.5)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_lists_hold_any_term(spark):
+    rows = [(d, t, d + n + 1) for d in range(6) for n, t in enumerate(["", "a", "a\0b", "b\0", "é", "x" * 300][: d + 1])]
+    postings = spark.createDataFrame(rows, "doc_id bigint, term string, tf bigint").coalesce(2)
+    plain = postings.where("term NOT LIKE '%\0%'")
+    for found in (postings, plain):
+        held = {(d, t): tf for d, t, tf in found.collect()}
+        built = index.Index(found, index.posting_frequency(found), 6)
+        norms = dict(weights.document_norms(built).collect())
+        lists = blockmax.in_blocks(built, 2).lists.collect()
+        assert all(1 <= len(row["doc_ids"]) <= 2 and row["top"] == max(row["parts"]) for row in lists)
+        unfolded = {(d, row["term"]): part for row in lists for d, part in zip(row["doc_ids"], row["parts"])}
+        assert unfolded == {(d, t): pytest.approx(tf / norms[d], rel=1e-12) for (d, t), tf in held.items()}
+        assert sum(len(row["doc_ids"]) for row in lists) == len(held)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_repeated_and_null_ids_are_found_by_blocks(spark, rows_of, limit):
+    dice = random.Random(8)
+    texts = themed(dice, 120)
+    corpus = list(enumerate(texts)) + [(i % 7, text) for i, text in enumerate(texts[60:90])] + [(None, texts[0])]
+    built = index.build_index(spark.createDataFrame(corpus, "doc_id bigint, text string"))
+    asked = [(i % 5, text) for i, text in enumerate(texts[:9])] + [(7, None), (8, "c0 c1 c2")]
+    queries = spark.createDataFrame(asked, "qid bigint, text string")
+    expected = rows_of(search.search_top_k(built, queries, 4), "qid", "rank")
+    assert rows_of(blockmax.search_blocks(blockmax.in_blocks(built, 8, limit), queries, 4, limit), "qid", "rank") == expected
