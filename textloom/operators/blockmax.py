@@ -30,9 +30,9 @@ from textloom.operators.weights import document_norms, smooth_idf
 from textloom.session import dealt_once, materialize
 
 DOCS_PER_BLOCK = 64
-DOCS_PER_DEAL = 2048
+DOCS_PER_DEAL = 1024
 BLOCKS_PER_DEAL = 1 << 32  # numbers kept for them
-POSTINGS_PER_TASK = 1_000_000
+POSTINGS_PER_TASK = 500_000
 SEED_DOCS = 8  # documents scored for the floor, times k
 # A rounded score may be this much above the score, and sums of bounds stray in their last digits.
 MARGIN = 10.0**-SCORE_DIGITS
